@@ -70,26 +70,44 @@ def _is_unmapped() -> Column:
 
 
 def person_records(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """One row per lineitem with the derived census keys."""
+    """One row per lineitem with the derived census keys.
+
+    Lineitem-side codes are computed *before* the join so the shuffled rows
+    carry small ints instead of the raw columns.  lineitem and
+    orders ⋈ customer both grow with the data, so that join is declared a
+    shuffle (sort-merge) join rather than left to size estimates, which
+    without statistics can pick the larger side to broadcast.
+    """
     li = table(spark, sf_dir, "lineitem").select(
-        "l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", "l_quantity", "l_returnflag"
-    )
-    orders = table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey", "o_orderdate")
-    cust = table(spark, sf_dir, "customer").select("c_custkey", "c_nationkey")
-    oc = orders.join(cust, orders.o_custkey == cust.c_custkey, "inner")
-    base = li.join(oc, li.l_orderkey == oc.o_orderkey, "inner")
-    return base.select(
-        F.year("o_orderdate").cast("int").alias("cal_year"),
-        state_code(F.col("c_nationkey")).alias("state_code"),
-        county_code(F.col("c_custkey")).alias("county_code"),
+        F.col("l_orderkey"),
         (F.col("l_partkey") % 19).cast("int").alias("age_code"),
         (F.col("l_partkey") % 18).cast("int").alias("age_column"),
         F.col("l_suppkey"),
         F.col("l_linenumber"),
-        F.col("l_orderkey"),
         _is_unmapped().alias("unmapped"),
         F.when(~_is_missing_pop(), F.col("l_quantity").cast("int")).alias("population"),
     )
+    orders = table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey", "o_orderdate")
+    cust = table(spark, sf_dir, "customer").select("c_custkey", "c_nationkey")
+    oc = orders.join(cust, orders.o_custkey == cust.c_custkey, "inner").select(
+        F.col("o_orderkey"),
+        F.year("o_orderdate").cast("int").alias("cal_year"),
+        state_code(F.col("c_nationkey")).alias("state_code"),
+        county_code(F.col("c_custkey")).alias("county_code"),
+    )
+    base = li.join(oc.hint("merge"), li.l_orderkey == oc.o_orderkey, "inner")
+    return base.select(
+        "cal_year",
+        "state_code",
+        "county_code",
+        "age_code",
+        "age_column",
+        "l_suppkey",
+        "l_linenumber",
+        "l_orderkey",
+        "unmapped",
+        "population",
+    )
 
 
 def county_fips_table(spark: SparkSession, sf_dir: str) -> DataFrame:
