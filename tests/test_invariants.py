@@ -1,0 +1,110 @@
+"""Invariants from SURVEY §5 on the driver-derived views (sf0.001)."""
+
+from pyspark.sql import functions as F
+
+from popspark.functions import codes, strict_sum
+from popspark.operators import quality, reshape, setops
+from popspark.plans import catalog
+from popspark.plans import pipelines as pl
+from popspark.sources import driver_views as dv
+
+from conftest import SF001, rows
+
+
+def test_national_equals_strict_sum_of_states(spark):
+    out = catalog.QUERIES["pipeline_2010"](spark, SF001)
+    keys = ["year", "age", "sex", "race_p_ethnicity"]
+    states = out.filter(F.col("state_fips") != codes.US_FIPS).groupBy(*keys).agg(strict_sum("population").alias("p"))
+    nation = out.filter(F.col("state_fips") == codes.US_FIPS).select(*keys, F.col("population").alias("p"))
+    assert rows(states) == rows(nation)
+
+
+def test_aggregate_then_unpivot_equals_unpivot_then_aggregate(spark):
+    raw = dv.wide_race(spark, SF001, 2000)
+    fused = pl.wide_race_states(raw, 2000)
+    rec = pl.wide_race_records(raw, 2000)
+    long = reshape.unpivot_split(rec, ["year", "STATE", "COUNTY", "age"], list(codes.WIDE_RACE_COLUMNS), ("rpe", "sex"), "population")
+    county = long.groupBy("year", "STATE", "COUNTY", "age", "sex", "rpe").agg(strict_sum("population").alias("population"))
+    naive = county.groupBy("year", "STATE", "age", "sex", "rpe").agg(strict_sum("population").alias("population"))
+    from popspark.functions import recode
+
+    naive = naive.select(
+        "year", F.col("STATE").alias("state_fips"), "age", recode.title_case("sex").alias("sex"),
+        recode.race_label_2000("rpe").alias("race_p_ethnicity"), "population",
+    )
+    assert rows(fused) == rows(naive)
+
+
+def test_total_age_row_never_leaks(spark):
+    raw = dv.wide_race(spark, SF001, 2000)
+    assert raw.filter(F.col("AGEGRP") == 99).count() > 0
+    kept = pl.wide_race_filtered(raw, 2000)
+    assert kept.filter(F.col("AGEGRP") == 99).count() == 0
+    assert kept.filter(~F.col("YEAR").between(2, 11)).count() == 0
+
+
+def test_bands_partition_the_population(spark):
+    raw = dv.wide_age_1970(spark, SF001)
+    total = raw.select(sum(F.coalesce(F.col(c).cast("bigint"), F.lit(0)) for c in codes.WIDE_AGE_COLUMNS).alias("t"))
+    states = pl.wide_age_states(raw, 1970)
+    # the injected NULLs remove whole bands, so compare only where nothing is missing
+    clean = raw.filter(sum(F.col(c).isNull().cast("int") for c in codes.WIDE_AGE_COLUMNS) == 0)
+    t_clean = clean.select(sum(F.col(c).cast("bigint") for c in codes.WIDE_AGE_COLUMNS).alias("t")).first().t
+    s_all = states.agg(F.sum("population")).first()[0]
+    t_all = total.agg(F.sum("t")).first()[0]
+    assert s_all <= t_all and t_clean <= t_all
+
+
+def test_output_bound(spark):
+    # 52 areas × years × 5 bands × 2 sexes × races, plus NULL sex/race groups
+    out = catalog.QUERIES["pipeline_2020"](spark, SF001)
+    years = out.select("year").distinct().count()
+    areas = out.select("state_fips").distinct().count()
+    assert out.count() <= areas * years * 5 * 2 * 7
+
+
+def test_union_by_name_not_position(spark):
+    a = spark.createDataFrame([(1, "x")], "year int, state_fips string")
+    b = spark.createDataFrame([("y", 2)], "state_fips string, year int")
+    assert rows(setops.union_by_name([a, b])) == [(1, "x"), (2, "y")]
+
+
+def test_domain_violations(spark):
+    df = spark.createDataFrame([(1, 1), (9, 1), (9, None), (None, 2)], "race_sex int, origin int")
+    v = quality.domain_violations(
+        df, {"race_sex": F.col("race_sex").isin(*codes.RACE_SEX_1990), "origin": F.col("origin").isNotNull()}
+    )
+    assert rows(v) == [("origin", None, 1), ("race_sex", None, 1), ("race_sex", "9", 2)]
+
+
+def test_fail_fast_reports_decade():
+    import pytest
+
+    def run(d):
+        if d == 1990:
+            raise ValueError("boom")
+        return d
+
+    with pytest.raises(quality.SourceError, match="1990"):
+        quality.fail_fast([1970, 1980, 1990, 2000], run)
+    with pytest.raises(quality.SourceError):
+        quality.fail_fast([1975], run)
+
+
+def test_export_order(spark):
+    df = spark.createDataFrame(
+        [
+            (2000, "00", "United States", "0-19", "Male", "NH_White", 1),
+            (2000, "01", "A", "20-34", "Male", "Hispanic", 1),
+            (2000, "01", "A", "0-19", "Male", "NH_White", 1),
+            (2000, "01", "A", "0-19", "Male", "Hispanic", 1),
+            (2000, "00", "United States", "0-19", "Male", "Hispanic", 1),
+        ],
+        "year int, state_fips string, state_name string, age string, sex string, race_p_ethnicity string, population bigint",
+    )
+    got = [(r.state_fips, r.age, r.race_p_ethnicity) for r in setops.export_order(df, 2000).collect()]
+    # state rows: race prefix alphabetical (H < NHWA); national rows: level order (Hispanic first)
+    assert got == [
+        ("01", "0-19", "Hispanic"), ("01", "0-19", "NH_White"), ("01", "20-34", "Hispanic"),
+        ("00", "0-19", "Hispanic"), ("00", "0-19", "NH_White"),
+    ]
