@@ -14,6 +14,16 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 
+def columns_with_prefix(columns: Sequence[str], prefixes: Sequence[str]) -> list[str]:
+    """P10: column names starting with any prefix, case-insensitively, in frame order.
+
+    A driver-side comprehension over the schema; safe once the frame holds
+    only intended columns (after an explicit select).
+    """
+    lowered = tuple(p.lower() for p in prefixes)
+    return [c for c in columns if c.lower().startswith(lowered)]
+
+
 def _q(name: str) -> Column:
     return F.col(f"`{name}`")
 

@@ -71,6 +71,7 @@ def wide_age_states(raw: DataFrame, decade: int) -> DataFrame:
     )
     keys = ["year", "state_fips", "sex", "race_p_ethnicity"]
     wide = aggregate.sum_strict(rec, keys, list(codes.BANDS))
+    # the band columns are already named by their labels (F15 folded in)
     return reshape.unpivot_named(wide, keys, {b: b for b in codes.BANDS}, "age", "population")
 
 
@@ -174,7 +175,8 @@ def wide_race_states(raw: DataFrame, decade: int) -> DataFrame:
     rec = wide_race_records(raw, decade).withColumnRenamed("STATE", "state_fips")
     keys = ["year", "state_fips", "age"]
     wide = aggregate.sum_strict(rec, keys, list(codes.WIDE_RACE_COLUMNS))
-    long = reshape.unpivot_split(wide, keys, list(codes.WIDE_RACE_COLUMNS), ("rpe", "sex"), "population")
+    values = reshape.columns_with_prefix(wide.columns, ("NH", "H"))  # the 14 counts
+    long = reshape.unpivot_split(wide, keys, values, ("rpe", "sex"), "population")
     return long.select(
         "year",
         "state_fips",

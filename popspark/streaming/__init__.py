@@ -1 +1,8 @@
-"""streaming"""
+"""Streaming: intentionally empty.
+
+The reproduced pipeline is a batch job over files that arrive once per
+release; it has no stream, watermark, window or state.  Re-running the job
+is incremental instead: decades already written are reused (see
+``plans.job``), the batch analogue of skipping files already downloaded.
+No streaming operator is added beyond what the reproduced work does.
+"""
