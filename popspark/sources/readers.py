@@ -86,8 +86,9 @@ def is_data_line_1980(value: Column) -> Column:
     Stands in for "skip the 14-line preamble and blank rows" without knowing
     line positions, which keeps the scan splittable.
     """
-    n_fields = len(codes.WIDE_AGE_LAYOUT_COLUMNS)
-    return (F.length(F.trim(value)) > 0) & (F.size(F.split(value, ",")) >= n_fields)
+    n_commas = len(codes.WIDE_AGE_LAYOUT_COLUMNS) - 1
+    commas = F.length(value) - F.length(F.regexp_replace(value, ",", ""))
+    return commas >= n_commas
 
 
 def parse_preamble_lines(lines: DataFrame) -> DataFrame:

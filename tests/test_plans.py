@@ -1,0 +1,52 @@
+"""Physical-plan properties: JVM-only, partial aggregation, exchange reuse, pruning."""
+
+import pytest
+
+import __spark_entry__ as E
+from popspark.plans import job
+from popspark.plans import pipelines as pl
+from popspark.sources import readers
+
+import fixtures as fx
+from conftest import SF001
+
+PYTHON_NODES = ("BatchEvalPython", "ArrowEvalPython", "MapInPandas", "FlatMapGroupsInPandas", "PythonUDF")
+
+
+def executed(df):
+    df.collect()
+    return df._jdf.queryExecution().executedPlan().toString()
+
+
+@pytest.mark.parametrize("name", sorted(E.queries()))
+def test_no_python_in_any_query(spark, name):
+    plan = E.queries()[name](spark, SF001)._jdf.queryExecution().executedPlan().toString()
+    assert not any(n in plan for n in PYTHON_NODES)
+
+
+@pytest.mark.parametrize("decade", [1970, 1990, 2010])
+def test_partial_aggregation_and_reuse(spark, decade):
+    plan = executed(E.queries()[f"pipeline_{decade}"](spark, SF001))
+    final = plan.split("== Initial Plan ==")[0]
+    assert "partial_count" in final  # map-side combine before the shuffle
+    assert "ReusedExchange" in final  # national branch reuses the state exchange
+    assert "CartesianProduct" not in final and "BroadcastNestedLoopJoin" not in final
+
+
+def test_csv_scan_prunes_unused_columns(spark, tmp_path):
+    src = fx.build_source_tree(str(tmp_path / "src"))
+    county = spark.createDataFrame(fx.COUNTY_TABLE, "state_code string, state_name string, county_code string")
+    raw = readers.read_wide_race(spark, job.source_paths(src, 2020), 2020)
+    out = pl.pipeline(2020, raw, pl.state_names(county))
+    spark.conf.set("spark.sql.maxMetadataStringLength", "10000")
+    try:
+        plan = out._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.unset("spark.sql.maxMetadataStringLength")
+    schemas = [line for line in plan.split("\n") if "ReadSchema" in line and "YEAR" in line]
+    assert schemas
+    for line in schemas:
+        read = line.split("ReadSchema: ")[1]
+        assert "x1:" not in read and "x62:" not in read  # unused columns never parsed
+        assert "COUNTY" not in read  # county is summed away, so not read at all
+        assert "H_FEMALE" in read and read.count(":string") == 17  # YEAR, AGEGRP, STATE + 14
