@@ -8,9 +8,11 @@ Each layout has two entry points sharing one typing step:
   source line, via ``from_csv`` / ``split``; used where lines are derived by
   Spark from other tables, and to test parsing without files.
 
-Fields are read as text and typed with ``try_cast`` so that missing tokens
-and unparseable numbers become NULL (never an error, never a silent 0), and
-so that codes keep their leading zeros — nothing is ever inferred.
+Integer fields of CSV files are parsed natively with a declared schema
+(PERMISSIVE: a malformed or missing-token field becomes NULL, the rest of
+the row is kept); text fields keep their leading zeros and have their
+missing tokens mapped to NULL.  Line parsers read every field as text and
+type it with ``try_cast``, with identical results.  Nothing is inferred.
 """
 
 from __future__ import annotations
@@ -35,36 +37,53 @@ def _ddl(names: Sequence[str]) -> str:
 
 
 # ------------------------------------------------------------------ typing
+def _int(df: DataFrame, name: str, tokens) -> Column:
+    """INT column: passed through when the scan already typed it, else parsed."""
+    if df.schema[name].dataType == T.IntegerType():
+        return F.col(name)
+    return parse_int(name, tokens)
+
+
+def _text(name: str, tokens) -> Column:
+    return na_to_null(F.trim(F.col(name)), tokens)
+
+
 def type_wide_age(df: DataFrame, race_sex_is_text: bool, tokens=codes.NA_TOKENS_DEFAULT) -> DataFrame:
     """1970 (race_sex int) / 1980 (race_sex text) wide-age layout, typed."""
-    race_sex = (
-        na_to_null(F.trim(F.col("race_sex")), tokens) if race_sex_is_text else parse_int("race_sex", tokens)
-    )
+    race_sex = _text("race_sex", tokens) if race_sex_is_text else _int(df, "race_sex", tokens)
     return df.select(
-        parse_int("year", tokens).alias("year"),
-        na_to_null(F.trim(F.col("fips")), tokens).alias("fips"),
+        _int(df, "year", tokens).alias("year"),
+        _text("fips", tokens).alias("fips"),
         race_sex.alias("race_sex"),
-        *[parse_int(c, tokens).alias(c) for c in codes.WIDE_AGE_COLUMNS],
+        *[_int(df, c, tokens).alias(c) for c in codes.WIDE_AGE_COLUMNS],
     )
 
 
 def type_long_codes(df: DataFrame, tokens=codes.NA_TOKENS_DEFAULT) -> DataFrame:
     """1990 long-code layout, typed (fips stays text)."""
     return df.select(
-        parse_int("year", tokens).alias("year"),
+        _int(df, "year", tokens).alias("year"),
         na_to_null(F.col("fips"), tokens).alias("fips"),
-        *[parse_int(c, tokens).alias(c) for c in ("age", "race_sex", "origin", "population")],
+        *[_int(df, c, tokens).alias(c) for c in ("age", "race_sex", "origin", "population")],
     )
 
 
 def type_wide_race(df: DataFrame, tokens=codes.NA_TOKENS_DEFAULT) -> DataFrame:
     """2000/2010/2020 layout: select the used columns by name and type them."""
     return df.select(
-        parse_int("YEAR", tokens).alias("YEAR"),
-        parse_int("AGEGRP", tokens).alias("AGEGRP"),
-        na_to_null(F.trim(F.col("STATE")), tokens).alias("STATE"),
-        na_to_null(F.trim(F.col("COUNTY")), tokens).alias("COUNTY"),
-        *[parse_int(c, tokens).alias(c) for c in codes.WIDE_RACE_COLUMNS],
+        _int(df, "YEAR", tokens).alias("YEAR"),
+        _int(df, "AGEGRP", tokens).alias("AGEGRP"),
+        _text("STATE", tokens).alias("STATE"),
+        _text("COUNTY", tokens).alias("COUNTY"),
+        *[_int(df, c, tokens).alias(c) for c in codes.WIDE_RACE_COLUMNS],
+    )
+
+
+def declared_schema(names: Sequence[str], int_columns: Sequence[str]) -> T.StructType:
+    """All columns text except ``int_columns`` (the ones the layout declares integer)."""
+    ints = set(int_columns)
+    return T.StructType(
+        [T.StructField(n, T.IntegerType() if n in ints else T.StringType(), True) for n in names]
     )
 
 
@@ -127,7 +146,8 @@ def _csv(spark: SparkSession, paths, schema: T.StructType, header: bool, **opts)
 
 def read_wide_age_1970(spark: SparkSession, paths) -> DataFrame:
     """Header-less CSV, first line is data."""
-    raw = _csv(spark, paths, string_schema(codes.WIDE_AGE_LAYOUT_COLUMNS), header=False)
+    ints = ("year", "race_sex") + codes.WIDE_AGE_COLUMNS
+    raw = _csv(spark, paths, declared_schema(codes.WIDE_AGE_LAYOUT_COLUMNS, ints), header=False)
     return type_wide_age(raw, race_sex_is_text=False)
 
 
@@ -149,13 +169,17 @@ def header_of(spark: SparkSession, path: str) -> list[str]:
 def read_wide_race(spark: SparkSession, paths, decade: int) -> DataFrame:
     """S4 (2000, 51 files), S5 (2010, 'X' missing), S6 (2020, 80 columns).
 
-    The schema is the first file's header, all text; ``enforceSchema=False``
-    makes any file whose header differs fail instead of being mis-assigned.
+    The column names are the first file's header; the used integer columns
+    are declared INT (so the CSV parser types them and can evaluate the
+    YEAR/AGEGRP filter itself), everything else is text.
+    ``enforceSchema=False`` makes any file whose header differs fail instead
+    of being mis-assigned.
     """
     paths = [paths] if isinstance(paths, str) else list(paths)
     tokens = codes.NA_TOKENS_2010 if decade == 2010 else codes.NA_TOKENS_DEFAULT
     names = header_of(spark, paths[0])
-    raw = _csv(spark, paths, string_schema(names), header=True, enforceSchema="false")
+    ints = ("YEAR", "AGEGRP") + codes.WIDE_RACE_COLUMNS
+    raw = _csv(spark, paths, declared_schema(names, ints), header=True, enforceSchema="false")
     return type_wide_race(raw, tokens)
 
 
