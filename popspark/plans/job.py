@@ -8,7 +8,9 @@ Directory contract (mirrors the reproduced repository layout):
     <out_root>/states-asrpe/                     S12, combined gzip CSV
     <out_root>/states-asrpe-parquet/decade=…/    S12, Parquet copy
 
-Each decade is written before the next starts and the combined product
+Each decade is written in the reproduced row order (O2: a range sort of
+the already-aggregated result, at most tens of thousands of rows) before
+the next starts and the combined product
 is built by re-scanning those written results (S9), so a lost executor
 only ever recomputes the current decade, and lineage never spans decades.
 A decade already written (its directory has a ``_SUCCESS`` marker) is
@@ -25,7 +27,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.utils import AnalysisException
 
 from ..functions import codes
-from ..operators import quality
+from ..operators import quality, setops
 from ..sources import readers, sinks
 from . import pipelines as pl
 
@@ -103,7 +105,8 @@ def run_job(
         out = decade_output(out_root, decade)
         if not _written(spark, out):
             raw = read_decade(spark, decade, source_paths(src_root, decade))
-            sinks.write_csv_gz(pl.pipeline(decade, raw, names), out, mode="overwrite")
+            result = setops.export_order(pl.pipeline(decade, raw, names), decade)
+            sinks.write_csv_gz(result, out, mode="overwrite")
         return out
 
     written = quality.fail_fast(decades, one)

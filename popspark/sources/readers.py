@@ -32,10 +32,6 @@ def string_schema(names: Sequence[str]) -> T.StructType:
     return T.StructType([T.StructField(n, T.StringType(), True) for n in names])
 
 
-def _ddl(names: Sequence[str]) -> str:
-    return ", ".join(f"`{n}` STRING" for n in names)
-
-
 # ------------------------------------------------------------------ typing
 def _int(df: DataFrame, name: str, tokens) -> Column:
     """INT column: passed through when the scan already typed it, else parsed."""
@@ -88,14 +84,17 @@ def declared_schema(names: Sequence[str], int_columns: Sequence[str]) -> T.Struc
 
 
 # ------------------------------------------------------- line-based parsers
-def _from_csv(value: Column, names: Sequence[str]) -> Column:
-    return F.from_csv(value, _ddl(names), {"ignoreLeadingWhiteSpace": "true", "ignoreTrailingWhiteSpace": "true"})
+def _from_csv(value: Column, names: Sequence[str], int_columns: Sequence[str] = ()) -> Column:
+    ints = set(int_columns)
+    ddl = ", ".join(f"`{n}` {'INT' if n in ints else 'STRING'}" for n in names)
+    return F.from_csv(value, ddl, {"ignoreLeadingWhiteSpace": "true", "ignoreTrailingWhiteSpace": "true"})
 
 
 def parse_wide_age_lines(lines: DataFrame, race_sex_is_text: bool = False) -> DataFrame:
     """S1 on lines: header-less CSV, 21 positional fields."""
     names = codes.WIDE_AGE_LAYOUT_COLUMNS
-    rec = lines.select(_from_csv(F.col("value"), names).alias("r")).select("r.*")
+    ints = ("year",) + (() if race_sex_is_text else ("race_sex",)) + codes.WIDE_AGE_COLUMNS
+    rec = lines.select(_from_csv(F.col("value"), names, ints).alias("r")).select("r.*")
     return type_wide_age(rec, race_sex_is_text)
 
 
@@ -131,7 +130,8 @@ def parse_header_csv_lines(
     """S4–S6 on lines: fields named by ``columns`` (the header); header lines dropped."""
     header = ",".join(columns)
     body = lines.filter(F.col("value") != F.lit(header))
-    rec = body.select(_from_csv(F.col("value"), columns).alias("r")).select("r.*")
+    ints = ("YEAR", "AGEGRP") + codes.WIDE_RACE_COLUMNS
+    rec = body.select(_from_csv(F.col("value"), columns, ints).alias("r")).select("r.*")
     return type_wide_race(rec, tokens)
 
 

@@ -164,3 +164,21 @@ def test_whole_job_missing_source_fails(spark, src, tmp_path):
     os.remove(os.path.join(partial, "2000", codes.source_manifest()[2000][7]))
     with pytest.raises(Exception, match="missing source files"):
         job.run_job(spark, partial, str(tmp_path / "out2"), county)
+
+
+def test_job_writes_decades_in_export_order(spark, src, tmp_path):
+    import glob
+
+    import pandas as pd
+
+    county = spark.createDataFrame(fx.COUNTY_TABLE, "state_code string, state_name string, county_code string")
+    out_root = str(tmp_path / "ordered")
+    job.run_job(spark, src, out_root, county, decades=(1990, 2000))
+    for decade in (1990, 2000):
+        parts = sorted(glob.glob(os.path.join(job.decade_output(out_root, decade), "part-*.csv.gz")))
+        frame = pd.concat([pd.read_csv(p, dtype=str, keep_default_na=False) for p in parts])
+        is_us = (frame.state_fips == "00").tolist()
+        assert is_us == sorted(is_us)  # every state row before every national row
+        states = frame[frame.state_fips != "00"]
+        keys = list(zip(states.year.astype(int), states.state_fips))
+        assert keys == sorted(keys)
