@@ -42,7 +42,8 @@ def export_order(df: DataFrame, decade: int) -> DataFrame:
 
     State rows come first in group-key order, national rows after them.
     1970/1980 group keys end (sex, race, age); 1990 (age, sex) then the
-    pivot's race order; 2000+ state rows (age, sex, race prefix) and
+    pivot's column order for state rows (NH_* alphabetical, H last) and the
+    label for national rows; 2000+ state rows (age, sex, race prefix) and
     national rows (age, sex, race level).  Export only — a global sort is a
     range-partitioned shuffle, so call it just before a single export.
     """
@@ -51,7 +52,15 @@ def export_order(df: DataFrame, decade: int) -> DataFrame:
     if decade in (1970, 1980):
         rest = [F.col("sex").asc_nulls_last(), F.col("race_p_ethnicity").asc_nulls_last(), band.asc_nulls_last()]
     elif decade == 1990:
-        rest = [band.asc_nulls_last(), F.col("sex").asc_nulls_last(), F.col("race_p_ethnicity").asc_nulls_last()]
+        # state rows follow the pivot's columns: the NH cells, then H last;
+        # national rows are grouped by the label, so H sorts first there.
+        h_last = F.when(~is_us & (F.col("race_p_ethnicity") == F.lit(codes.HISPANIC_TOTAL_1990)), 1).otherwise(0)
+        rest = [
+            band.asc_nulls_last(),
+            F.col("sex").asc_nulls_last(),
+            h_last.asc(),
+            F.col("race_p_ethnicity").asc_nulls_last(),
+        ]
     else:
         prefix = F.when(
             ~is_us,

@@ -75,7 +75,8 @@ def lookup_scan(spark, sf):
     body = names.select(F.concat_ws(",", "state_fips", "state_name").alias("value"))
     lines = header.unionByName(body)
     parsed = lines.select(F.from_csv("value", readers.STATE_NAMES_SCHEMA).alias("r")).select("r.*")
-    return parsed.filter(~((F.col("state_fips") == "state_fips") & (F.col("state_name") == "state_name")))
+    is_header = (F.col("state_fips") == "state_fips") & (F.col("state_name") == "state_name")
+    return parsed.filter(~F.coalesce(is_header, F.lit(False)))
 
 
 def roundtrip_gzip_csv(spark, sf):
@@ -232,7 +233,7 @@ def _pivot_1990(spark, sf) -> DataFrame:
     return reshape.pivot_cells(
         rec,
         ["year", "state_fips", "age", "sex"],
-        pl._cell_name(),
+        pl.cell_name(),
         codes.pivot_names_1990(),
         {"pop": strict_sum("population")},
     )

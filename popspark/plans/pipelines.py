@@ -94,7 +94,7 @@ def long_codes_records(raw: DataFrame) -> DataFrame:
     )
 
 
-def _cell_name(origin: str = "origin", race: str = "race"):
+def cell_name(origin: str = "origin", race: str = "race"):
     """Pivot column name '<origin>_<race>', a missing label spelt 'NA'."""
     return F.concat(
         F.coalesce(F.col(origin), F.lit("NA")), F.lit("_"), F.coalesce(F.col(race), F.lit("NA"))
@@ -116,7 +116,7 @@ def long_codes_states(raw: DataFrame) -> DataFrame:
     wide = reshape.pivot_cells(
         rec,
         ids,
-        _cell_name(),
+        cell_name(),
         cells,
         {"pop": strict_sum("population"), "n": F.count(F.lit(1))},
     )

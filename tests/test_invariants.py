@@ -108,3 +108,21 @@ def test_export_order(spark):
         ("01", "0-19", "Hispanic"), ("01", "0-19", "NH_White"), ("01", "20-34", "Hispanic"),
         ("00", "0-19", "Hispanic"), ("00", "0-19", "NH_White"),
     ]
+
+
+def test_export_order_1990_h_last_for_states_first_for_nation(spark):
+    df = spark.createDataFrame(
+        [
+            (1990, "00", "United States", "0-19", "Male", "NH_White", 1),
+            (1990, "00", "United States", "0-19", "Male", "H", 1),
+            (1990, "01", "A", "0-19", "Male", "H", 1),
+            (1990, "01", "A", "0-19", "Male", "NH_AIAN", 1),
+            (1990, "01", "A", "0-19", "Female", "NH_White", 1),
+        ],
+        "year int, state_fips string, state_name string, age string, sex string, race_p_ethnicity string, population bigint",
+    )
+    got = [(r.state_fips, r.sex, r.race_p_ethnicity) for r in setops.export_order(df, 1990).collect()]
+    assert got == [
+        ("01", "Female", "NH_White"), ("01", "Male", "NH_AIAN"), ("01", "Male", "H"),
+        ("00", "Male", "H"), ("00", "Male", "NH_White"),
+    ]
