@@ -47,8 +47,29 @@ PREAMBLE_1980 = tuple(f"Preamble line {i}: county population estimates by age, s
 TERRITORY_FROM_NATION = 22  # nations >= 22 get codes 60, 61, 62
 
 
+# Declared schemas of the driver tables the views read.  Declaring them
+# (as the source layouts are declared) skips Spark's schema-discovery job
+# per read — one job per table per query otherwise.
+TABLE_SCHEMAS = {
+    "lineitem": (
+        "l_orderkey BIGINT, l_partkey BIGINT, l_suppkey BIGINT, l_linenumber INT, l_quantity DOUBLE, "
+        "l_extendedprice DOUBLE, l_discount DOUBLE, l_tax DOUBLE, l_returnflag STRING, "
+        "l_linestatus STRING, l_shipdate TIMESTAMP_NTZ"
+    ),
+    "orders": (
+        "o_orderkey BIGINT, o_custkey BIGINT, o_orderstatus STRING, o_totalprice DOUBLE, "
+        "o_orderdate TIMESTAMP_NTZ, o_orderpriority STRING"
+    ),
+    "customer": "c_custkey BIGINT, c_name STRING, c_nationkey INT, c_acctbal DOUBLE, c_mktsegment STRING",
+    "nation": "n_nationkey INT, n_name STRING, n_regionkey INT",
+}
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    reader = spark.read
+    if name in TABLE_SCHEMAS:
+        reader = reader.schema(TABLE_SCHEMAS[name])
+    return reader.parquet(f"{sf_dir}/{name}.parquet")
 
 
 def state_code(nationkey: Column) -> Column:
