@@ -64,7 +64,7 @@ WIDE_RACE_COLUMNS = (
 US_FIPS = "00"
 US_NAME = "United States"
 
-# 2010 missing-value tokens; the other layouts use readr's default "", "NA".
+# Missing-value tokens: 2010 adds "X" to the default "" and "NA".
 NA_TOKENS_DEFAULT = ("", "NA")
 NA_TOKENS_2010 = ("", "NA", "X")
 
