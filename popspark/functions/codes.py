@@ -82,8 +82,15 @@ WIDE_RACE_LAYOUTS = {
 # 1990 two-digit year: calendar year = 1900 + code.
 YEAR_OFFSET_1990 = 1900
 
-# Number of header-less preamble lines in the 1980 file.
-PREAMBLE_LINES_1980 = 14
+# Source file names.  1990 has one file per year 1990..1999; 2000 has one
+# file per two-digit state id 00..56 except the ids listed.
+SOURCE_FILE_1970 = "co-asr-7079.csv"
+SOURCE_FILE_1980 = "pe-02.csv"
+SOURCE_FILE_1990 = "stch-icen{year}.txt"
+SOURCE_FILE_2000 = "co-est00int-alldata-{state_id}.csv"
+SOURCE_IDS_2000_UNUSED = ("00", "03", "07", "14", "43", "52")
+SOURCE_FILE_2010 = "CC-EST2020-ALLDATA6.csv"
+SOURCE_FILE_2020 = "cc-est2024-alldata.csv"
 # ----------------------------------------------------------- END FIXED VALUES
 
 
@@ -117,7 +124,6 @@ def band_of_code(code: int, first_age_code: int) -> str | None:
 
 WIDE_AGE_LAYOUT_COLUMNS = ("year", "fips", "race_sex") + WIDE_AGE_COLUMNS
 LONG_CODE_LAYOUT_COLUMNS = ("year", "fips", "age", "race_sex", "origin", "population")
-WIDE_RACE_KEY_COLUMNS = ("YEAR", "AGEGRP", "STATE", "COUNTY")
 
 # 1990 pivot columns: every origin × race label, missing labels spelt "NA"
 # as the pivot names them.  Bounded: 3 origins × 5 races = 15 names.
@@ -135,15 +141,14 @@ def pivot_names_1990() -> tuple[str, ...]:
 
 def source_manifest() -> dict[int, tuple[str, ...]]:
     """Expected source file names per decade (65 files in all)."""
-    excluded = {"00", "03", "07", "14", "43", "52"}
-    ids_2000 = [f"{i:02d}" for i in range(0, 57) if f"{i:02d}" not in excluded]
+    ids_2000 = [f"{i:02d}" for i in range(0, 57) if f"{i:02d}" not in SOURCE_IDS_2000_UNUSED]
     return {
-        1970: ("co-asr-7079.csv",),
-        1980: ("pe-02.csv",),
-        1990: tuple(f"stch-icen{y}.txt" for y in range(1990, 2000)),
-        2000: tuple(f"co-est00int-alldata-{i}.csv" for i in ids_2000),
-        2010: ("CC-EST2020-ALLDATA6.csv",),
-        2020: ("cc-est2024-alldata.csv",),
+        1970: (SOURCE_FILE_1970,),
+        1980: (SOURCE_FILE_1980,),
+        1990: tuple(SOURCE_FILE_1990.format(year=y) for y in range(1990, 2000)),
+        2000: tuple(SOURCE_FILE_2000.format(state_id=i) for i in ids_2000),
+        2010: (SOURCE_FILE_2010,),
+        2020: (SOURCE_FILE_2020,),
     }
 
 
