@@ -6,6 +6,7 @@ from collections.abc import Sequence
 from functools import reduce
 
 from pyspark.sql import DataFrame
+from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from .. import CANONICAL
@@ -37,17 +38,10 @@ def sort_codes(df: DataFrame, key: str = "state_fips") -> DataFrame:
     return df.orderBy(F.col(key).asc_nulls_last())
 
 
-def export_order(df: DataFrame, decade: int) -> DataFrame:
-    """O2: the order in which the reproduced pipeline writes a decade.
-
-    State rows come first in group-key order, national rows after them.
-    1970/1980 group keys end (sex, race, age); 1990 (age, sex) then the
-    pivot's column order for state rows (NH_* alphabetical, H last) and the
-    label for national rows; 2000+ state rows (age, sex, race prefix) and
-    national rows (age, sex, race level).  Export only — a global sort is a
-    range-partitioned shuffle, so call it just before a single export.
-    """
+def _export_keys(decade: int):
+    """(is_us, block keys, within-block sort keys) of the O2 order."""
     is_us = (F.col("state_fips") == F.lit(codes.US_FIPS)) & (F.col("state_name") == F.lit(codes.US_NAME))
+    is_us = F.coalesce(is_us, F.lit(False))
     band = recode.band_rank("age")
     if decade in (1970, 1980):
         rest = [F.col("sex").asc_nulls_last(), F.col("race_p_ethnicity").asc_nulls_last(), band.asc_nulls_last()]
@@ -72,4 +66,32 @@ def export_order(df: DataFrame, decade: int) -> DataFrame:
             prefix.asc_nulls_last(),
             recode.race_rank_2000("race_p_ethnicity").asc_nulls_last(),
         ]
-    return df.orderBy(is_us.asc(), F.col("year").asc_nulls_last(), F.col("state_fips").asc_nulls_last(), *rest)
+    return is_us, [is_us.asc(), F.col("year").asc_nulls_last()], [F.col("state_fips").asc_nulls_last(), *rest]
+
+
+def export_order(df: DataFrame, decade: int) -> DataFrame:
+    """O2: the order in which the reproduced pipeline writes a decade.
+
+    State rows come first in group-key order, national rows after them.
+    1970/1980 group keys end (sex, race, age); 1990 (age, sex) then the
+    pivot's column order for state rows (NH_* alphabetical, H last) and the
+    label for national rows; 2000+ state rows (age, sex, race prefix) and
+    national rows (age, sex, race level).  Export only — a global sort is a
+    range-partitioned shuffle of the (small, aggregated) result, so call it
+    just before writing.
+    """
+    _, block, rest = _export_keys(decade)
+    return df.orderBy(*block, *rest)
+
+
+def export_position(df: DataFrame, decade: int) -> DataFrame:
+    """O2 as data: each row's 1-based position inside its (national?, year) block.
+
+    Blocks are written in (state rows, national rows) × year order, so the
+    block plus this position is the full export order.  The window is
+    partitioned by block, which holds at most one year of one decade's
+    aggregated output, never the input.
+    """
+    is_us, _, rest = _export_keys(decade)
+    w = Window.partitionBy(is_us, F.col("year")).orderBy(*rest)
+    return df.withColumn("position", F.row_number().over(w))

@@ -343,6 +343,18 @@ def domain_violations(spark, sf):
     )
 
 
+EXPORT_ORDER_DECADES = (1970, 1990, 2000)  # one decade per ordering rule
+
+
+def export_order(spark, sf):
+    """O2: export position of every output row, for one decade per ordering rule."""
+    parts = [
+        setops.export_position(setops.canonical(decade_result(spark, sf, d)), d).withColumn("decade", F.lit(d))
+        for d in EXPORT_ORDER_DECADES
+    ]
+    return setops.union_by_name(parts)
+
+
 def full_product(spark, sf):
     """PL9: the combined product with its decade partition column."""
     parts = []
@@ -396,6 +408,7 @@ QUERIES: dict[str, Query] = {
     "union_decades": union_decades,
     "distinct_states": distinct_states,
     "domain_violations": domain_violations,
+    "export_order": export_order,
     **{f"pipeline_{d}": _pipeline(d) for d in codes.DECADES},
     "full_product": full_product,
 }

@@ -339,6 +339,39 @@ def _pivot_1990_sql(select_cols: str) -> str:
 SELECT {select_cols} FROM wide"""
 
 
+BAND_RANK = "CASE age WHEN '0-19' THEN 1 WHEN '20-34' THEN 2 WHEN '35-49' THEN 3 WHEN '50-64' THEN 4 WHEN '65+' THEN 5 END"
+RACE_PREFIX = (
+    "CASE race_p_ethnicity WHEN 'Hispanic' THEN 'H' WHEN 'NH_White' THEN 'NHWA' WHEN 'NH_Black' THEN 'NHBA' "
+    "WHEN 'NH_Asian' THEN 'NHAA' WHEN 'NH_AIAN' THEN 'NHIA' WHEN 'NH_NHPI' THEN 'NHNA' WHEN 'NH_TOM' THEN 'NHTOM' END"
+)
+RACE_LEVEL = (
+    "CASE race_p_ethnicity WHEN 'Hispanic' THEN 1 WHEN 'NH_White' THEN 2 WHEN 'NH_Black' THEN 3 "
+    "WHEN 'NH_Asian' THEN 4 WHEN 'NH_AIAN' THEN 5 WHEN 'NH_NHPI' THEN 6 WHEN 'NH_TOM' THEN 7 END"
+)
+
+
+def _export_sql(decade: int) -> str:
+    """Position of each row inside its (national?, year) block of the export order."""
+    if decade in (1970, 1980):
+        rest = f"sex ASC NULLS LAST, race_p_ethnicity ASC NULLS LAST, {BAND_RANK} ASC NULLS LAST"
+    elif decade == 1990:
+        rest = (
+            f"{BAND_RANK} ASC NULLS LAST, sex ASC NULLS LAST, "
+            "CASE WHEN NOT is_us AND race_p_ethnicity = 'H' THEN 1 ELSE 0 END ASC, race_p_ethnicity ASC NULLS LAST"
+        )
+    else:
+        rest = (
+            f"{BAND_RANK} ASC NULLS LAST, sex ASC NULLS LAST, "
+            f"CASE WHEN NOT is_us THEN {RACE_PREFIX} END ASC NULLS LAST, {RACE_LEVEL} ASC NULLS LAST"
+        )
+    select = f"""
+SELECT year, state_fips, state_name, age, sex, race_p_ethnicity, population,
+       CAST(row_number() OVER (PARTITION BY is_us, year ORDER BY state_fips ASC NULLS LAST, {rest}) AS INTEGER) AS position,
+       {decade} AS decade
+FROM (SELECT *, coalesce(state_fips = '00' AND state_name = 'United States', false) AS is_us FROM result)"""
+    return f"SELECT * FROM ({decade_sql(decade, select)})"
+
+
 def oracle_sql() -> dict[str, str]:
     band_sum_cols = ", ".join(
         f"{_band_sum(cols)} AS {alias}"
@@ -444,6 +477,7 @@ UNION ALL SELECT 'origin', CAST(origin AS VARCHAR), count(*) FROM v1990
   WHERE origin IS NULL GROUP BY origin
 UNION ALL SELECT 'fips', fips, count(*) FROM v1990
   WHERE NOT coalesce(length(fips) BETWEEN 3 AND 5, false) GROUP BY fips"""
+    q["export_order"] = " UNION ALL ".join(_export_sql(d) for d in (1970, 1990, 2000))
     for d in (1970, 1980, 1990, 2000, 2010, 2020):
         q[f"pipeline_{d}"] = decade_sql(d)
     q["full_product"] = all_decades_sql(select_decade=True)
