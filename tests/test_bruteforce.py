@@ -166,3 +166,35 @@ def test_1970_matches_brute_force(spark, rows):
     schema = "year int, fips string, race_sex int, " + ", ".join(f"{c} int" for c in codes.WIDE_AGE_COLUMNS)
     raw = spark.createDataFrame(rows, schema)
     same(pl.pipeline(1970, raw, names).collect(), brute_1970(rows))
+
+
+def brute_1980(rows):
+    sizes = [4, 3, 3, 3, 5]
+    long = []
+    for y, f, label, *ages in rows:
+        fips = f if f is None or len(f) >= 5 else "0" + f
+        words = None if label is None else label.split(" ")
+        sex = None if words is None else words[-1][:1].upper() + words[-1][1:].lower()
+        race = None if words is None else words[0]
+        i = 0
+        for b, n in zip(BANDS, sizes):
+            long.append((y, None if fips is None else fips[:2], sex, race, b, ssum(ages[i:i + n])))
+            i += n
+    st_ = group(long, lambda t: t[:5], lambda t: t[5])
+    return finish({(y, s, b, sx, r): p for (y, s, sx, r, b), p in st_.items()})
+
+
+@settings_
+@given(st.lists(st.tuples(
+    st.sampled_from([1980, 1981]),
+    st.sampled_from(["1001", "01001", "2003", "4013", "60010", None]),
+    st.sampled_from(["White male", "Black FEMALE", "Other races female", "Other", None]),
+    *[pop] * 18,
+), min_size=1, max_size=30))
+def test_1980_matches_brute_force(spark, rows):
+    from popspark.functions import codes
+
+    names = spark.createDataFrame(NAMES, "state_fips string, state_name string")
+    schema = "year int, fips string, race_sex string, " + ", ".join(f"{c} int" for c in codes.WIDE_AGE_COLUMNS)
+    raw = spark.createDataFrame(rows, schema)
+    same(pl.pipeline(1980, raw, names).collect(), brute_1980(rows))
