@@ -51,21 +51,23 @@ def domain_violations(df: DataFrame, checks: Mapping[str, Column]) -> DataFrame:
     """(column, value, n_rows) for every value failing its domain predicate.
 
     ``checks`` maps a column name to a predicate that is TRUE for valid
-    values.  NULL counts as a violation (it becomes a missing label).
-    Partial aggregation keeps this a single small shuffle.
+    values.  NULL counts as a violation (it becomes a missing label).  One
+    pass over the input: each row emits its violations as (column, value)
+    structs, which one partial-then-final aggregate counts.
     """
-    parts = []
-    for name, ok in checks.items():
-        bad = df.filter(~F.coalesce(ok, F.lit(False)))
-        parts.append(
-            bad.groupBy(F.col(name).cast("string").alias("value"))
-            .agg(F.count(F.lit(1)).alias("n_rows"))
-            .select(F.lit(name).alias("column"), "value", "n_rows")
-        )
-    out = parts[0]
-    for p in parts[1:]:
-        out = out.unionByName(p)
-    return out
+    flagged = F.array(
+        *[
+            F.when(
+                ~F.coalesce(ok, F.lit(False)),
+                F.struct(F.lit(name).alias("column"), F.col(name).cast("string").alias("value")),
+            )
+            for name, ok in checks.items()
+        ]
+    )
+    found = df.select(F.explode(F.filter(flagged, lambda v: v.isNotNull())).alias("v"))
+    return found.groupBy(F.col("v.column").alias("column"), F.col("v.value").alias("value")).agg(
+        F.count(F.lit(1)).alias("n_rows")
+    )
 
 
 def fail_fast(decades: Iterable[int], run: Callable[[int], object]) -> dict[int, object]:
