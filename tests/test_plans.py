@@ -51,3 +51,5 @@ def test_csv_scan_prunes_unused_columns(spark, tmp_path):
         assert "COUNTY" not in read  # county is summed away, so not read at all
         assert all(f"{c}:" in read for c in ("YEAR", "AGEGRP", "STATE", "H_FEMALE"))
         assert "YEAR:int" in read  # typed by the CSV parser itself
+    pushed = [line for line in plan.split("\n") if "FileScan csv" in line and "PushedFilters" in line]
+    assert any("LessThanOrEqual(YEAR,6)" in line and "EqualTo(AGEGRP,0)" in line for line in pushed)
