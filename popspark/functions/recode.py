@@ -19,12 +19,21 @@ def _col(c: Column | str) -> Column:
     return F.col(c) if isinstance(c, str) else c
 
 
+def _sql(v: object) -> str:
+    return f"'{v}'" if isinstance(v, str) else str(v)
+
+
 def code_map(c: Column | str, mapping: Mapping[object, str]) -> Column:
     """Map codes to labels; unmapped or NULL codes give NULL."""
-    c = _col(c)
     groups: dict[str, list[object]] = {}
     for code, label in mapping.items():
         groups.setdefault(label, []).append(code)
+    if isinstance(c, str):  # one SQL CASE: a single round trip to build
+        whens = " ".join(
+            f"WHEN `{c}` IN ({', '.join(_sql(m) for m in members)}) THEN {_sql(label)}"
+            for label, members in groups.items()
+        )
+        return F.expr(f"CASE {whens} END")
     expr = None
     for label, members in groups.items():
         cond = c.isin(*members)
@@ -82,6 +91,9 @@ def year_from_code(c: Column | str, offset: int) -> Column:
 
 def add_strict(cols: Iterable[Column | str]) -> Column:
     """row-wise sum in BIGINT; NULL if any operand is NULL."""
+    cols = list(cols)
+    if all(isinstance(c, str) for c in cols):  # one SQL expression: one round trip to build
+        return F.expr(" + ".join(f"CAST(`{c}` AS BIGINT)" for c in cols))
     cols = [_col(c).cast("bigint") for c in cols]
     out = cols[0]
     for c in cols[1:]:
@@ -95,13 +107,19 @@ def age_band(c: Column | str, first_age_code: int) -> Column:
     Codes outside first_age_code..18 (including a total code that was not
     filtered out) give NULL; the row itself is kept.
     """
-    c = _col(c)
-    expr = None
+    bounds = []
     lo = first_age_code
     for label, last in zip(codes.BANDS, codes.BAND_LAST_CODE):
-        cond = c.between(lo, last)
-        expr = F.when(cond, F.lit(label)) if expr is None else expr.when(cond, F.lit(label))
+        bounds.append((lo, last, label))
         lo = last + 1
+    if isinstance(c, str):
+        whens = " ".join(f"WHEN `{c}` BETWEEN {a} AND {b} THEN '{label}'" for a, b, label in bounds)
+        return F.expr(f"CASE {whens} END")
+    c = _col(c)
+    expr = None
+    for a, b, label in bounds:
+        cond = c.between(a, b)
+        expr = F.when(cond, F.lit(label)) if expr is None else expr.when(cond, F.lit(label))
     return expr
 
 

@@ -20,7 +20,7 @@ from ..functions.aggregates import strict_sum
 
 def sum_strict(df: DataFrame, keys: Sequence[str], values: Sequence[str]) -> DataFrame:
     """A1/A2/A3: group by ``keys``; each value column becomes its strict sum."""
-    return df.groupBy(*keys).agg(*[strict_sum(F.col(f"`{v}`")).alias(v) for v in values])
+    return df.groupBy(*keys).agg(*[strict_sum(v).alias(v) for v in values])
 
 
 def national(

@@ -40,8 +40,10 @@ def unpivot_named(
     R1/R3: the label is what lands in the long table, so columns are renamed
     to their labels first (a projection, fused into the same stage).
     """
+    if all(label == col for label, col in values.items()):
+        return df.unpivot(list(ids), list(values), name_col, value_col)
     labelled = df.select(*ids, *[_q(col).alias(label) for label, col in values.items()])
-    return labelled.unpivot(list(ids), [_q(label) for label in values], name_col, value_col)
+    return labelled.unpivot(list(ids), list(values), name_col, value_col)
 
 
 def unpivot_split(

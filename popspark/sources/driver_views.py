@@ -72,22 +72,21 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return reader.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def state_code(nationkey: Column) -> Column:
-    return F.when(nationkey >= TERRITORY_FROM_NATION, (nationkey + 38).cast("string")).otherwise(
-        F.lpad((nationkey + 1).cast("string"), 2, "0")
+def state_code(nationkey: str) -> Column:
+    """State code of a nation key column (SQL name)."""
+    n = nationkey
+    return F.expr(
+        f"CASE WHEN {n} >= {TERRITORY_FROM_NATION} THEN CAST({n} + 38 AS STRING) "
+        f"ELSE lpad(CAST({n} + 1 AS STRING), 2, '0') END"
     )
 
 
-def county_code(custkey: Column) -> Column:
-    return F.lpad((custkey % 1000).cast("string"), 3, "0")
+def county_code(custkey: str) -> Column:
+    return F.expr(f"lpad(CAST({custkey} % 1000 AS STRING), 3, '0')")
 
 
-def _is_missing_pop() -> Column:
-    return (F.col("l_quantity") == 50) & (F.col("l_linenumber") == 7) & (F.col("l_returnflag") == "R")
-
-
-def _is_unmapped() -> Column:
-    return (F.col("l_quantity") == 49) & (F.col("l_linenumber") == 7) & (F.col("l_returnflag") == "A")
+MISSING_POP = "l_quantity = 50 AND l_linenumber = 7 AND l_returnflag = 'R'"
+UNMAPPED = "l_quantity = 49 AND l_linenumber = 7 AND l_returnflag = 'A'"
 
 
 def person_records(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -105,16 +104,16 @@ def person_records(spark: SparkSession, sf_dir: str) -> DataFrame:
         (F.col("l_partkey") % 18).cast("int").alias("age_column"),
         F.col("l_suppkey"),
         F.col("l_linenumber"),
-        _is_unmapped().alias("unmapped"),
-        F.when(~_is_missing_pop(), F.col("l_quantity").cast("int")).alias("population"),
+        F.expr(UNMAPPED).alias("unmapped"),
+        F.expr(f"CASE WHEN NOT ({MISSING_POP}) THEN CAST(l_quantity AS INT) END").alias("population"),
     )
     orders = table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey", "o_orderdate")
     cust = table(spark, sf_dir, "customer").select("c_custkey", "c_nationkey")
     oc = orders.join(cust, orders.o_custkey == cust.c_custkey, "inner").select(
         F.col("o_orderkey"),
         F.year("o_orderdate").cast("int").alias("cal_year"),
-        state_code(F.col("c_nationkey")).alias("state_code"),
-        county_code(F.col("c_custkey")).alias("county_code"),
+        state_code("c_nationkey").alias("state_code"),
+        county_code("c_custkey").alias("county_code"),
     )
     base = li.join(oc.hint("merge"), li.l_orderkey == oc.o_orderkey, "inner")
     return base.select(
@@ -141,9 +140,9 @@ def county_fips_table(spark: SparkSession, sf_dir: str) -> DataFrame:
     nation = table(spark, sf_dir, "nation").select("n_nationkey", "n_name")
     j = cust.join(nation, cust.c_nationkey == nation.n_nationkey, "inner")
     return j.select(
-        state_code(F.col("c_nationkey")).alias("state_code"),
+        state_code("c_nationkey").alias("state_code"),
         F.col("n_name").alias("state_name"),
-        county_code(F.col("c_custkey")).alias("county_code"),
+        county_code("c_custkey").alias("county_code"),
     )
 
 
@@ -155,16 +154,16 @@ def _fips(p: DataFrame) -> Column:
     return F.concat(p.state_code, p.county_code)
 
 
-def _one_hot(index: Column, n: int, value: Column) -> list[Column]:
-    """n columns: ``value`` where index == i, else 0 (a sparse wide row)."""
-    return [F.when(index == i, value).otherwise(F.lit(0)) for i in range(n)]
+def _one_hot(index: str, n: int, value: str) -> list[Column]:
+    """n columns: ``value`` where ``index`` (a SQL expression) == i, else 0 (a sparse wide row)."""
+    return [F.expr(f"CASE WHEN {index} = {i} THEN {value} ELSE 0 END") for i in range(n)]
 
 
 def wide_age_1970(spark: SparkSession, sf_dir: str) -> DataFrame:
     """1970 layout (typed): year, fips, race_sex int, 18 age columns."""
     p = person_records(spark, sf_dir)
     race_sex = F.when(F.col("unmapped"), F.lit(7)).otherwise((F.col("l_suppkey") % 6 + 1).cast("int"))
-    ages = _one_hot(F.col("age_column"), 18, F.col("population"))
+    ages = _one_hot("age_column", 18, "population")
     return p.select(
         F.col("cal_year").alias("year"),
         _fips(p).alias("fips"),
@@ -178,7 +177,7 @@ def wide_age_1980(spark: SparkSession, sf_dir: str) -> DataFrame:
     p = person_records(spark, sf_dir)
     labels = F.array(*[F.lit(x) for x in RACE_SEX_LABELS_1980])
     race_sex = F.element_at(labels, (F.col("l_suppkey") % 6 + 1).cast("int"))
-    ages = _one_hot(F.col("age_column"), 18, F.col("population"))
+    ages = _one_hot("age_column", 18, "population")
     return p.select(
         F.col("cal_year").alias("year"),
         _strip_one_zero(_fips(p)).alias("fips"),
@@ -220,8 +219,7 @@ def wide_race(spark: SparkSession, sf_dir: str, decade: int) -> DataFrame:
             .when((F.col("l_linenumber") == 6) & (F.col("l_orderkey") % 3 == 1), F.lit(25))
             .otherwise(F.col("age_code"))
         )
-    cell = ((F.col("l_suppkey") % 7) * 2 + (F.col("l_linenumber") % 2)).cast("int")
-    counts = _one_hot(cell, 14, F.col("population"))
+    counts = _one_hot("CAST((l_suppkey % 7) * 2 + (l_linenumber % 2) AS INT)", 14, "population")
     return p.select(
         (F.col("cal_year") - WIDE_RACE_YEAR_SHIFT[decade]).cast("int").alias("YEAR"),
         agegrp.cast("int").alias("AGEGRP"),
