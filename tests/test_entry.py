@@ -42,3 +42,20 @@ def test_query_matches_oracle(spark, duck, name):
     assert len(got) == len(want)
     assert sorted(df.columns) == sorted(rel.columns)
     assert digest(df.columns, got) == digest(rel.columns, want)
+
+
+@pytest.mark.parametrize("name", ["pipeline_1990", "pipeline_2010", "scan_csv_missing_tokens", "export_order"])
+def test_results_do_not_depend_on_session_settings(spark, duck, name):
+    """The driver runs queries in its own session: AQE off, ANSI off, many partitions."""
+    changed = {"spark.sql.adaptive.enabled": "false", "spark.sql.ansi.enabled": "false", "spark.sql.shuffle.partitions": "37"}
+    before = {k: spark.conf.get(k) for k in changed}
+    try:
+        for k, v in changed.items():
+            spark.conf.set(k, v)
+        df = E.queries()[name](spark, SF001)
+        got = [tuple(r) for r in df.collect()]
+    finally:
+        for k, v in before.items():
+            spark.conf.set(k, v)
+    rel = duck.sql(E.oracle_sql()[name])
+    assert digest(df.columns, got) == digest(rel.columns, rel.fetchall())
