@@ -36,8 +36,9 @@ def _raw(spark: SparkSession, sf: str, decade: int) -> DataFrame:
     return dv.wide_race(spark, sf, decade)
 
 
-def decade_result(spark: SparkSession, sf: str, decade: int) -> DataFrame:
-    return pl.pipeline(decade, _raw(spark, sf, decade), _names(spark, sf))
+def decade_result(spark: SparkSession, sf: str, decade: int, names: DataFrame | None = None) -> DataFrame:
+    names = names if names is not None else _names(spark, sf)
+    return pl.pipeline(decade, _raw(spark, sf, decade), names)
 
 
 # ---------------------------------------------------------------- sources
@@ -321,7 +322,8 @@ def union_states_us(spark, sf):
 
 def union_decades(spark, sf):
     """U3/PL7: all six decades in one table."""
-    return pl.combine([decade_result(spark, sf, d) for d in codes.DECADES])
+    names = _names(spark, sf)
+    return pl.combine([decade_result(spark, sf, d, names) for d in codes.DECADES])
 
 
 def distinct_states(spark, sf):
@@ -348,8 +350,9 @@ EXPORT_ORDER_DECADES = (1970, 1990, 2000)  # one decade per ordering rule
 
 def export_order(spark, sf):
     """O2: export position of every output row, for one decade per ordering rule."""
+    names = _names(spark, sf)
     parts = [
-        setops.export_position(setops.canonical(decade_result(spark, sf, d)), d).withColumn("decade", F.lit(d))
+        setops.export_position(setops.canonical(decade_result(spark, sf, d, names)), d).withColumn("decade", F.lit(d))
         for d in EXPORT_ORDER_DECADES
     ]
     return setops.union_by_name(parts)
@@ -357,9 +360,10 @@ def export_order(spark, sf):
 
 def full_product(spark, sf):
     """PL9: the combined product with its decade partition column."""
-    parts = []
-    for d in codes.DECADES:
-        parts.append(setops.canonical(decade_result(spark, sf, d)).withColumn("decade", F.lit(d)))
+    names = _names(spark, sf)
+    parts = [
+        setops.canonical(decade_result(spark, sf, d, names)).withColumn("decade", F.lit(d)) for d in codes.DECADES
+    ]
     return setops.union_by_name(parts)
 
 
