@@ -13,9 +13,10 @@ the already-aggregated result, at most tens of thousands of rows) before
 the next starts and the combined product
 is built by re-scanning those written results (S9), so a lost executor
 only ever recomputes the current decade, and lineage never spans decades.
-A decade already written (its directory has a ``_SUCCESS`` marker) is
-reused, which makes a failed run resumable, like the reproduced
-download step that skips files already present.
+By default every step is recomputed and overwritten, as the reproduced
+job does.  With ``resume=True`` a step whose output already has a
+``_SUCCESS`` marker is reused, so a run that failed part-way continues
+where it stopped.
 """
 
 from __future__ import annotations
@@ -91,10 +92,15 @@ def run_job(
     county_table: DataFrame,
     decades: Sequence[int] = codes.DECADES,
     check_sources: bool = True,
+    resume: bool = False,
 ) -> DataFrame:
     """PL9. Returns the combined product as re-read from disk."""
+
+    def done(path: str) -> bool:
+        return resume and _written(spark, path)
+
     names_path = f"{out_root.rstrip('/')}/state_names"
-    if not _written(spark, names_path):
+    if not done(names_path):
         sinks.write_state_names(pl.state_names_sorted(county_table), names_path, mode="overwrite")
     names = readers.read_state_names(spark, names_path)
 
@@ -103,7 +109,7 @@ def run_job(
 
     def one(decade: int) -> str:
         out = decade_output(out_root, decade)
-        if not _written(spark, out):
+        if not done(out):
             raw = read_decade(spark, decade, source_paths(src_root, decade))
             result = setops.export_order(pl.pipeline(decade, raw, names), decade)
             sinks.write_csv_gz(result, out, mode="overwrite")
@@ -113,9 +119,9 @@ def run_job(
     combined = pl.combine([readers.read_decade_result(spark, p) for p in written.values()])
     csv_path = f"{out_root.rstrip('/')}/states-asrpe"
     parquet_path = f"{out_root.rstrip('/')}/states-asrpe-parquet"
-    if not _written(spark, csv_path):
+    if not done(csv_path):
         sinks.write_csv_gz(combined, csv_path, mode="overwrite")
-    if not _written(spark, parquet_path):
+    if not done(parquet_path):
         sinks.write_parquet_by_decade(combined, parquet_path, mode="overwrite")
     return readers.read_decade_result(spark, csv_path)
 

@@ -154,7 +154,7 @@ def test_whole_job(spark, src, tmp_path):
     assert parquet.count() == n
     assert sorted(r.decade for r in parquet.select("decade").distinct().collect()) == list(codes.DECADES)
     # resumable: a second run reuses every written decade
-    again = job.run_job(spark, src, out_root, county)
+    again = job.run_job(spark, src, out_root, county, resume=True)
     assert again.count() == n
 
 
