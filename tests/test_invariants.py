@@ -126,3 +126,20 @@ def test_export_order_1990_h_last_for_states_first_for_nation(spark):
         ("01", "Female", "NH_White"), ("01", "Male", "NH_AIAN"), ("01", "Male", "H"),
         ("00", "Male", "H"), ("00", "Male", "NH_White"),
     ]
+
+
+def test_empty_inputs_give_empty_typed_results(spark):
+    names = spark.createDataFrame([("01", "A")], "state_fips string, state_name string")
+    schemas = {
+        1970: "year int, fips string, race_sex int, " + ", ".join(f"{c} int" for c in codes.WIDE_AGE_COLUMNS),
+        1980: "year int, fips string, race_sex string, " + ", ".join(f"{c} int" for c in codes.WIDE_AGE_COLUMNS),
+        1990: "year int, fips string, age int, race_sex int, origin int, population int",
+        2000: "YEAR int, AGEGRP int, STATE string, COUNTY string, " + ", ".join(f"{c} int" for c in codes.WIDE_RACE_COLUMNS),
+    }
+    schemas[2010] = schemas[2020] = schemas[2000]
+    for decade, schema in schemas.items():
+        out = pl.pipeline(decade, spark.createDataFrame([], schema), names)
+        assert [f.dataType.simpleString() for f in out.schema.fields] == [
+            "int", "string", "string", "string", "string", "string", "bigint"
+        ]
+        assert out.count() == 0, decade
