@@ -182,3 +182,15 @@ def test_job_writes_decades_in_export_order(spark, src, tmp_path):
         states = frame[frame.state_fips != "00"]
         keys = list(zip(states.year.astype(int), states.state_fips))
         assert keys == sorted(keys)
+
+
+def test_parquet_copy_prunes_decades(spark, src, tmp_path):
+    county = spark.createDataFrame(fx.COUNTY_TABLE, "state_code string, state_name string, county_code string")
+    out_root = str(tmp_path / "pq")
+    job.run_job(spark, src, out_root, county, decades=(1970, 2010))
+    from pyspark.sql import functions as F
+
+    one = spark.read.parquet(out_root + "/states-asrpe-parquet").filter(F.col("decade") == 2010)
+    plan = one._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [isnotnull(decade" in plan and "(decade#" in plan
+    assert {r.year // 10 * 10 for r in one.select("year").distinct().collect()} == {2010}
