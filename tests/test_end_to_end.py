@@ -2,17 +2,14 @@
 whole job, must equal the in-memory pipelines on the same tables."""
 
 import os
-import sys
 
-sys.path.insert(0, os.path.join(os.path.dirname(os.path.dirname(os.path.abspath(__file__))), "tools"))
+from materialize_sources import materialize
 
-from materialize_sources import materialize  # noqa: E402
+from popspark.functions import codes
+from popspark.plans import catalog, job
+from popspark.sources import driver_views as dv
 
-from popspark.functions import codes  # noqa: E402
-from popspark.plans import catalog, job  # noqa: E402
-from popspark.sources import driver_views as dv  # noqa: E402
-
-from conftest import SF001  # noqa: E402
+from conftest import SF001
 
 
 def test_job_on_files_equals_in_memory_pipelines(spark, tmp_path):

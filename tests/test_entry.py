@@ -1,17 +1,12 @@
 """Driver contract: entry smoke, query/oracle parity, oracle match at sf0.001."""
 
-import os
-import sys
-
 import duckdb
 import pytest
 
-sys.path.insert(0, os.path.join(os.path.dirname(os.path.dirname(os.path.abspath(__file__))), "tools"))
-
-import __spark_entry__ as E  # noqa: E402
-from check_oracle import TABLES, digest  # noqa: E402
+import __spark_entry__ as E
+from check_oracle import TABLES, digest
 
-from conftest import SF001  # noqa: E402
+from conftest import SF001
 
 
 def test_entry_smoke(spark):
