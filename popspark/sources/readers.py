@@ -105,7 +105,7 @@ def is_data_line_1980(value: Column) -> Column:
     line positions, which keeps the scan splittable.
     """
     n_commas = len(codes.WIDE_AGE_LAYOUT_COLUMNS) - 1
-    commas = F.length(value) - F.length(F.regexp_replace(value, ",", ""))
+    commas = F.length(value) - F.length(F.translate(value, ",", ""))
     return commas >= n_commas
 
 
