@@ -42,34 +42,34 @@ def decade_result(spark: SparkSession, sf: str, decade: int, names: DataFrame |
 
 
 # ---------------------------------------------------------------- sources
-def scan_csv_headerless(spark, sf):
+def scan_csv_headerless(spark: SparkSession, sf: str) -> DataFrame:
     """Header-less CSV lines → typed 1970 layout."""
     return readers.parse_wide_age_lines(dv.lines_1970(spark, sf))
 
 
-def scan_csv_preamble(spark, sf):
+def scan_csv_preamble(spark: SparkSession, sf: str) -> DataFrame:
     """Preamble + blank lines + CSV → typed 1980 layout."""
     return readers.parse_preamble_lines(dv.lines_1980(spark, sf))
 
 
-def scan_whitespace(spark, sf):
+def scan_whitespace(spark: SparkSession, sf: str) -> DataFrame:
     """S3: whitespace-separated lines → typed 1990 layout."""
     return readers.parse_whitespace_lines(dv.lines_1990(spark, sf))
 
 
-def scan_csv_header(spark, sf):
+def scan_csv_header(spark: SparkSession, sf: str) -> DataFrame:
     """Header CSV lines, columns picked by name → typed 2000 layout."""
     return readers.parse_header_csv_lines(dv.lines_wide_race(spark, sf, 2000), dv.wide_race_columns(2000))
 
 
-def scan_csv_missing_tokens(spark, sf):
+def scan_csv_missing_tokens(spark: SparkSession, sf: str) -> DataFrame:
     """As S4 with '', 'NA', 'X' as missing → typed 2010 layout."""
     return readers.parse_header_csv_lines(
         dv.lines_wide_race(spark, sf, 2010), dv.wide_race_columns(2010), codes.NA_TOKENS_2010
     )
 
 
-def lookup_scan(spark, sf):
+def lookup_scan(spark: SparkSession, sf: str) -> DataFrame:
     """The state-name lookup as CSV text (header first) read back typed."""
     names = pl.state_names(dv.county_fips_table(spark, sf))
     header = spark.createDataFrame([("state_fips,state_name",)], "value string")
@@ -80,7 +80,7 @@ def lookup_scan(spark, sf):
     return parsed.filter(~F.coalesce(is_header, F.lit(False)))
 
 
-def roundtrip_gzip_csv(spark, sf):
+def roundtrip_gzip_csv(spark: SparkSession, sf: str) -> DataFrame:
     """S10→S9: a decade result rendered as CSV text with NA, parsed back typed."""
     out = decade_result(spark, sf, 1970)
     text = out.select(
@@ -95,7 +95,7 @@ DRIVER_TABLES = ("lineitem", "orders", "customer", "nation")
 AUDIT_MISSING = "state_names.parquet"
 
 
-def source_completeness(spark, sf):
+def source_completeness(spark: SparkSession, sf: str) -> DataFrame:
     """Expected inputs vs rows actually scanned per file."""
     expected = spark.createDataFrame(
         [(0, f"{t}.parquet") for t in DRIVER_TABLES] + [(0, AUDIT_MISSING)], "decade int, file_name string"
@@ -107,18 +107,18 @@ def source_completeness(spark, sf):
 
 
 # ------------------------------------------------------ projections/filters
-def filter_year_age(spark, sf):
+def filter_year_age(spark: SparkSession, sf: str) -> DataFrame:
     """Postcensal YEAR codes kept, total-age rows dropped (2000 rules)."""
     return pl.wide_race_filtered(_raw(spark, sf, 2000), 2000)
 
 
-def filter_string_bound(spark, sf):
+def filter_string_bound(spark: SparkSession, sf: str) -> DataFrame:
     """County code table restricted to state codes ≤ '56' (string compare)."""
     t = dv.county_fips_table(spark, sf)
     return t.filter(F.col("state_code") <= F.lit(codes.MAX_STATE_CODE))
 
 
-def project_rename_reorder(spark, sf):
+def project_rename_reorder(spark: SparkSession, sf: str) -> DataFrame:
     """Derive, keep the named columns, rename STATE → state_fips."""
     rec = pl.wide_race_records(_raw(spark, sf, 2010), 2010)
     return rec.withColumnsRenamed({"STATE": "state_fips", "COUNTY": "county_fips"}).select(
@@ -127,7 +127,7 @@ def project_rename_reorder(spark, sf):
 
 
 # --------------------------------------------------------------- functions
-def recode_sex(spark, sf):
+def recode_sex(spark: SparkSession, sf: str) -> DataFrame:
     """race-sex code → sex (1970 and 1990 tables), unmapped → NULL."""
     r70 = _raw(spark, sf, 1970).select(
         F.lit(1970).alias("decade"), "race_sex", recode.sex_of("race_sex", codes.RACE_SEX_1970).alias("sex")
@@ -138,7 +138,7 @@ def recode_sex(spark, sf):
     return r70.unionByName(r90)
 
 
-def recode_race(spark, sf):
+def recode_race(spark: SparkSession, sf: str) -> DataFrame:
     """race-sex code → race (1970 and 1990 tables), unmapped → NULL."""
     r70 = _raw(spark, sf, 1970).select(
         F.lit(1970).alias("decade"), "race_sex", recode.race_of("race_sex", codes.RACE_SEX_1970).alias("race")
@@ -149,12 +149,12 @@ def recode_race(spark, sf):
     return r70.unionByName(r90)
 
 
-def recode_origin(spark, sf):
+def recode_origin(spark: SparkSession, sf: str) -> DataFrame:
     """origin code → NH / Hispanic (missing stays missing)."""
     return _raw(spark, sf, 1990).select("origin", recode.origin_label("origin").alias("origin_label"))
 
 
-def split_words_title(spark, sf):
+def split_words_title(spark: SparkSession, sf: str) -> DataFrame:
     """1980 label → title-cased last word (sex) and first word (race)."""
     return _raw(spark, sf, 1980).select(
         "race_sex",
@@ -163,7 +163,7 @@ def split_words_title(spark, sf):
     )
 
 
-def pad_fips(spark, sf):
+def pad_fips(spark: SparkSession, sf: str) -> DataFrame:
     """One leading zero added below five characters; state = first two."""
     raw = _raw(spark, sf, 1990)
     padded = recode.pad_one_zero("fips")
@@ -175,7 +175,7 @@ def pad_fips(spark, sf):
     )
 
 
-def year_offset(spark, sf):
+def year_offset(spark: SparkSession, sf: str) -> DataFrame:
     """YEAR code + layout offset (2000, 2010, 2020) and 1900 + two-digit year."""
     parts = []
     for d, lay in codes.WIDE_RACE_LAYOUTS.items():
@@ -196,7 +196,7 @@ def year_offset(spark, sf):
     return setops.union_by_name(parts)
 
 
-def age_band_sums(spark, sf):
+def age_band_sums(spark: SparkSession, sf: str) -> DataFrame:
     """18 wide age columns → 5 band sums per row (NULL if any input NULL)."""
     raw = _raw(spark, sf, 1970)
     bands = codes.wide_age_band_members()
@@ -206,7 +206,7 @@ def age_band_sums(spark, sf):
     )
 
 
-def age_band_collapse(spark, sf):
+def age_band_collapse(spark: SparkSession, sf: str) -> DataFrame:
     """Age code → band under the 0-based (1990/2000) and 1-based (2010/2020) schemes."""
     r90 = _raw(spark, sf, 1990).select(
         F.lit("0-based").alias("scheme"), F.col("age").alias("code"), recode.age_band("age", 0).alias("age_band")
@@ -220,7 +220,7 @@ def age_band_collapse(spark, sf):
     return setops.union_by_name([r90, r00, r10])
 
 
-def race_label_map(spark, sf):
+def race_label_map(spark: SparkSession, sf: str) -> DataFrame:
     """unpivoted race prefix → output label, per county row (2020 rules)."""
     rec = pl.wide_race_records(_raw(spark, sf, 2020), 2020)
     long = reshape.unpivot_split(
@@ -240,7 +240,7 @@ def _pivot_1990(spark, sf) -> DataFrame:
     )
 
 
-def hispanic_total(spark, sf):
+def hispanic_total(spark: SparkSession, sf: str) -> DataFrame:
     """H = sum of the four Hispanic race cells per state row; any absent → NULL."""
     wide = _pivot_1990(spark, sf)
     cells = [f"Hispanic_{r}" for r in codes.HISPANIC_RACES_1990]
@@ -248,7 +248,7 @@ def hispanic_total(spark, sf):
 
 
 # ----------------------------------------------------------------- reshape
-def unpivot_age(spark, sf):
+def unpivot_age(spark: SparkSession, sf: str) -> DataFrame:
     """Wide band sums → long (age label, population), NULLs kept."""
     raw = _raw(spark, sf, 1970)
     bands = codes.wide_age_band_members()
@@ -256,7 +256,7 @@ def unpivot_age(spark, sf):
     return reshape.unpivot_named(rec, ["year", "fips", "race_sex"], {b: b for b in codes.BANDS}, "age", "population")
 
 
-def unpivot_race_sex(spark, sf):
+def unpivot_race_sex(spark: SparkSession, sf: str) -> DataFrame:
     """R2/P10: 14 <race>_<SEX> columns → (rpe, sex, population), NULLs kept."""
     rec = pl.wide_race_records(_raw(spark, sf, 2000), 2000)
     return reshape.unpivot_split(
@@ -264,23 +264,23 @@ def unpivot_race_sex(spark, sf):
     )
 
 
-def unpivot_exclude(spark, sf):
+def unpivot_exclude(spark: SparkSession, sf: str) -> DataFrame:
     """The 1990 state table long again over every non-id column."""
     return pl.long_codes_states(_raw(spark, sf, 1990))
 
 
-def pivot_origin_race(spark, sf):
+def pivot_origin_race(spark: SparkSession, sf: str) -> DataFrame:
     """1990 state rows, one column per origin_race cell (absent cell → NULL)."""
     return _pivot_1990(spark, sf)
 
 
 # -------------------------------------------------------------- aggregates
-def agg_state(spark, sf):
+def agg_state(spark: SparkSession, sf: str) -> DataFrame:
     """A1: 1970 state-level sums by (year, state, sex, race, band)."""
     return pl.wide_age_states(_raw(spark, sf, 1970), 1970)
 
 
-def agg_county_band(spark, sf):
+def agg_county_band(spark: SparkSession, sf: str) -> DataFrame:
     """A2: 2000 county × band × sex × race sums."""
     rec = pl.wide_race_records(_raw(spark, sf, 2000), 2000)
     keys = ["year", "STATE", "COUNTY", "age"]
@@ -288,18 +288,18 @@ def agg_county_band(spark, sf):
     return reshape.unpivot_split(wide, keys, list(codes.WIDE_RACE_COLUMNS), ("rpe", "sex"), "population")
 
 
-def agg_county_to_state(spark, sf):
+def agg_county_to_state(spark: SparkSession, sf: str) -> DataFrame:
     """A3: 2000 state-level long table (county level summed away)."""
     return pl.wide_race_states(_raw(spark, sf, 2000), 2000)
 
 
-def agg_national(spark, sf):
+def agg_national(spark: SparkSession, sf: str) -> DataFrame:
     """2010 national rows from the named state table."""
     states = join.attach_state_names(pl.wide_race_states(_raw(spark, sf, 2010), 2010), _names(spark, sf))
     return setops.canonical(aggregate.national(states))
 
 
-def strict_sum_query(spark, sf):
+def strict_sum_query(spark: SparkSession, sf: str) -> DataFrame:
     """A5: missing-propagating sum next to Spark's NULL-skipping sum, per (year, state)."""
     rec = pl.long_codes_records(_raw(spark, sf, 1990))
     return rec.groupBy("year", "state_fips").agg(
@@ -310,28 +310,28 @@ def strict_sum_query(spark, sf):
 
 
 # ---------------------------------------------------------- joins and sets
-def join_state_names(spark, sf):
+def join_state_names(spark: SparkSession, sf: str) -> DataFrame:
     """2020 state rows with their names; territory codes stay unnamed."""
     return join.attach_state_names(pl.wide_race_states(_raw(spark, sf, 2020), 2020), _names(spark, sf))
 
 
-def union_states_us(spark, sf):
+def union_states_us(spark: SparkSession, sf: str) -> DataFrame:
     """2000 state rows ∪ national rows, matched by name."""
     return decade_result(spark, sf, 2000)
 
 
-def union_decades(spark, sf):
+def union_decades(spark: SparkSession, sf: str) -> DataFrame:
     """U3/PL7: all six decades in one table."""
     names = _names(spark, sf)
     return pl.combine([decade_result(spark, sf, d, names) for d in codes.DECADES])
 
 
-def distinct_states(spark, sf):
+def distinct_states(spark: SparkSession, sf: str) -> DataFrame:
     """D1/O1/PL8: the state-name dimension."""
     return pl.state_names_sorted(dv.county_fips_table(spark, sf))
 
 
-def domain_violations(spark, sf):
+def domain_violations(spark: SparkSession, sf: str) -> DataFrame:
     """1990 codes outside their domains (unmapped race_sex, age, origin, fips)."""
     raw = _raw(spark, sf, 1990)
     return quality.domain_violations(
@@ -348,7 +348,7 @@ def domain_violations(spark, sf):
 EXPORT_ORDER_DECADES = (1970, 1990, 2000)  # one decade per ordering rule
 
 
-def export_order(spark, sf):
+def export_order(spark: SparkSession, sf: str) -> DataFrame:
     """O2: export position of every output row, for one decade per ordering rule."""
     names = _names(spark, sf)
     parts = [
@@ -358,7 +358,7 @@ def export_order(spark, sf):
     return setops.union_by_name(parts)
 
 
-def full_product(spark, sf):
+def full_product(spark: SparkSession, sf: str) -> DataFrame:
     """PL9: the combined product with its decade partition column."""
     names = _names(spark, sf)
     parts = [
@@ -368,7 +368,7 @@ def full_product(spark, sf):
 
 
 def _pipeline(decade: int) -> Query:
-    def run(spark, sf):
+    def run(spark: SparkSession, sf: str) -> DataFrame:
         return decade_result(spark, sf, decade)
 
     run.__name__ = f"pipeline_{decade}"
