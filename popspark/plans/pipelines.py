@@ -121,16 +121,14 @@ def long_codes_states(raw: DataFrame) -> DataFrame:
         {"pop": strict_sum("population"), "n": F.count(F.lit(1))},
     )
     hisp = [f"{codes.ORIGIN_LABELS[1]}_{r}" for r in codes.HISPANIC_RACES_1990]
-    # H = sum of the four Hispanic race cells; any absent/NULL → NULL.
-    h_value = recode.add_strict([F.col(f"`{c}_pop`") for c in hisp])
-    h_rows = F.lit(1).cast("bigint")  # H exists whenever the pivot does
     keep = [c for c in cells if c not in hisp]
-    # Long again over everything but the ids; one struct per cell.
-    entries = [
-        F.struct(F.lit(c).alias("race_p_ethnicity"), F.col(f"`{c}_pop`").alias("population"), F.col(f"`{c}_n`").alias("n"))
-        for c in keep
-    ] + [F.struct(F.lit(codes.HISPANIC_TOTAL_1990).alias("race_p_ethnicity"), h_value.alias("population"), h_rows.alias("n"))]
-    long = wide.select(*ids, F.inline(F.array(*entries)))
+    # H = sum of the four Hispanic race cells; any absent/NULL → NULL.
+    h_value = " + ".join(f"CAST(`{c}_pop` AS BIGINT)" for c in hisp)
+    # Long again over everything but the ids — one (label, value, rows)
+    # struct per kept cell plus H, which exists whenever the pivot does.
+    entries = [f"struct('{c}' AS race_p_ethnicity, `{c}_pop` AS population, `{c}_n` AS n)" for c in keep]
+    entries.append(f"struct('{codes.HISPANIC_TOTAL_1990}' AS race_p_ethnicity, {h_value} AS population, 1L AS n)")
+    long = wide.selectExpr(*ids, f"inline(array({', '.join(entries)}))")
     # A cell is a column only if some state row has it: semi-join on the
     # (≤ 16-row, bounded by the cell list) set of present cells.
     present = long.groupBy("race_p_ethnicity").agg(F.sum("n").alias("n")).filter(F.col("n") > 0)

@@ -72,17 +72,25 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return reader.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def state_code(nationkey: str) -> Column:
-    """State code of a nation key column (SQL name)."""
+def state_code_sql(nationkey: str) -> str:
+    """State code of a nation key column, as a SQL expression."""
     n = nationkey
-    return F.expr(
+    return (
         f"CASE WHEN {n} >= {TERRITORY_FROM_NATION} THEN CAST({n} + 38 AS STRING) "
         f"ELSE lpad(CAST({n} + 1 AS STRING), 2, '0') END"
     )
 
 
+def county_code_sql(custkey: str) -> str:
+    return f"lpad(CAST({custkey} % 1000 AS STRING), 3, '0')"
+
+
+def state_code(nationkey: str) -> Column:
+    return F.expr(state_code_sql(nationkey))
+
+
 def county_code(custkey: str) -> Column:
-    return F.expr(f"lpad(CAST({custkey} % 1000 AS STRING), 3, '0')")
+    return F.expr(county_code_sql(custkey))
 
 
 MISSING_POP = "l_quantity = 50 AND l_linenumber = 7 AND l_returnflag = 'R'"
@@ -98,24 +106,24 @@ def person_records(spark: SparkSession, sf_dir: str) -> DataFrame:
     shuffle (sort-merge) join rather than left to size estimates, which
     without statistics can pick the larger side to broadcast.
     """
-    li = table(spark, sf_dir, "lineitem").select(
-        F.col("l_orderkey"),
-        (F.col("l_partkey") % 19).cast("int").alias("age_code"),
-        (F.col("l_partkey") % 18).cast("int").alias("age_column"),
-        F.col("l_suppkey"),
-        F.col("l_linenumber"),
-        F.expr(UNMAPPED).alias("unmapped"),
-        F.expr(f"CASE WHEN NOT ({MISSING_POP}) THEN CAST(l_quantity AS INT) END").alias("population"),
+    li = table(spark, sf_dir, "lineitem").selectExpr(
+        "l_orderkey",
+        "CAST(l_partkey % 19 AS INT) AS age_code",
+        "CAST(l_partkey % 18 AS INT) AS age_column",
+        "l_suppkey",
+        "l_linenumber",
+        f"({UNMAPPED}) AS unmapped",
+        f"CASE WHEN NOT ({MISSING_POP}) THEN CAST(l_quantity AS INT) END AS population",
     )
     orders = table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey", "o_orderdate")
     cust = table(spark, sf_dir, "customer").select("c_custkey", "c_nationkey")
-    oc = orders.join(cust, orders.o_custkey == cust.c_custkey, "inner").select(
-        F.col("o_orderkey"),
-        F.year("o_orderdate").cast("int").alias("cal_year"),
-        state_code("c_nationkey").alias("state_code"),
-        county_code("c_custkey").alias("county_code"),
+    oc = orders.join(cust, F.expr("o_custkey = c_custkey"), "inner").selectExpr(
+        "o_orderkey",
+        "CAST(year(o_orderdate) AS INT) AS cal_year",
+        f"{state_code_sql('c_nationkey')} AS state_code",
+        f"{county_code_sql('c_custkey')} AS county_code",
     )
-    base = li.join(oc.hint("merge"), li.l_orderkey == oc.o_orderkey, "inner")
+    base = li.join(oc.hint("merge"), F.expr("l_orderkey = o_orderkey"), "inner")
     return base.select(
         "cal_year",
         "state_code",
@@ -146,58 +154,49 @@ def county_fips_table(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def _strip_one_zero(c: Column) -> Column:
-    return F.when(F.substring(c, 1, 1) == "0", F.substring(c, 2, 10)).otherwise(c)
-
-
-def _fips(p: DataFrame) -> Column:
-    return F.concat(p.state_code, p.county_code)
+FIPS = "concat(state_code, county_code)"
+# one leading zero stripped (a 4-digit FIPS for states 01-09)
+FIPS_ONE_ZERO_STRIPPED = (
+    "CASE WHEN substr(state_code, 1, 1) = '0' THEN substr(concat(state_code, county_code), 2) "
+    "ELSE concat(state_code, county_code) END"
+)
 
 
-def _one_hot(index: str, n: int, value: str) -> list[Column]:
-    """n columns: ``value`` where ``index`` (a SQL expression) == i, else 0 (a sparse wide row)."""
-    return [F.expr(f"CASE WHEN {index} = {i} THEN {value} ELSE 0 END") for i in range(n)]
+def _one_hot(index: str, names: tuple[str, ...], value: str = "population") -> list[str]:
+    """One SQL column per name: ``value`` where ``index`` == its position, else 0 (a sparse wide row)."""
+    return [f"CASE WHEN {index} = {i} THEN {value} ELSE 0 END AS {n}" for i, n in enumerate(names)]
 
 
 def wide_age_1970(spark: SparkSession, sf_dir: str) -> DataFrame:
     """1970 layout (typed): year, fips, race_sex int, 18 age columns."""
-    p = person_records(spark, sf_dir)
-    race_sex = F.when(F.col("unmapped"), F.lit(7)).otherwise((F.col("l_suppkey") % 6 + 1).cast("int"))
-    ages = _one_hot("age_column", 18, "population")
-    return p.select(
-        F.col("cal_year").alias("year"),
-        _fips(p).alias("fips"),
-        race_sex.alias("race_sex"),
-        *[c.alias(n) for c, n in zip(ages, codes.WIDE_AGE_COLUMNS)],
+    return person_records(spark, sf_dir).selectExpr(
+        "cal_year AS year",
+        f"{FIPS} AS fips",
+        "CASE WHEN unmapped THEN 7 ELSE CAST(l_suppkey % 6 + 1 AS INT) END AS race_sex",
+        *_one_hot("age_column", codes.WIDE_AGE_COLUMNS),
     )
 
 
 def wide_age_1980(spark: SparkSession, sf_dir: str) -> DataFrame:
     """1980 layout (typed): as 1970, race_sex is a text label, state zero stripped."""
-    p = person_records(spark, sf_dir)
-    labels = F.array(*[F.lit(x) for x in RACE_SEX_LABELS_1980])
-    race_sex = F.element_at(labels, (F.col("l_suppkey") % 6 + 1).cast("int"))
-    ages = _one_hot("age_column", 18, "population")
-    return p.select(
-        F.col("cal_year").alias("year"),
-        _strip_one_zero(_fips(p)).alias("fips"),
-        race_sex.alias("race_sex"),
-        *[c.alias(n) for c, n in zip(ages, codes.WIDE_AGE_COLUMNS)],
+    labels = ", ".join(f"'{x}'" for x in RACE_SEX_LABELS_1980)
+    return person_records(spark, sf_dir).selectExpr(
+        "cal_year AS year",
+        f"{FIPS_ONE_ZERO_STRIPPED} AS fips",
+        f"element_at(array({labels}), CAST(l_suppkey % 6 + 1 AS INT)) AS race_sex",
+        *_one_hot("age_column", codes.WIDE_AGE_COLUMNS),
     )
 
 
 def long_codes_1990(spark: SparkSession, sf_dir: str) -> DataFrame:
     """1990 layout (typed): two-digit year, fips, age 0..18, race_sex, origin, population."""
-    p = person_records(spark, sf_dir)
-    race_sex = F.when(F.col("unmapped"), F.lit(9)).otherwise((F.col("l_suppkey") % 8 + 1).cast("int"))
-    origin = F.when(F.col("l_linenumber") % 3 == 0, F.lit(2)).otherwise(F.lit(1))
-    return p.select(
-        (F.col("cal_year") - 1900).cast("int").alias("year"),
-        _strip_one_zero(_fips(p)).alias("fips"),
-        F.col("age_code").alias("age"),
-        race_sex.alias("race_sex"),
-        origin.alias("origin"),
-        F.col("population"),
+    return person_records(spark, sf_dir).selectExpr(
+        "CAST(cal_year - 1900 AS INT) AS year",
+        f"{FIPS_ONE_ZERO_STRIPPED} AS fips",
+        "age_code AS age",
+        "CASE WHEN unmapped THEN 9 ELSE CAST(l_suppkey % 8 + 1 AS INT) END AS race_sex",
+        "CASE WHEN l_linenumber % 3 = 0 THEN 2 ELSE 1 END AS origin",
+        "population",
     )
 
 
@@ -211,21 +210,19 @@ def wide_race(spark: SparkSession, sf_dir: str, decade: int) -> DataFrame:
 
     2000 also carries total rows (AGEGRP 99) and an out-of-domain age code.
     """
-    p = person_records(spark, sf_dir)
-    agegrp = F.col("age_code")
+    agegrp = "age_code"
     if decade == 2000:
         agegrp = (
-            F.when((F.col("l_linenumber") == 6) & (F.col("l_orderkey") % 3 == 0), F.lit(99))
-            .when((F.col("l_linenumber") == 6) & (F.col("l_orderkey") % 3 == 1), F.lit(25))
-            .otherwise(F.col("age_code"))
+            "CASE WHEN l_linenumber = 6 AND l_orderkey % 3 = 0 THEN 99 "
+            "WHEN l_linenumber = 6 AND l_orderkey % 3 = 1 THEN 25 ELSE age_code END"
         )
-    counts = _one_hot("CAST((l_suppkey % 7) * 2 + (l_linenumber % 2) AS INT)", 14, "population")
-    return p.select(
-        (F.col("cal_year") - WIDE_RACE_YEAR_SHIFT[decade]).cast("int").alias("YEAR"),
-        agegrp.cast("int").alias("AGEGRP"),
-        F.col("state_code").alias("STATE"),
-        F.col("county_code").alias("COUNTY"),
-        *[c.alias(n) for c, n in zip(counts, codes.WIDE_RACE_COLUMNS)],
+    cell = "CAST((l_suppkey % 7) * 2 + (l_linenumber % 2) AS INT)"
+    return person_records(spark, sf_dir).selectExpr(
+        f"CAST(cal_year - {WIDE_RACE_YEAR_SHIFT[decade]} AS INT) AS YEAR",
+        f"CAST({agegrp} AS INT) AS AGEGRP",
+        "state_code AS STATE",
+        "county_code AS COUNTY",
+        *_one_hot(cell, codes.WIDE_RACE_COLUMNS),
     )
 
 
