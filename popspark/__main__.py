@@ -47,6 +47,7 @@ def main(argv: list[str] | None = None) -> int:
     r.add_argument("--out", required=True)
     r.add_argument("--county", required=True)
     r.add_argument("--resume", action="store_true", help="reuse steps whose output is complete")
+    r.add_argument("--domain-report", action="store_true", help="also write per-decade code-domain violations")
     args = p.parse_args(argv)
 
     spark = SparkSession.builder.appName(f"popspark-{args.cmd}").getOrCreate()
@@ -64,7 +65,9 @@ def main(argv: list[str] | None = None) -> int:
         result = setops.export_order(pl.pipeline(args.decade, raw, names), args.decade)
         sinks.write_csv_gz(result, job.decade_output(args.out, args.decade), mode="overwrite")
     else:
-        job.run_job(spark, args.src, args.out, _county(spark, args.county), resume=args.resume)
+        job.run_job(
+            spark, args.src, args.out, _county(spark, args.county), resume=args.resume, domain_report=args.domain_report
+        )
     return 0
 
 

@@ -70,6 +70,40 @@ def domain_violations(df: DataFrame, checks: Mapping[str, Column]) -> DataFrame:
     )
 
 
+def layout_checks(decade: int) -> dict[str, Column]:
+    """Per-layout code domains (§1.5): column → predicate TRUE for a valid value."""
+    c = F.col
+    if decade == 1970:
+        return {
+            "year": c("year").isNotNull(),
+            "fips": F.length("fips") == 5,
+            "race_sex": c("race_sex").isin(*codes.RACE_SEX_1970),
+        }
+    if decade == 1980:
+        words = F.split(c("race_sex"), " ")
+        return {
+            "year": c("year").isNotNull(),
+            "fips": F.length("fips").between(4, 5),
+            "race_sex": (F.size(words) >= 2)
+            & F.lower(F.element_at(words, -1)).isin("male", "female"),
+        }
+    if decade == 1990:
+        return {
+            "year": c("year").isNotNull(),
+            "fips": F.length("fips").between(3, 5),
+            "age": c("age").between(0, 18),
+            "race_sex": c("race_sex").isin(*codes.RACE_SEX_1990),
+            "origin": c("origin").isNotNull(),
+        }
+    lay = codes.WIDE_RACE_LAYOUTS[decade]
+    return {
+        "YEAR": c("YEAR").isNotNull(),
+        "AGEGRP": c("AGEGRP").between(lay["first_age_code"], codes.BAND_LAST_CODE[-1])
+        | (c("AGEGRP") == lay["total_age"]),
+        "STATE": F.length("STATE") == 2,
+    }
+
+
 def fail_fast(decades: Iterable[int], run: Callable[[int], object]) -> dict[int, object]:
     """D3: run each decade in order; the first failure aborts with its decade."""
     done: dict[int, object] = {}

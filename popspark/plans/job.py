@@ -93,8 +93,15 @@ def run_job(
     decades: Sequence[int] = codes.DECADES,
     check_sources: bool = True,
     resume: bool = False,
+    domain_report: bool = False,
 ) -> DataFrame:
-    """PL9. Returns the combined product as re-read from disk."""
+    """PL9. Returns the combined product as re-read from disk.
+
+    ``domain_report`` also writes, per decade, the source codes outside their
+    domains (``<decade>/domain-violations/``, one small CSV).  Unmapped codes
+    never fail the job — they become missing labels, as in the reproduced
+    pipeline — and the report costs one more scan of each decade's input.
+    """
 
     def done(path: str) -> bool:
         return resume and _written(spark, path)
@@ -113,6 +120,9 @@ def run_job(
             raw = read_decade(spark, decade, source_paths(src_root, decade))
             result = setops.export_order(pl.pipeline(decade, raw, names), decade)
             sinks.write_csv_gz(result, out, mode="overwrite")
+            if domain_report:
+                report = quality.domain_violations(raw, quality.layout_checks(decade))
+                sinks.write_report(report, f"{out_root.rstrip('/')}/{decade}/domain-violations")
         return out
 
     written = quality.fail_fast(decades, one)

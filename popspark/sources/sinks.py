@@ -33,3 +33,8 @@ def write_parquet_by_decade(df: DataFrame, path: str, mode: str = "errorifexists
     """S12 (Parquet copy): partitioned by decade so readers prune decades."""
     with_decade = df.withColumn("decade", (F.floor(F.col("year") / 10) * 10).cast("int"))
     with_decade.write.mode(mode).partitionBy("decade").parquet(path)
+
+
+def write_report(df: DataFrame, path: str) -> None:
+    """An audit result as CSV with header; usually tiny, so AQE leaves few parts."""
+    df.write.mode("overwrite").option("header", "true").option("nullValue", "NA").csv(path)

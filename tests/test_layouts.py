@@ -194,3 +194,13 @@ def test_parquet_copy_prunes_decades(spark, src, tmp_path):
     plan = one._jdf.queryExecution().executedPlan().toString()
     assert "PartitionFilters: [isnotnull(decade" in plan and "(decade#" in plan
     assert {r.year // 10 * 10 for r in one.select("year").distinct().collect()} == {2010}
+
+
+def test_job_domain_report(spark, src, tmp_path):
+    county = spark.createDataFrame(fx.COUNTY_TABLE, "state_code string, state_name string, county_code string")
+    out_root = str(tmp_path / "dr")
+    job.run_job(spark, src, out_root, county, decades=(1970, 1990, 2000), domain_report=True)
+    r70 = {(r.column, r.value): int(r.n_rows) for r in spark.read.option("header", "true").csv(out_root + "/1970/domain-violations").collect()}
+    assert r70 == {("race_sex", "9"): 1}  # the unmapped race-sex code of the fixture
+    r00 = {(r.column, r.value) for r in spark.read.option("header", "true").csv(out_root + "/2000/domain-violations").collect()}
+    assert r00 == set()  # codes 0..18 and the total 99 are all in domain
