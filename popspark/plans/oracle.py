@@ -469,7 +469,9 @@ FROM expected e LEFT JOIN (SELECT * FROM present WHERE n_rows > 0) p ON e.file_n
     q["union_decades"] = all_decades_sql(select_decade=False)
     q["distinct_states"] = with_(COUNTY_FIPS, NAMES) + "SELECT * FROM names ORDER BY state_fips NULLS LAST"
     q["domain_violations"] = with_(PERSONS, V1990) + """
-SELECT 'race_sex' AS "column", CAST(race_sex AS VARCHAR) AS value, count(*) AS n_rows FROM v1990
+SELECT 'year' AS "column", CAST(year AS VARCHAR) AS value, count(*) AS n_rows FROM v1990
+  WHERE year IS NULL GROUP BY year
+UNION ALL SELECT 'race_sex', CAST(race_sex AS VARCHAR), count(*) FROM v1990
   WHERE NOT coalesce(race_sex IN (1, 2, 3, 4, 5, 6, 7, 8), false) GROUP BY race_sex
 UNION ALL SELECT 'age', CAST(age AS VARCHAR), count(*) FROM v1990
   WHERE NOT coalesce(age BETWEEN 0 AND 18, false) GROUP BY age
