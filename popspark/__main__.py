@@ -3,6 +3,7 @@
     python -m popspark state-names --county fips_codes.csv --out data/
     python -m popspark audit       --src src/ [--decade 1990 ...]
     python -m popspark decade      --src src/ --out data/ --decade 2010
+    python -m popspark combine     --out data/
     python -m popspark run         --src src/ --out data/ --county fips_codes.csv
 
 On a cluster: ``spark-submit --py-files popspark.zip tools/popspark_submit.py run ...``.  ``--county`` is a CSV with a header
@@ -42,6 +43,9 @@ def main(argv: list[str] | None = None) -> int:
     d.add_argument("--src", required=True)
     d.add_argument("--out", required=True)
     d.add_argument("--decade", type=int, required=True, choices=codes.DECADES)
+    c = sub.add_parser("combine", help="PL7: combine the written decades into the product")
+    c.add_argument("--out", required=True)
+    c.add_argument("--decade", type=int, action="append", choices=codes.DECADES)
     r = sub.add_parser("run", help="PL9: dimension, audit, all decades, combined product")
     r.add_argument("--src", required=True)
     r.add_argument("--out", required=True)
@@ -64,6 +68,8 @@ def main(argv: list[str] | None = None) -> int:
         raw = job.read_decade(spark, args.decade, job.source_paths(args.src, args.decade))
         result = setops.export_order(pl.pipeline(args.decade, raw, names), args.decade)
         sinks.write_csv_gz(result, job.decade_output(args.out, args.decade), mode="overwrite")
+    elif args.cmd == "combine":
+        job.combine_outputs(spark, args.out, args.decade or codes.DECADES)
     else:
         job.run_job(
             spark, args.src, args.out, _county(spark, args.county), resume=args.resume, domain_report=args.domain_report

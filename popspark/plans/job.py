@@ -125,13 +125,20 @@ def run_job(
                 sinks.write_report(report, f"{out_root.rstrip('/')}/{decade}/domain-violations")
         return out
 
-    written = quality.fail_fast(decades, one)
-    combined = pl.combine([readers.read_decade_result(spark, p) for p in written.values()])
+    quality.fail_fast(decades, one)
+    return combine_outputs(spark, out_root, decades, resume=resume)
+
+
+def combine_outputs(
+    spark: SparkSession, out_root: str, decades: Sequence[int] = codes.DECADES, resume: bool = False
+) -> DataFrame:
+    """PL7: re-scan the written decades (S9), union them (U3), write the product."""
+    combined = pl.combine([readers.read_decade_result(spark, decade_output(out_root, d)) for d in decades])
     csv_path = f"{out_root.rstrip('/')}/states-asrpe"
     parquet_path = f"{out_root.rstrip('/')}/states-asrpe-parquet"
-    if not done(csv_path):
+    if not (resume and _written(spark, csv_path)):
         sinks.write_csv_gz(combined, csv_path, mode="overwrite")
-    if not done(parquet_path):
+    if not (resume and _written(spark, parquet_path)):
         sinks.write_parquet_by_decade(combined, parquet_path, mode="overwrite")
     return readers.read_decade_result(spark, csv_path)
 

@@ -23,6 +23,8 @@ def test_cli_state_names_decade_and_run(spark, tmp_path):
     assert main(["audit", "--src", src]) == 0
     assert main(["decade", "--src", src, "--out", out, "--decade", "2010"]) == 0
     assert os.path.exists(os.path.join(out, "2010", "states-asrpe2010", "_SUCCESS"))
+    assert main(["combine", "--out", out, "--decade", "2010"]) == 0
+    assert spark.read.option("header", "true").csv(out + "/states-asrpe").count() > 0
     assert main(["run", "--src", src, "--out", out, "--county", county]) == 0
     assert os.path.exists(os.path.join(out, "states-asrpe", "_SUCCESS"))
 
