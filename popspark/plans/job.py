@@ -76,6 +76,14 @@ def decade_output(out_root: str, decade: int) -> str:
     return f"{out_root.rstrip('/')}/{decade}/states-asrpe{decade}"
 
 
+def _exists(spark: SparkSession, path: str) -> bool:
+    try:
+        spark.read.text(path).limit(1).collect()
+        return True
+    except AnalysisException:
+        return False
+
+
 def _written(spark: SparkSession, path: str) -> bool:
     """True when a previous run finished writing ``path`` (its _SUCCESS marker exists)."""
     try:
@@ -132,8 +140,19 @@ def run_job(
 def combine_outputs(
     spark: SparkSession, out_root: str, decades: Sequence[int] = codes.DECADES, resume: bool = False
 ) -> DataFrame:
-    """PL7: re-scan the written decades (S9), union them (U3), write the product."""
-    combined = pl.combine([readers.read_decade_result(spark, decade_output(out_root, d)) for d in decades])
+    """PL7: re-scan the written decades (S9), union them (U3), write the product.
+
+    A decade is read from this job's output directory or, when that is
+    absent, from a single ``<decade>/states-asrpe<decade>.csv.gz`` file as
+    the reproduced job writes it, so existing results can be combined too.
+    """
+    paths = []
+    for d in decades:
+        path = decade_output(out_root, d)
+        if not _exists(spark, path) and _exists(spark, path + ".csv.gz"):
+            path += ".csv.gz"
+        paths.append(path)
+    combined = pl.combine([readers.read_decade_result(spark, p) for p in paths])
     csv_path = f"{out_root.rstrip('/')}/states-asrpe"
     parquet_path = f"{out_root.rstrip('/')}/states-asrpe-parquet"
     if not (resume and _written(spark, csv_path)):

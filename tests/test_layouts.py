@@ -204,3 +204,21 @@ def test_job_domain_report(spark, src, tmp_path):
     assert r70 == {("race_sex", "9"): 1}  # the unmapped race-sex code of the fixture
     r00 = {(r.column, r.value) for r in spark.read.option("header", "true").csv(out_root + "/2000/domain-violations").collect()}
     assert r00 == set()  # codes 0..18 and the total 99 are all in domain
+
+
+def test_combine_reads_single_file_decade_results(spark, tmp_path):
+    """Decade results in the single gzip CSV layout (NA for missing) combine as well."""
+    import gzip
+
+    out = tmp_path / "legacy"
+    rows = {
+        1970: "1970,01,Alabama,0-19,Male,White,10\n1970,00,United States,0-19,Male,White,NA\n",
+        1990: "1990,02,Alaska,65+,Female,H,20\n",
+    }
+    for d, body in rows.items():
+        (out / str(d)).mkdir(parents=True)
+        with gzip.open(out / str(d) / f"states-asrpe{d}.csv.gz", "wt") as f:
+            f.write("year,state_fips,state_name,age,sex,race_p_ethnicity,population\n" + body)
+    combined = job.combine_outputs(spark, str(out), decades=(1970, 1990))
+    got = sorted((r.year, r.state_fips, r.population) for r in combined.collect())
+    assert got == [(1970, "00", None), (1970, "01", 10), (1990, "02", 20)]
