@@ -178,6 +178,9 @@ def read_wide_race(spark: SparkSession, paths, decade: int) -> DataFrame:
     paths = [paths] if isinstance(paths, str) else list(paths)
     tokens = codes.NA_TOKENS_2010 if decade == 2010 else codes.NA_TOKENS_DEFAULT
     names = header_of(spark, paths[0])
+    missing = [c for c in ("YEAR", "AGEGRP", "STATE", "COUNTY") + codes.WIDE_RACE_COLUMNS if c not in names]
+    if missing:
+        raise ValueError(f"{paths[0]}: header lacks required columns {missing}")
     ints = ("YEAR", "AGEGRP") + codes.WIDE_RACE_COLUMNS
     raw = _csv(spark, paths, declared_schema(names, ints), header=True, enforceSchema="false")
     return type_wide_race(raw, tokens)

@@ -222,3 +222,10 @@ def test_combine_reads_single_file_decade_results(spark, tmp_path):
     combined = job.combine_outputs(spark, str(out), decades=(1970, 1990))
     got = sorted((r.year, r.state_fips, r.population) for r in combined.collect())
     assert got == [(1970, "00", None), (1970, "01", 10), (1990, "02", 20)]
+
+
+def test_missing_required_column_is_named(spark, tmp_path):
+    header = [h for h in fx.H2000 if h != "H_FEMALE"]
+    bad = write(str(tmp_path / "c.csv"), ",".join(header) + "\n" + ",".join("1" for _ in header) + "\n")
+    with pytest.raises(ValueError, match="H_FEMALE"):
+        readers.read_wide_race(spark, [bad], 2000)
