@@ -119,7 +119,12 @@ def same(spark_rows, brute_rows):
 
 
 pop = st.one_of(st.none(), st.integers(0, 50))
-settings_ = settings(max_examples=int(os.environ.get("BRUTE_EXAMPLES", "8")), deadline=None, suppress_health_check=list(HealthCheck))
+settings_ = settings(
+    max_examples=int(os.environ.get("BRUTE_EXAMPLES", "8")),
+    deadline=None,
+    derandomize=not os.environ.get("BRUTE_EXAMPLES"),  # fixed cases by default, fresh ones on a deep run
+    suppress_health_check=list(HealthCheck),
+)
 
 
 @settings_
