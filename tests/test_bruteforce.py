@@ -74,7 +74,7 @@ def brute_1990(rows):
 
 
 def brute_wide_race(rows, decade):
-    lo, hi, off, tot, first = {2000: (2, 11, 1998, 99, 0), 2010: (3, 12, 2007, 0, 1)}[decade]
+    lo, hi, off, tot, first = {2000: (2, 11, 1998, 99, 0), 2010: (3, 12, 2007, 0, 1), 2020: (2, 6, 2018, 0, 1)}[decade]
     label = {"H": "Hispanic", "NHWA": "NH_White", "NHBA": "NH_Black", "NHAA": "NH_Asian",
              "NHIA": "NH_AIAN", "NHNA": "NH_NHPI", "NHTOM": "NH_TOM"}
     long = []
@@ -143,7 +143,7 @@ def test_1990_matches_brute_force(spark, rows):
 
 
 @settings_
-@given(st.sampled_from([2000, 2010]), st.lists(st.tuples(
+@given(st.sampled_from([2000, 2010, 2020]), st.lists(st.tuples(
     st.one_of(st.none(), st.integers(1, 13)),
     st.sampled_from([0, 1, 4, 5, 12, 18, 25, 99, None]),
     st.sampled_from(["01", "02", "04", "60", None]),
