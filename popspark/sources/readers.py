@@ -34,10 +34,16 @@ def string_schema(names: Sequence[str]) -> T.StructType:
 
 # ------------------------------------------------------------------ typing
 def _int(df: DataFrame, name: str, tokens) -> Column:
-    """INT column: passed through when the scan already typed it, else parsed."""
+    """INT column ``name``: passed through when the scan already typed it, else parsed.
+
+    A pass-through is returned *without* an alias: a column aliased to its
+    own name makes otherwise identical branches canonicalize differently,
+    which stops Spark from reusing the state-aggregate exchange between the
+    state and national branches.
+    """
     if df.schema[name].dataType == T.IntegerType():
         return F.col(name)
-    return parse_int(name, tokens)
+    return parse_int(name, tokens).alias(name)
 
 
 def _text(name: str, tokens) -> Column:
@@ -46,32 +52,32 @@ def _text(name: str, tokens) -> Column:
 
 def type_wide_age(df: DataFrame, race_sex_is_text: bool, tokens=codes.NA_TOKENS_DEFAULT) -> DataFrame:
     """1970 (race_sex int) / 1980 (race_sex text) wide-age layout, typed."""
-    race_sex = _text("race_sex", tokens) if race_sex_is_text else _int(df, "race_sex", tokens)
+    race_sex = _text("race_sex", tokens).alias("race_sex") if race_sex_is_text else _int(df, "race_sex", tokens)
     return df.select(
-        _int(df, "year", tokens).alias("year"),
+        _int(df, "year", tokens),
         _text("fips", tokens).alias("fips"),
-        race_sex.alias("race_sex"),
-        *[_int(df, c, tokens).alias(c) for c in codes.WIDE_AGE_COLUMNS],
+        race_sex,
+        *[_int(df, c, tokens) for c in codes.WIDE_AGE_COLUMNS],
     )
 
 
 def type_long_codes(df: DataFrame, tokens=codes.NA_TOKENS_DEFAULT) -> DataFrame:
     """1990 long-code layout, typed (fips stays text)."""
     return df.select(
-        _int(df, "year", tokens).alias("year"),
+        _int(df, "year", tokens),
         na_to_null(F.col("fips"), tokens).alias("fips"),
-        *[_int(df, c, tokens).alias(c) for c in ("age", "race_sex", "origin", "population")],
+        *[_int(df, c, tokens) for c in ("age", "race_sex", "origin", "population")],
     )
 
 
 def type_wide_race(df: DataFrame, tokens=codes.NA_TOKENS_DEFAULT) -> DataFrame:
     """2000/2010/2020 layout: select the used columns by name and type them."""
     return df.select(
-        _int(df, "YEAR", tokens).alias("YEAR"),
-        _int(df, "AGEGRP", tokens).alias("AGEGRP"),
+        _int(df, "YEAR", tokens),
+        _int(df, "AGEGRP", tokens),
         _text("STATE", tokens).alias("STATE"),
         _text("COUNTY", tokens).alias("COUNTY"),
-        *[_int(df, c, tokens).alias(c) for c in codes.WIDE_RACE_COLUMNS],
+        *[_int(df, c, tokens) for c in codes.WIDE_RACE_COLUMNS],
     )
 
 

@@ -53,3 +53,21 @@ def test_csv_scan_prunes_unused_columns(spark, tmp_path):
         assert "YEAR:int" in read  # typed by the CSV parser itself
     pushed = [line for line in plan.split("\n") if "FileScan csv" in line and "PushedFilters" in line]
     assert any("LessThanOrEqual(YEAR,6)" in line and "EqualTo(AGEGRP,0)" in line for line in pushed)
+
+
+@pytest.mark.parametrize("decade", [1970, 1980, 1990, 2000, 2010, 2020])
+def test_file_pipelines_scan_each_source_once(spark, tmp_path, decade):
+    """State and national branches share one scan of the source files.
+
+    (A column aliased to its own name in the typing step once made the two
+    branches canonicalize differently and the source was read twice.)
+    """
+    src = fx.build_source_tree(str(tmp_path / "src"))
+    names = spark.createDataFrame([("01", "A")], "state_fips string, state_name string")
+    raw = job.read_decade(spark, decade, job.source_paths(src, decade))
+    out = pl.pipeline(decade, raw, names)
+    out.collect()
+    final = out._jdf.queryExecution().executedPlan().toString().split("== Initial Plan ==")[0]
+    scans = [ln for ln in final.split("\n") if "FileScan csv" in ln or "FileScan text" in ln]
+    assert len(scans) == 1, scans
+    assert "ReusedExchange" in final
