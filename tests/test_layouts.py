@@ -229,3 +229,9 @@ def test_missing_required_column_is_named(spark, tmp_path):
     bad = write(str(tmp_path / "c.csv"), ",".join(header) + "\n" + ",".join("1" for _ in header) + "\n")
     with pytest.raises(ValueError, match="H_FEMALE"):
         readers.read_wide_race(spark, [bad], 2000)
+
+
+def test_1970_blank_lines_are_skipped(spark, tmp_path):
+    path = write(str(tmp_path / "b.csv"), fx.ROWS_1970[0] + "\n\n   \n" + fx.ROWS_1970[1] + "\n")
+    df = readers.read_wide_age_1970(spark, [path])
+    assert rows(df, "fips") == [("01001",), ("01003",)]
