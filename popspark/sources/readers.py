@@ -124,8 +124,10 @@ def parse_whitespace_lines(lines: DataFrame) -> DataFrame:
     """S3 on lines: runs of blanks separate fields; blank lines are skipped."""
     names = codes.LONG_CODE_LAYOUT_COLUMNS
     parts = F.split(F.trim(F.col("value")), r"\s+")
+    # get() gives NULL past the end, so a short line has missing tail fields
+    # (under ANSI, [] would fail the whole job on one ragged line)
     rec = lines.filter(F.length(F.trim(F.col("value"))) > 0).select(
-        *[parts.getItem(i).alias(n) for i, n in enumerate(names)]
+        *[F.get(parts, i).alias(n) for i, n in enumerate(names)]
     )
     return type_long_codes(rec)
 

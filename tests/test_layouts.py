@@ -235,3 +235,9 @@ def test_1970_blank_lines_are_skipped(spark, tmp_path):
     path = write(str(tmp_path / "b.csv"), fx.ROWS_1970[0] + "\n\n   \n" + fx.ROWS_1970[1] + "\n")
     df = readers.read_wide_age_1970(spark, [path])
     assert rows(df, "fips") == [("01001",), ("01003",)]
+
+
+def test_1990_short_line_gives_missing_fields(spark):
+    lines = spark.createDataFrame([("90 01001  0 1 1    239",), ("90 01001 0 1",)], "value string")
+    got = rows(readers.parse_whitespace_lines(lines))
+    assert got == [(90, "01001", 0, 1, None, None), (90, "01001", 0, 1, 1, 239)]
