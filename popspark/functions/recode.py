@@ -85,8 +85,12 @@ def state_of_fips(c: Column | str) -> Column:
 
 
 def year_from_code(c: Column | str, offset: int) -> Column:
-    """calendar year = offset + code (integer)."""
-    return (F.lit(offset) + _col(c)).cast("int")
+    """calendar year = offset + code (integer).
+
+    Added in BIGINT and narrowed with try_cast: a garbage code near the INT
+    limit gives a missing year instead of an overflow failing the job.
+    """
+    return (F.lit(offset).cast("bigint") + _col(c).cast("bigint")).try_cast("int")
 
 
 def add_strict(cols: Iterable[Column | str]) -> Column:

@@ -101,3 +101,9 @@ def test_strict_sum_vs_sum(spark):
     df = spark.createDataFrame([("a", 2), ("a", None), ("b", 3), ("b", 4)], "k string, v int")
     out = df.groupBy("k").agg(strict_sum("v").alias("strict"), F.sum("v").alias("skip"))
     assert rows(out) == [("a", None, 2), ("b", 7, 7)]
+
+
+def test_year_from_code_never_overflows(spark):
+    df = spark.createDataFrame([(90,), (2147483000,), (None,)], "y int")
+    got = [r[0] for r in df.select(recode.year_from_code("y", 1900)).collect()]
+    assert got == [1990, None, None]
