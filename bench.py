@@ -3,7 +3,7 @@
     BENCH_SF_DIR=/root/testdata/sf0.1 BENCH_CPUS=8 python bench.py
 
 Each query is executed in full through the ``noop`` sink (no driver
-collect), once in a warm-up pass over all queries and then ``BENCH_RUNS`` times; the median is
+collect), once in a warm-up pass over all queries and then ``BENCH_RUNS`` (default 5) times; the median is
 reported.  ``value`` is the sum of the medians.
 """
 
@@ -45,7 +45,7 @@ def run_once(spark, name: str, sf: str) -> float:
 def main() -> None:
     sf = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1")
     cpus = os.environ.get("BENCH_CPUS", "8")
-    runs = int(os.environ.get("BENCH_RUNS", "3"))
+    runs = int(os.environ.get("BENCH_RUNS", "5"))
     only = [q for q in os.environ.get("BENCH_QUERIES", "").split(",") if q]
     names = only or HEADLINE
     spark = local_session(cpus, shuffle_partitions=int(os.environ.get("BENCH_SHUFFLE_PARTITIONS", "8")))
