@@ -1,4 +1,4 @@
-"""Joins (J1, J2).
+"""Joins (J1; J2 is ``quality.missing_sources``).
 
 J1 attaches state names *after* aggregation, so both sides are bounded by
 the number of output cells, not by the input.  No broadcast hint is given:
@@ -38,8 +38,3 @@ def attach_state_names(df: DataFrame, names: DataFrame, key: str = "state_fips")
     """
     n = names.select(F.col(key).alias("__k"), F.col("state_name"))
     return df.join(n, df[key].eqNullSafe(n["__k"]), "left").drop("__k")
-
-
-def anti_join(left: DataFrame, right: DataFrame, on: str | list[str]) -> DataFrame:
-    """Rows of ``left`` with no match in ``right``."""
-    return left.join(right, on, "left_anti")

@@ -41,10 +41,10 @@ def source_completeness(expected: DataFrame, present: DataFrame) -> DataFrame:
     return expected.join(p, "file_name", "left").select("decade", "file_name", "n_rows")
 
 
-def missing_sources(expected: DataFrame, present: DataFrame) -> DataFrame:
-    """Expected files that are absent or empty."""
-    p = present.filter(F.col("n_rows") > 0).select("file_name")
-    return expected.join(p, "file_name", "left_anti")
+def missing_sources(expected: DataFrame, present: DataFrame, on: Sequence[str] = ("file_name",)) -> DataFrame:
+    """Expected files that are absent or empty (anti-join on ``on``)."""
+    p = present.filter(F.col("n_rows") > 0).select(*on)
+    return expected.join(p, list(on), "left_anti")
 
 
 def domain_violations(df: DataFrame, checks: Mapping[str, Column]) -> DataFrame:

@@ -53,8 +53,7 @@ def audit_sources(spark: SparkSession, src_root: str, decades: Sequence[int]) ->
     for d in decades:
         part = list_sources(spark, src_root, d).withColumn("decade", F.lit(d))
         present = part if present is None else present.unionByName(part)
-    cond = (expected.file_name == present.file_name) & (expected.decade == present.decade) & (present.n_rows > 0)
-    return expected.join(present, cond, "left_anti")
+    return quality.missing_sources(expected, present, on=("decade", "file_name"))
 
 
 def source_paths(src_root: str, decade: int) -> list[str]:

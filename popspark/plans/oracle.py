@@ -300,12 +300,6 @@ def decade_sql(decade: int, select: str = "SELECT * FROM result") -> str:
     return with_(PERSONS, COUNTY_FIPS, NAMES, VIEWS[decade], states_cte(decade), FINISH) + select
 
 
-def _decade_ctes(decade: int) -> str:
-    """The whole decade as CTE `result{decade}` (for unions of decades)."""
-    body = decade_sql(decade)
-    return f"result{decade} AS ({body})"
-
-
 def all_decades_sql(select_decade: bool) -> str:
     parts = []
     for d in (1970, 1980, 1990, 2000, 2010, 2020):

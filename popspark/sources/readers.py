@@ -28,10 +28,6 @@ from ..functions import codes
 from ..functions.recode import na_to_null, parse_int
 
 
-def string_schema(names: Sequence[str]) -> T.StructType:
-    return T.StructType([T.StructField(n, T.StringType(), True) for n in names])
-
-
 # ------------------------------------------------------------------ typing
 def _int(df: DataFrame, name: str, tokens) -> Column:
     """INT column ``name``: passed through when the scan already typed it, else parsed.
