@@ -62,6 +62,8 @@ def test_read_1980_preamble_and_padding(spark, src, names):
     got = {(r.state_fips, r.sex, r.race_p_ethnicity, r.age): r.population for r in out.collect()}
     assert got[("01", "Male", "White", "0-19")] == 10  # '1001' → '01001' → state 01
     assert got[("10", "Female", "Other", "65+")] == 5
+    names_of = {r.state_fips: r.state_name for r in out.collect()}
+    assert names_of["10"] is None and names_of["01"] == "Alabama"  # unmatched state keeps a NULL name
     assert got[("00", "Female", "Other", "65+")] == 5
 
 
