@@ -113,6 +113,7 @@ def test_pipeline_2010_x_token(spark, src, names):
     assert got[(2010, "00", "0-19", "Male", "Hispanic")] is None  # nulls the nation
     assert got[(2010, "00", "0-19", "Female", "Hispanic")] == 11
     assert got[(2019, "02", "65+", "Female", "NH_White")] == 7
+    assert all(v is None or v < 1000 for v in got.values())  # the AGEGRP 0 total row never leaks
 
 
 def test_pipeline_2020(spark, src, names):
@@ -123,6 +124,7 @@ def test_pipeline_2020(spark, src, names):
     assert {k[0] for k in got} == {2020, 2024}
     assert got[(2020, "01", "0-19", "Female", "NH_NHPI")] == 8
     assert got[(2024, "00", "65+", "Male", "NH_AIAN")] == 9
+    assert all(v is None or v < 1000 for v in got.values())  # the AGEGRP 0 total row never leaks
 
 
 def test_header_drift_fails(spark, tmp_path):
