@@ -270,13 +270,15 @@ def wide_race_columns(decade: int) -> tuple[str, ...]:
 
 
 def lines_wide_race(spark: SparkSession, sf_dir: str, decade: int) -> DataFrame:
-    """CSV lines of the wide-race layout, header line first; 2010 writes 'X' for missing."""
+    """CSV lines of the wide-race layout plus the header line (flagged ``is_header``);
+    2010 writes 'X' for missing."""
     w = wide_race(spark, sf_dir, decade)
     na = "X" if decade == 2010 else "NA"
     cols = wide_race_columns(decade)
     fill = {"x1": F.lit("050"), "x2": F.lit("0")}
     body = w.select(
-        F.concat_ws(",", *[fill[c] if c in fill else _txt(F.col(c), na) for c in cols]).alias("value")
+        F.concat_ws(",", *[fill[c] if c in fill else _txt(F.col(c), na) for c in cols]).alias("value"),
+        F.lit(False).alias("is_header"),
     )
-    header = spark.createDataFrame([(",".join(cols),)], "value string")
+    header = spark.createDataFrame([(",".join(cols), True)], "value string, is_header boolean")
     return header.unionByName(body)

@@ -131,9 +131,17 @@ def parse_whitespace_lines(lines: DataFrame) -> DataFrame:
 def parse_header_csv_lines(
     lines: DataFrame, columns: Sequence[str], tokens=codes.NA_TOKENS_DEFAULT
 ) -> DataFrame:
-    """S4–S6 on lines: fields named by ``columns`` (the header); header lines dropped."""
-    header = ",".join(columns)
-    body = lines.filter(F.col("value") != F.lit(header))
+    """S4–S6 on lines: fields named by ``columns`` (the header); header lines dropped.
+
+    Lines may carry a boolean ``is_header`` column (set where the lines are
+    produced); then that flag drops the header.  Otherwise a line equal to the
+    header text is dropped — a predicate Catalyst pushes below the projection
+    that builds ``value``, so a derived line would be built twice.
+    """
+    if "is_header" in lines.columns:
+        body = lines.filter(~F.col("is_header"))
+    else:
+        body = lines.filter(F.col("value") != F.lit(",".join(columns)))
     ints = ("YEAR", "AGEGRP") + codes.WIDE_RACE_COLUMNS
     rec = body.select(_from_csv(F.col("value"), columns, ints).alias("r")).select("r.*")
     return type_wide_race(rec, tokens)

@@ -71,3 +71,10 @@ def test_file_pipelines_scan_each_source_once(spark, tmp_path, decade):
     scans = [ln for ln in final.split("\n") if "FileScan csv" in ln or "FileScan text" in ln]
     assert len(scans) == 1, scans
     assert "ReusedExchange" in final
+
+
+@pytest.mark.parametrize("name", ["scan_csv_header", "scan_csv_missing_tokens"])
+def test_derived_lines_are_built_once(spark, name):
+    """Dropping the header must not re-build each derived line inside a pushed-down filter."""
+    plan = E.queries()[name](spark, SF001)._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("concat_ws(") == 1

@@ -47,7 +47,7 @@ def materialize(spark, sf: str, root: str) -> str:
     # 2000: one file per state id; codes without a file of their own go to the first
     cols = dv.wide_race_columns(2000)
     header = ",".join(cols)
-    body = dv.lines_wide_race(spark, sf, 2000).filter(F.col("value") != header)
+    body = dv.lines_wide_race(spark, sf, 2000).filter(~F.col("is_header")).select("value")
     ids = [n.split("-")[-1].split(".")[0] for n in m[2000]]
     state = F.split("value", ",").getItem(cols.index("STATE"))
     target = F.when(state.isin(*ids), state).otherwise(F.lit(ids[0]))
@@ -58,8 +58,7 @@ def materialize(spark, sf: str, root: str) -> str:
         _write_one(head.unionByName(part).orderBy("o").select("value"), f"{root}/2000/{name}")
     for d in (2010, 2020):
         lines = dv.lines_wide_race(spark, sf, d)
-        header = ",".join(dv.wide_race_columns(d))
-        ordered = lines.withColumn("o", (F.col("value") != header).cast("int")).orderBy("o").select("value")
+        ordered = lines.withColumn("o", (~F.col("is_header")).cast("int")).orderBy("o").select("value")
         _write_one(ordered, f"{root}/{d}/{m[d][0]}")
     return root
 
