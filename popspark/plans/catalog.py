@@ -72,12 +72,10 @@ def scan_csv_missing_tokens(spark: SparkSession, sf: str) -> DataFrame:
 def lookup_scan(spark: SparkSession, sf: str) -> DataFrame:
     """The state-name lookup as CSV text (header first) read back typed."""
     names = pl.state_names(dv.county_fips_table(spark, sf))
-    header = spark.createDataFrame([("state_fips,state_name",)], "value string")
-    body = names.select(F.concat_ws(",", "state_fips", "state_name").alias("value"))
-    lines = header.unionByName(body)
-    parsed = lines.select(F.from_csv("value", readers.STATE_NAMES_SCHEMA).alias("r")).select("r.*")
-    is_header = (F.col("state_fips") == "state_fips") & (F.col("state_name") == "state_name")
-    return parsed.filter(~F.coalesce(is_header, F.lit(False)))
+    header = spark.createDataFrame([("state_fips,state_name", True)], "value string, skip boolean")
+    body = names.select(F.concat_ws(",", "state_fips", "state_name").alias("value"), F.lit(False).alias("skip"))
+    lines = readers.data_lines(header.unionByName(body), F.lit(True))
+    return lines.select(F.from_csv("value", readers.STATE_NAMES_SCHEMA).alias("r")).select("r.*")
 
 
 def roundtrip_gzip_csv(spark: SparkSession, sf: str) -> DataFrame:

@@ -261,7 +261,7 @@ def lines_1990(spark: SparkSession, sf_dir: str) -> DataFrame:
         _txt(F.col("origin")),
         F.lpad(_txt(F.col("population")), 7, " "),
     ]
-    return w.select(F.concat_ws(" ", *fields).alias("value"))
+    return w.select(F.concat_ws(" ", *fields).alias("value"), F.lit(False).alias("skip"))
 
 
 def wide_race_columns(decade: int) -> tuple[str, ...]:
@@ -270,7 +270,7 @@ def wide_race_columns(decade: int) -> tuple[str, ...]:
 
 
 def lines_wide_race(spark: SparkSession, sf_dir: str, decade: int) -> DataFrame:
-    """CSV lines of the wide-race layout plus the header line (flagged ``is_header``);
+    """CSV lines of the wide-race layout plus the header line (flagged ``skip``);
     2010 writes 'X' for missing."""
     w = wide_race(spark, sf_dir, decade)
     na = "X" if decade == 2010 else "NA"
@@ -278,7 +278,7 @@ def lines_wide_race(spark: SparkSession, sf_dir: str, decade: int) -> DataFrame:
     fill = {"x1": F.lit("050"), "x2": F.lit("0")}
     body = w.select(
         F.concat_ws(",", *[fill[c] if c in fill else _txt(F.col(c), na) for c in cols]).alias("value"),
-        F.lit(False).alias("is_header"),
+        F.lit(False).alias("skip"),
     )
-    header = spark.createDataFrame([(",".join(cols), True)], "value string, is_header boolean")
+    header = spark.createDataFrame([(",".join(cols), True)], "value string, skip boolean")
     return header.unionByName(body)

@@ -86,6 +86,20 @@ def declared_schema(names: Sequence[str], int_columns: Sequence[str]) -> T.Struc
 
 
 # ------------------------------------------------------- line-based parsers
+def data_lines(lines: DataFrame, is_data: Column) -> DataFrame:
+    """The data lines of ``lines`` (one ``value`` column per source line).
+
+    Lines produced by Spark from other tables may carry a boolean ``skip``
+    column (header, preamble or blank lines), set where they are produced.
+    That flag is used when present.  Otherwise the layout's text predicate
+    ``is_data`` decides.  On derived lines, Catalyst would push that predicate
+    below the projection that builds ``value`` and build every line twice.
+    """
+    if "skip" in lines.columns:
+        return lines.filter(~F.col("skip")).select("value")
+    return lines.filter(is_data)
+
+
 def _from_csv(value: Column, names: Sequence[str], int_columns: Sequence[str] = ()) -> Column:
     ints = set(int_columns)
     ddl = ", ".join(f"`{n}` {'INT' if n in ints else 'STRING'}" for n in names)
@@ -113,7 +127,7 @@ def is_data_line_1980(value: Column) -> Column:
 
 def parse_preamble_lines(lines: DataFrame) -> DataFrame:
     """S2 on lines: drop preamble and blank lines, then as S1 with text race_sex."""
-    return parse_wide_age_lines(lines.filter(is_data_line_1980(F.col("value"))), race_sex_is_text=True)
+    return parse_wide_age_lines(data_lines(lines, is_data_line_1980(F.col("value"))), race_sex_is_text=True)
 
 
 def parse_whitespace_lines(lines: DataFrame) -> DataFrame:
@@ -122,7 +136,7 @@ def parse_whitespace_lines(lines: DataFrame) -> DataFrame:
     parts = F.split(F.trim(F.col("value")), r"\s+")
     # get() gives NULL past the end, so a short line has missing tail fields
     # (under ANSI, [] would fail the whole job on one ragged line)
-    rec = lines.filter(F.length(F.trim(F.col("value"))) > 0).select(
+    rec = data_lines(lines, F.length(F.trim(F.col("value"))) > 0).select(
         *[F.get(parts, i).alias(n) for i, n in enumerate(names)]
     )
     return type_long_codes(rec)
@@ -131,17 +145,8 @@ def parse_whitespace_lines(lines: DataFrame) -> DataFrame:
 def parse_header_csv_lines(
     lines: DataFrame, columns: Sequence[str], tokens=codes.NA_TOKENS_DEFAULT
 ) -> DataFrame:
-    """S4–S6 on lines: fields named by ``columns`` (the header); header lines dropped.
-
-    Lines may carry a boolean ``is_header`` column (set where the lines are
-    produced); then that flag drops the header.  Otherwise a line equal to the
-    header text is dropped — a predicate Catalyst pushes below the projection
-    that builds ``value``, so a derived line would be built twice.
-    """
-    if "is_header" in lines.columns:
-        body = lines.filter(~F.col("is_header"))
-    else:
-        body = lines.filter(F.col("value") != F.lit(",".join(columns)))
+    """S4–S6 on lines: fields named by ``columns`` (the header); header lines dropped."""
+    body = data_lines(lines, F.col("value") != F.lit(",".join(columns)))
     ints = ("YEAR", "AGEGRP") + codes.WIDE_RACE_COLUMNS
     rec = body.select(_from_csv(F.col("value"), columns, ints).alias("r")).select("r.*")
     return type_wide_race(rec, tokens)

@@ -41,13 +41,13 @@ def materialize(spark, sf: str, root: str) -> str:
     _write_one(dv.lines_1970(spark, sf), f"{root}/1970/{m[1970][0]}")
     _write_one(dv.lines_1980(spark, sf), f"{root}/1980/{m[1980][0]}")
     # 1990: lines spread over the ten files by a hash (each line carries its own year)
-    l90 = dv.lines_1990(spark, sf).withColumn("k", F.pmod(F.hash("value"), F.lit(10))).persist()
+    l90 = dv.lines_1990(spark, sf).select("value").withColumn("k", F.pmod(F.hash("value"), F.lit(10))).persist()
     for i, name in enumerate(m[1990]):
         _write_one(l90.filter(F.col("k") == i).select("value"), f"{root}/1990/{name}")
     # 2000: one file per state id; codes without a file of their own go to the first
     cols = dv.wide_race_columns(2000)
     header = ",".join(cols)
-    body = dv.lines_wide_race(spark, sf, 2000).filter(~F.col("is_header")).select("value")
+    body = dv.lines_wide_race(spark, sf, 2000).filter(~F.col("skip")).select("value")
     ids = [n.split("-")[-1].split(".")[0] for n in m[2000]]
     state = F.split("value", ",").getItem(cols.index("STATE"))
     target = F.when(state.isin(*ids), state).otherwise(F.lit(ids[0]))
@@ -58,7 +58,7 @@ def materialize(spark, sf: str, root: str) -> str:
         _write_one(head.unionByName(part).orderBy("o").select("value"), f"{root}/2000/{name}")
     for d in (2010, 2020):
         lines = dv.lines_wide_race(spark, sf, d)
-        ordered = lines.withColumn("o", (~F.col("is_header")).cast("int")).orderBy("o").select("value")
+        ordered = lines.withColumn("o", (~F.col("skip")).cast("int")).orderBy("o").select("value")
         _write_one(ordered, f"{root}/{d}/{m[d][0]}")
     return root
 
