@@ -236,7 +236,8 @@ def _txt(c: Column, na: str = "NA") -> Column:
 def lines_1970(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Header-less CSV lines of the 1970 layout; missing written as NA."""
     w = wide_age_1970(spark, sf_dir)
-    return w.select(F.concat_ws(",", *[_txt(F.col(c)) for c in WIDE_AGE_TEXT_COLUMNS]).alias("value"))
+    line = F.concat_ws(",", *[_txt(F.col(c)) for c in WIDE_AGE_TEXT_COLUMNS])
+    return w.select(line.alias("value"), F.lit(False).alias("skip"))
 
 
 def lines_1980(spark: SparkSession, sf_dir: str) -> DataFrame:

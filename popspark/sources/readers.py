@@ -107,10 +107,11 @@ def _from_csv(value: Column, names: Sequence[str], int_columns: Sequence[str] =
 
 
 def parse_wide_age_lines(lines: DataFrame, race_sex_is_text: bool = False) -> DataFrame:
-    """S1 on lines: header-less CSV, 21 positional fields."""
+    """S1 on lines: header-less CSV, 21 positional fields; blank lines skipped."""
     names = codes.WIDE_AGE_LAYOUT_COLUMNS
     ints = ("year",) + (() if race_sex_is_text else ("race_sex",)) + codes.WIDE_AGE_COLUMNS
-    rec = lines.select(_from_csv(F.col("value"), names, ints).alias("r")).select("r.*")
+    body = data_lines(lines, F.length(F.trim(F.col("value"))) > 0)
+    rec = body.select(_from_csv(F.col("value"), names, ints).alias("r")).select("r.*")
     return type_wide_age(rec, race_sex_is_text)
 
 

@@ -244,3 +244,8 @@ def test_1990_short_line_gives_missing_fields(spark):
     lines = spark.createDataFrame([("90 01001  0 1 1    239",), ("90 01001 0 1",)], "value string")
     got = rows(readers.parse_whitespace_lines(lines))
     assert got == [(90, "01001", 0, 1, None, None), (90, "01001", 0, 1, 1, 239)]
+
+
+def test_1970_line_parser_skips_blank_lines_like_the_file_reader(spark):
+    lines = spark.createDataFrame([(fx.ROWS_1970[0],), ("",), ("   ",), (fx.ROWS_1970[1],)], "value string")
+    assert rows(readers.parse_wide_age_lines(lines), "fips") == [("01001",), ("01003",)]

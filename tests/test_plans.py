@@ -73,7 +73,7 @@ def test_file_pipelines_scan_each_source_once(spark, tmp_path, decade):
     assert "ReusedExchange" in final
 
 
-@pytest.mark.parametrize("name", ["scan_csv_header", "scan_csv_missing_tokens", "scan_whitespace", "lookup_scan"])
+@pytest.mark.parametrize("name", ["scan_csv_header", "scan_csv_missing_tokens", "scan_whitespace", "lookup_scan", "scan_csv_headerless"])
 def test_derived_lines_are_built_once(spark, name):
     """Dropping the header must not re-build each derived line inside a pushed-down filter."""
     plan = E.queries()[name](spark, SF001)._jdf.queryExecution().optimizedPlan().toString()

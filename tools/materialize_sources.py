@@ -38,7 +38,7 @@ def _write_one(lines, path: str) -> None:
 
 def materialize(spark, sf: str, root: str) -> str:
     m = codes.source_manifest()
-    _write_one(dv.lines_1970(spark, sf), f"{root}/1970/{m[1970][0]}")
+    _write_one(dv.lines_1970(spark, sf).select("value"), f"{root}/1970/{m[1970][0]}")
     _write_one(dv.lines_1980(spark, sf), f"{root}/1980/{m[1980][0]}")
     # 1990: lines spread over the ten files by a hash (each line carries its own year)
     l90 = dv.lines_1990(spark, sf).select("value").withColumn("k", F.pmod(F.hash("value"), F.lit(10))).persist()
