@@ -6,16 +6,18 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from popspark.llm import byte_bpe, decontaminate, exact_dedup, license_scan
+from popspark.llm import byte_bpe, decontaminate, exact_dedup, license_scan, near_join
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_byte_bpe": byte_bpe.op1_byte_bpe,
     "op5_exact_dedup": exact_dedup.op5_exact_dedup,
+    "op6_ngram_jaccard_join": near_join.op6_ngram_jaccard_join,
     "op8_license_scan": license_scan.op8_license_scan,
     "op9_decontamination": decontaminate.op9_decontamination,
 }
 
 ORACLE_SQL: dict[str, str] = {
     "op5_exact_dedup": exact_dedup.ORACLE,
+    "op6_ngram_jaccard_join": near_join.ORACLE,
     "op9_decontamination": decontaminate.ORACLE,
 }
