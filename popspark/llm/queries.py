@@ -6,14 +6,19 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from popspark.llm import byte_bpe, decontaminate, exact_dedup, license_scan, near_join
+from popspark.llm import byte_bpe, chat_format, decontaminate, exact_dedup, language_id, license_scan, near_join, quality, token_file, toxicity
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_byte_bpe": byte_bpe.op1_byte_bpe,
+    "op2_quality": quality.op2_quality,
+    "op3_chat_format": chat_format.op3_chat_format,
+    "op4_token_file": token_file.op4_token_file,
     "op5_exact_dedup": exact_dedup.op5_exact_dedup,
     "op6_ngram_jaccard_join": near_join.op6_ngram_jaccard_join,
+    "op7_toxicity": toxicity.op7_toxicity,
     "op8_license_scan": license_scan.op8_license_scan,
     "op9_decontamination": decontaminate.op9_decontamination,
+    "op10_language_id": language_id.op10_language_id,
 }
 
 ORACLE_SQL: dict[str, str] = {
