@@ -1,9 +1,12 @@
 """Operator 5: exact deduplication by content sort, in DataFrame operations only.
 
 Texts are equal when identical after lower-casing A-Z. Rows are
-range-partitioned by the normalised text (Spark samples the splitters), each
-partition is sorted externally, equal texts lie next to each other, and the
-window over that order compares each whole text with its neighbour's.
+range-partitioned by the normalised text, each partition is sorted externally,
+equal texts lie next to each other, and the window over that order compares
+each whole text with its neighbour's. Spark samples the splitters and sends
+them to the driver; so that they stay small, they are the first ``LEAD``
+characters, with the whole text's hash to part texts that begin alike. Both
+follow from the text, so equal texts share a range.
 
 A text that very many rows share would fill one range. Such texts are found
 first: hashes of the texts are counted (partial counts before the shuffle),
@@ -25,6 +28,9 @@ from pyspark.sql import functions as F
 
 from popspark.llm.common import lower_ascii, shuffle_partitions, staged, table
 
+#: characters of a splitter
+LEAD = 32
+
 ORACLE = """
 SELECT doc_id,
        max(doc_id) OVER w AS keep_id,
@@ -55,19 +61,21 @@ def _runs(docs: DataFrame, text: str, id_: str, keep: list[str]) -> DataFrame:
         .select("hash", F.ceil(F.col("count") / target).alias("salts"))
     )
     salt = F.when(F.col("salts").isNotNull(), F.pmod(F.xxhash64("id"), F.col("salts"))).otherwise(F.lit(0).cast("long"))
+    key = F.col("row").getField
     ranged = (
         docs.select(
             F.struct(*(F.col(f"`{c}`") for c in keep)).alias("row"),
-            F.col(f"`{id_}`").alias("id"),
-            normalised(text).alias("norm"),
             hash_.alias("hash"),
+            F.substring(normalised(text), 1, LEAD).alias("lead"),
         )
         .join(F.broadcast(hot), "hash", "left")
-        .select("row", "id", "norm", F.col("salts").isNotNull().alias("hot"), salt.alias("salt"))
-        .repartitionByRange(parts, "norm", "salt")
-        .sortWithinPartitions("norm", "salt", F.desc_nulls_last("id"))
+        .withColumn("id", key(id_))
+        .select("row", "hash", "lead", F.col("salts").isNotNull().alias("hot"), salt.alias("salt"))
+        .repartitionByRange(parts, "lead", "hash", "salt")
+        .select("*", key(id_).alias("id"), lower_ascii(F.coalesce(key(text), F.lit(""))).alias("norm"))
+        .sortWithinPartitions("lead", "hash", "salt", "norm", F.desc_nulls_last("id"))
     )
-    run = Window.partitionBy("norm", "salt")
+    run = Window.partitionBy("lead", "hash", "salt", "norm")
     ordered = run.orderBy(F.desc_nulls_last("id"))
     return ranged.select(
         "row",
@@ -84,7 +92,7 @@ def _runs(docs: DataFrame, text: str, id_: str, keep: list[str]) -> DataFrame:
 
 def mark_duplicates(docs: DataFrame, text: str = "text", id_: str = "doc_id") -> DataFrame:
     """One row per document: the id, keep_id, group_size, kept and text_sha256."""
-    runs = _runs(docs, text, id_, [id_])
+    runs = _runs(docs, text, id_, [id_, text]).drop("row")
     first = F.col("place") == 1
     runs = staged(runs.withColumn("hot_text", F.when(first, F.col("hot_text"))), "exact-runs")
     same = Window.partitionBy("hot_text")

@@ -50,5 +50,5 @@ def test_empty_table(spark):
 
 def test_plan_has_no_python(spark, rows):
     df = spark.createDataFrame(rows, "doc_id long, text string")
-    plan = exact_dedup._runs(df, "text", "doc_id", ["doc_id"])._jdf.queryExecution().toString()
+    plan = exact_dedup._runs(df, "text", "doc_id", ["doc_id", "text"])._jdf.queryExecution().toString()
     assert "Python" not in plan and "rangepartitioning" in plan
