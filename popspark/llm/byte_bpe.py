@@ -9,8 +9,8 @@ neighbours are kept in two arrays. A piece of n bytes takes O(n log n), so one
 piece of a million bytes is no problem.
 
 Pieces between single spaces repeat, so a bounded cache per Python worker maps
-each such stretch to its ids. The cache only saves work: when it is full it is
-emptied, and results don't depend on it.
+each such stretch to its ids. The cache only saves work: when it is full it
+takes no more (frequent stretches come early), and results don't depend on it.
 
 Cases: a null text is an empty one, with no ids; repeated rows give repeated
 rows; null ids stay null; an empty table gives an empty table.
@@ -19,6 +19,7 @@ rows; null ids stay null; an empty table gives an empty table.
 from __future__ import annotations
 
 import base64
+import struct
 from functools import lru_cache
 
 import numpy as np
@@ -28,8 +29,8 @@ from pyspark.sql import functions as F
 from popspark.llm.common import per_text, table, worker_file
 
 VOCABULARY = "byte_bpe_50k.tiktoken"
-#: stretches kept in a worker's cache before it is emptied (about 200 bytes each)
-CACHE_LIMIT = 400_000
+#: stretches, and pieces, that a worker's caches hold (about 200 bytes each)
+CACHE_LIMIT = 300_000
 _NONE = 1 << 62
 
 
@@ -53,32 +54,32 @@ def merge_piece(piece: bytes, ranks: dict[bytes, int]) -> list[int]:
     end = list(range(1, n + 1))  # where the token that starts here ends
     before = list(range(-1, n))  # where the token left of the one that starts here starts
 
-    def update(i: int, value: int) -> None:
-        k = size + i
-        tree[k] = value
-        while k > 1:
-            a, b = tree[k], tree[k ^ 1]
-            k >>= 1
-            low = a if a < b else b
-            if tree[k] == low:
-                return
-            tree[k] = low
-
-    def pair(i: int, stop: int) -> int:
-        rank = ranks.get(piece[i:stop])
-        return _NONE if rank is None else rank << shift | i
-
+    get = ranks.get
     while (top := tree[1]) != _NONE:
         i = top & mask
         j = end[i]
         stop = end[i] = end[j]
         before[stop] = i
-        if j < n - 1:
-            update(j, _NONE)
-        if i < n - 1:
-            update(i, pair(i, end[stop]) if stop < n else _NONE)
+        changes = [(j, _NONE)] if j < n - 1 else []
+        rank = get(piece[i : end[stop]]) if stop < n else None
+        changes.append((i, _NONE if rank is None else rank << shift | i))
         if i:
-            update(before[i], pair(before[i], stop))
+            left = before[i]
+            rank = get(piece[left:stop])
+            changes.append((left, _NONE if rank is None else rank << shift | left))
+        for leaf, low in changes:
+            k = size + leaf
+            if tree[k] == low:
+                continue
+            tree[k] = low
+            while k > 1:
+                other = tree[k ^ 1]
+                k >>= 1
+                if other < low:
+                    low = other
+                if tree[k] == low:
+                    break
+                tree[k] = low
     ids, i = [], 0
     while i < n:
         ids.append(ranks[piece[i : end[i]]])
@@ -99,20 +100,19 @@ class ByteBpe:
             self.tokens[rank] = token
         self.first: dict[str, bytes | None] = {}  # stretches at the start of a text
         self.rest: dict[str, bytes | None] = {}  # stretches behind a single space
-        self.pieces: dict[str, list[int]] = {}
+        self.pieces: dict[str, bytes] = {}
 
     def _pieces(self, text: str) -> bytes:
-        ids: list[int] = []
+        ids: list[bytes] = []
         for piece in self.find(text):
             got = self.pieces.get(piece)
             if got is None:
-                got = merge_piece(piece.encode(), self.ranks)
-                if len(piece) <= 32:
-                    if len(self.pieces) >= CACHE_LIMIT:
-                        self.pieces.clear()
+                ids_ = merge_piece(piece.encode(), self.ranks)
+                got = struct.pack(f"<{len(ids_)}I", *ids_)
+                if len(piece) <= 32 and len(self.pieces) < CACHE_LIMIT:
                     self.pieces[piece] = got
-            ids += got
-        return np.array(ids, "<u4").tobytes()
+            ids.append(got)
+        return b"".join(ids)
 
     def _stretch(self, stretch: str, cache: dict[str, bytes | None], lead: str) -> bytes | None:
         """Ids of a stretch between single spaces, or None if the cut there isn't safe.
@@ -123,9 +123,7 @@ class ByteBpe:
         """
         safe = stretch and not stretch[0].isspace() and not stretch[-1].isspace()
         got = self._pieces(lead + stretch) if safe else None
-        if len(stretch) <= 64:
-            if len(cache) >= CACHE_LIMIT:
-                cache.clear()
+        if len(stretch) <= 64 and len(cache) < CACHE_LIMIT:
             cache[stretch] = got
         return got
 

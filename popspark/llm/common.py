@@ -13,8 +13,11 @@ import uuid
 from collections.abc import Callable, Iterator
 
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.pandas.types import to_arrow_schema
+from pyspark.sql.types import StructType
 
 UPPER, LOWER = string.ascii_uppercase, string.ascii_lowercase
 
@@ -100,36 +103,31 @@ def per_text(
     text: str,
     fn: Callable[[list[str]], dict[str, list]],
     fields: str,
-    batch_chars: int = 8_000_000,
+    batch_bytes: int = 2_000_000,
 ) -> DataFrame:
     """``keys`` and the columns that ``fn`` computes from a list of texts (null: empty).
 
-    ``fn`` gets whole texts, as many at a time as hold ``batch_chars``
-    characters, and at least one.
+    ``fn`` gets whole texts, as many at a time as hold ``batch_bytes`` bytes, and
+    at least one.
     """
     src = df.select(*keys, F.coalesce(F.col(text), F.lit("")).alias("__text"))
-    schema = ", ".join([*(f"`{k}` {t}" for k, t in src.dtypes[:-1]), fields])
-    out = pa.schema([])
+    ddl = StructType.fromDDL(", ".join([*(f"`{k}` {t}" for k, t in src.dtypes[:-1]), fields]))
+    out = to_arrow_schema(ddl)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            texts = batch.column(len(keys)).to_pylist()
             start, size = 0, 0
-            for i, t in enumerate(texts):
-                size += len(t)
-                if size >= batch_chars or i + 1 == len(texts):
-                    got = fn(texts[start : i + 1])
-                    head = batch.slice(start, i + 1 - start)
-                    cols = {k: head.column(j) for j, k in enumerate(keys)}
+            lengths = pc.binary_length(batch.column(len(keys))).to_pylist()
+            for i, length in enumerate(lengths):
+                size += length
+                if size >= batch_bytes or i + 1 == len(lengths):
+                    part = batch.slice(start, i + 1 - start)
+                    got = fn(part.column(len(keys)).to_pylist())
+                    cols = {k: part.column(j) for j, k in enumerate(keys)}
                     new = {k: pa.array(v, out.field(k).type) for k, v in got.items()}
                     yield pa.RecordBatch.from_pydict(cols | new)
                     start, size = i + 1, 0
 
-    from pyspark.sql.pandas.types import to_arrow_schema
-    from pyspark.sql.types import StructType
-
-    ddl = StructType.fromDDL(schema)
-    out = to_arrow_schema(ddl)
     return src.mapInArrow(run, ddl)
 
 
