@@ -7,7 +7,6 @@ Layout:
   sources/    readers for the six source layouts, line parsers, sinks and
               census-shaped views over the driver's TPC-H-style tables
   plans/      the decade pipelines, the whole job, and the query catalogue
-  streaming/  nothing: the reproduced pipeline is batch only
 """
 
 CANONICAL = (

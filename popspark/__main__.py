@@ -19,7 +19,7 @@ import sys
 from pyspark.sql import SparkSession
 
 from .functions import codes
-from .operators import quality, setops
+from .operators import quality
 from .plans import job
 from .plans import pipelines as pl
 from .sources import readers, sinks
@@ -50,24 +50,25 @@ def main(argv: list[str] | None = None) -> int:
     r.add_argument("--src", required=True)
     r.add_argument("--out", required=True)
     r.add_argument("--county", required=True)
-    r.add_argument("--resume", action="store_true", help="reuse steps whose output is complete")
+    r.add_argument("--resume", action="store_true", help="reuse the decades that a failed run left complete")
     r.add_argument("--domain-report", action="store_true", help="also write per-decade code-domain violations")
     args = p.parse_args(argv)
 
     spark = SparkSession.builder.appName(f"popspark-{args.cmd}").getOrCreate()
     if args.cmd == "state-names":
         names = pl.state_names_sorted(_county(spark, args.county))
-        sinks.write_state_names(names, f"{args.out.rstrip('/')}/state_names", mode="overwrite")
+        stage = job.staging(args.out)
+        sinks.write_state_names(names, f"{stage}/state_names", mode="overwrite")
+        sinks.publish(spark, stage, args.out.rstrip("/"), ["state_names"])
     elif args.cmd == "audit":
-        missing = job.audit_sources(spark, args.src, args.decade or codes.DECADES)
-        quality.require_empty(missing, "missing source files")
+        quality.require_sources(job.audit_sources(spark, args.src, args.decade or codes.DECADES))
         print("all source files present")
     elif args.cmd == "decade":
         names = readers.read_state_names(spark, f"{args.out.rstrip('/')}/state_names")
-        quality.require_empty(job.audit_sources(spark, args.src, [args.decade]), "missing source files")
-        raw = job.read_decade(spark, args.decade, job.source_paths(args.src, args.decade))
-        result = setops.export_order(pl.pipeline(args.decade, raw, names), args.decade)
-        sinks.write_csv_gz(result, job.decade_output(args.out, args.decade), mode="overwrite")
+        quality.require_sources(job.audit_sources(spark, args.src, [args.decade]))
+        stage, name = job.staging(args.out), job.decade_name(args.decade)
+        job.write_decade(spark, args.src, f"{stage}/{name}", args.decade, names)
+        sinks.publish(spark, stage, args.out.rstrip("/"), [name])
     elif args.cmd == "combine":
         job.combine_outputs(spark, args.out, args.decade or codes.DECADES)
     else:

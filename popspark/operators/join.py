@@ -5,8 +5,7 @@ the number of output cells, not by the input.  No broadcast hint is given:
 the static planner broadcasts only under ``spark.sql.autoBroadcastJoinThreshold``
 and AQE re-checks the measured shuffle size at runtime
 (``spark.sql.adaptive.autoBroadcastJoinThreshold``), falling back to a
-sort-merge join above it.  ``broadcast_bounded`` is for sides whose row
-count is bounded by construction (a fixed code domain).
+sort-merge join above it.
 """
 
 from __future__ import annotations
@@ -14,22 +13,6 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-# Largest side we hint as broadcast on a *construction* bound alone.
-MAX_BOUNDED_BROADCAST_ROWS = 10_000
-
-
-def broadcast_bounded(df: DataFrame, bound_rows: int) -> DataFrame:
-    """Broadcast a side whose row count is proven ≤ ``bound_rows`` by its definition.
-
-    The bound is a property of the plan (e.g. a distinct over a column drawn
-    from a fixed code list), stated by the caller; it is checked against a
-    hard ceiling so a wrong statement cannot ship a large table.
-    """
-    if bound_rows > MAX_BOUNDED_BROADCAST_ROWS:
-        return df
-    return F.broadcast(df)
-
-
 def attach_state_names(df: DataFrame, names: DataFrame, key: str = "state_fips") -> DataFrame:
     """Left join on the state code; unmatched rows keep a NULL name.
 

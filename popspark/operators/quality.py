@@ -1,8 +1,7 @@
 """Data-quality guards.
 
-All guards are DataFrames of violations, computed by Spark; only their
-(small, bounded) result is ever brought to the driver, and only by the
-fail-fast wrapper.
+All guards are DataFrames of violations, computed by Spark; only the names
+of missing files (at most the manifest's 65) are brought to the driver.
 """
 
 from __future__ import annotations
@@ -26,11 +25,6 @@ def manifest_frame(spark: SparkSession, manifest: Mapping[int, Sequence[str]] |
     return spark.createDataFrame(rows, "decade int, file_name string")
 
 
-def rows_per_file(scan: DataFrame) -> DataFrame:
-    """Row count per source file, from the scan's hidden metadata column."""
-    return scan.groupBy(F.col("_metadata.file_name").alias("file_name")).agg(F.count(F.lit(1)).alias("n_rows"))
-
-
 def source_completeness(expected: DataFrame, present: DataFrame) -> DataFrame:
     """Expected files with their row counts; NULL ``n_rows`` = missing or empty.
 
@@ -117,8 +111,13 @@ def fail_fast(decades: Iterable[int], run: Callable[[int], object]) -> dict[int,
     return done
 
 
-def require_empty(violations: DataFrame, what: str, max_shown: int = 20) -> None:
-    """Raise when a violations frame has rows; show a bounded sample."""
-    sample = violations.limit(max_shown).collect()
-    if sample:
-        raise SourceError(f"{what}: {len(sample)}+ violation(s), e.g. {sample[:5]}")
+def require_sources(missing: DataFrame) -> None:
+    """Raise when expected files are missing, naming all of them (the manifest has 65)."""
+    names = [f"{r.decade}/{r.file_name}" for r in missing.orderBy("decade", "file_name").collect()]
+    if names:
+        raise SourceError(f"missing source files ({len(names)}): {', '.join(names)}")
+
+
+def ambiguous_names(names: DataFrame) -> DataFrame:
+    """D2 on the dimension: state codes with several names; each name would repeat the code's rows."""
+    return names.groupBy("state_fips").agg(F.count_distinct("state_name").alias("n_names")).filter("n_names > 1")

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 from functools import reduce
 
 from pyspark.sql import DataFrame
@@ -95,3 +95,12 @@ def export_position(df: DataFrame, decade: int) -> DataFrame:
     is_us, _, rest = _export_keys(decade)
     w = Window.partitionBy(is_us, F.col("year")).orderBy(*rest)
     return df.withColumn("position", F.row_number().over(w))
+
+
+def product_order(decades: Mapping[int, DataFrame]) -> DataFrame:
+    """O2 of the combined product: decades in order, each as it is exported."""
+    parts = []
+    for d, df in decades.items():
+        is_us, _, _ = _export_keys(d)
+        parts.append(export_position(canonical(df), d).withColumns({"decade": F.lit(d), "nation": is_us}))
+    return union_by_name(parts).orderBy("decade", "nation", F.col("year").asc_nulls_last(), "position")

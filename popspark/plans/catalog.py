@@ -16,7 +16,7 @@ from ..functions import codes, recode
 from ..functions.aggregates import strict_sum
 from ..operators import aggregate, join, quality, reshape, setops
 from ..sources import driver_views as dv
-from ..sources import readers
+from ..sources import readers, sinks
 from . import pipelines as pl
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -26,19 +26,25 @@ def _names(spark: SparkSession, sf: str) -> DataFrame:
     return pl.state_names(dv.county_fips_table(spark, sf))
 
 
-def _raw(spark: SparkSession, sf: str, decade: int) -> DataFrame:
+def _raw(spark: SparkSession, sf: str, decade: int, base: DataFrame | None = None) -> DataFrame:
+    """The decade's typed source; 1980 is parsed from its text lines."""
     if decade == 1970:
-        return dv.wide_age_1970(spark, sf)
+        return dv.wide_age_1970(spark, sf, base)
     if decade == 1980:
-        return dv.wide_age_1980(spark, sf)
+        return readers.parse_preamble_lines(dv.lines_1980(spark, sf, base))
     if decade == 1990:
-        return dv.long_codes_1990(spark, sf)
-    return dv.wide_race(spark, sf, decade)
+        return dv.long_codes_1990(spark, sf, base)
+    return dv.wide_race(spark, sf, decade, base)
 
 
-def decade_result(spark: SparkSession, sf: str, decade: int, names: DataFrame | None = None) -> DataFrame:
-    names = names if names is not None else _names(spark, sf)
-    return pl.pipeline(decade, _raw(spark, sf, decade), names)
+def decade_result(spark: SparkSession, sf: str, decade: int) -> DataFrame:
+    return pl.pipeline(decade, _raw(spark, sf, decade), _names(spark, sf))
+
+
+def decade_results(spark: SparkSession, sf: str) -> dict[int, DataFrame]:
+    """All six decades over one shared join input."""
+    names, base = _names(spark, sf), dv.shared_person_records(spark, sf)
+    return {d: pl.pipeline(d, _raw(spark, sf, d, base), names) for d in codes.DECADES}
 
 
 # ---------------------------------------------------------------- sources
@@ -58,10 +64,15 @@ def scan_whitespace(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def scan_csv_header(spark: SparkSession, sf: str) -> DataFrame:
-    """Header CSV lines, columns picked by name → typed 2000 layout."""
+    """Header CSV lines, columns picked by name → typed 2000 layout."""
     return readers.parse_header_csv_lines(dv.lines_wide_race(spark, sf, 2000), dv.wide_race_columns(2000))
 
 
+def scan_csv_header_80(spark: SparkSession, sf: str) -> DataFrame:
+    """As S4 over the 80 columns of 2020."""
+    return readers.parse_header_csv_lines(dv.lines_wide_race(spark, sf, 2020), dv.wide_race_columns(2020))
+
+
 def scan_csv_missing_tokens(spark: SparkSession, sf: str) -> DataFrame:
     """As S4 with '', 'NA', 'X' as missing → typed 2010 layout."""
     return readers.parse_header_csv_lines(
@@ -69,23 +80,26 @@ def scan_csv_missing_tokens(spark: SparkSession, sf: str) -> DataFrame:
     )
 
 
+def _awkward(name: str = "state_name"):
+    """The name with a comma and quotes in it, so that rendering must quote and escape."""
+    return F.concat(F.col(name), F.lit(', "'), F.col("state_fips"), F.lit('"')).alias(name)
+
+
 def lookup_scan(spark: SparkSession, sf: str) -> DataFrame:
     """The state-name lookup as CSV text (header first) read back typed."""
-    names = pl.state_names(dv.county_fips_table(spark, sf))
+    names = pl.state_names(dv.county_fips_table(spark, sf)).select("state_fips", _awkward())
     header = spark.createDataFrame([("state_fips,state_name", True)], "value string, skip boolean")
-    body = names.select(F.concat_ws(",", "state_fips", "state_name").alias("value"), F.lit(False).alias("skip"))
+    body = names.select(F.to_csv(F.struct("state_fips", "state_name")).alias("value"), F.lit(False).alias("skip"))
     lines = readers.data_lines(header.unionByName(body), F.lit(True))
     return lines.select(F.from_csv("value", readers.STATE_NAMES_SCHEMA).alias("r")).select("r.*")
 
 
-def roundtrip_gzip_csv(spark: SparkSession, sf: str) -> DataFrame:
-    """S10→S9: a decade result rendered as CSV text with NA, parsed back typed."""
-    out = decade_result(spark, sf, 1970)
-    text = out.select(
-        F.concat_ws(",", *[F.coalesce(F.col(c).cast("string"), F.lit("NA")) for c in out.columns]).alias("value")
-    )
+def roundtrip_csv(spark: SparkSession, sf: str) -> DataFrame:
+    """S10→S9: a decade result as CSV text with the sinks' options (missing as NA), parsed back typed."""
+    out = decade_result(spark, sf, 1970).withColumn("state_name", _awkward())
+    text = out.select(F.to_csv(F.struct(*out.columns), sinks.CSV_OPTIONS).alias("value"))
     ddl = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in readers.OUTPUT_SCHEMA.fields)
-    return text.select(F.from_csv("value", ddl, {"nullValue": "NA"}).alias("r")).select("r.*")
+    return text.select(F.from_csv("value", ddl, sinks.CSV_OPTIONS).alias("r")).select("r.*")
 
 
 DRIVER_TABLES = ("lineitem", "orders", "customer", "nation")
@@ -93,15 +107,26 @@ DRIVER_TABLES = ("lineitem", "orders", "customer", "nation")
 AUDIT_MISSING = "state_names.parquet"
 
 
-def source_completeness(spark: SparkSession, sf: str) -> DataFrame:
-    """Expected inputs vs rows actually scanned per file."""
+def _audit(spark: SparkSession, sf: str) -> tuple[DataFrame, DataFrame]:
+    """(expected, present) tables; a table may be one file or a folder of many."""
     expected = spark.createDataFrame(
         [(0, f"{t}.parquet") for t in DRIVER_TABLES] + [(0, AUDIT_MISSING)], "decade int, file_name string"
     )
-    present = setops.union_by_name(
-        [quality.rows_per_file(dv.table(spark, sf, t).select("_metadata")) for t in DRIVER_TABLES]
-    )
-    return quality.source_completeness(expected, present).select("file_name", "n_rows")
+    counts = [
+        dv.table(spark, sf, t).agg(F.count(F.lit(1)).alias("n_rows")).select(F.lit(f"{t}.parquet").alias("file_name"), "n_rows")
+        for t in DRIVER_TABLES
+    ]
+    return expected, setops.union_by_name(counts)
+
+
+def source_completeness(spark: SparkSession, sf: str) -> DataFrame:
+    """Expected inputs with the rows that they hold."""
+    return quality.source_completeness(*_audit(spark, sf)).select("file_name", "n_rows")
+
+
+def missing_sources(spark: SparkSession, sf: str) -> DataFrame:
+    """Expected inputs that are absent or empty, by the anti-join that the job runs."""
+    return quality.missing_sources(*_audit(spark, sf)).select("file_name")
 
 
 # ------------------------------------------------------ projections/filters
@@ -320,8 +345,7 @@ def union_states_us(spark: SparkSession, sf: str) -> DataFrame:
 
 def union_decades(spark: SparkSession, sf: str) -> DataFrame:
     """U3/PL7: all six decades in one table."""
-    names = _names(spark, sf)
-    return pl.combine([decade_result(spark, sf, d, names) for d in codes.DECADES])
+    return setops.canonical(pl.combine(decade_results(spark, sf)))
 
 
 def distinct_states(spark: SparkSession, sf: str) -> DataFrame:
@@ -330,30 +354,27 @@ def distinct_states(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def domain_violations(spark: SparkSession, sf: str) -> DataFrame:
-    """1990 codes outside their domains (the same checks the whole job reports)."""
-    return quality.domain_violations(_raw(spark, sf, 1990), quality.layout_checks(1990))
-
-
-EXPORT_ORDER_DECADES = (1970, 1990, 2000)  # one decade per ordering rule
+    """Codes outside their domains, of all six layouts (the checks that the whole job reports)."""
+    base = dv.shared_person_records(spark, sf)
+    parts = [
+        quality.domain_violations(_raw(spark, sf, d, base), quality.layout_checks(d)).withColumn("decade", F.lit(d))
+        for d in codes.DECADES
+    ]
+    return setops.union_by_name(parts)
 
 
 def export_order(spark: SparkSession, sf: str) -> DataFrame:
-    """O2: export position of every output row, for one decade per ordering rule."""
-    names = _names(spark, sf)
+    """O2: export position of every output row of all decades."""
     parts = [
-        setops.export_position(setops.canonical(decade_result(spark, sf, d, names)), d).withColumn("decade", F.lit(d))
-        for d in EXPORT_ORDER_DECADES
+        setops.export_position(setops.canonical(df), d).withColumn("decade", F.lit(d))
+        for d, df in decade_results(spark, sf).items()
     ]
     return setops.union_by_name(parts)
 
 
 def full_product(spark: SparkSession, sf: str) -> DataFrame:
     """PL9: the combined product with its decade partition column."""
-    names = _names(spark, sf)
-    parts = [
-        setops.canonical(decade_result(spark, sf, d, names)).withColumn("decade", F.lit(d)) for d in codes.DECADES
-    ]
-    return setops.union_by_name(parts)
+    return pl.combine(decade_results(spark, sf))
 
 
 def _pipeline(decade: int) -> Query:
@@ -371,9 +392,11 @@ QUERIES: dict[str, Query] = {
     "scan_whitespace": scan_whitespace,
     "scan_csv_header": scan_csv_header,
     "scan_csv_missing_tokens": scan_csv_missing_tokens,
+    "scan_csv_header_80": scan_csv_header_80,
     "lookup_scan": lookup_scan,
-    "roundtrip_gzip_csv": roundtrip_gzip_csv,
+    "roundtrip_csv": roundtrip_csv,
     "source_completeness": source_completeness,
+    "missing_sources": missing_sources,
     "filter_year_age": filter_year_age,
     "filter_string_bound": filter_string_bound,
     "project_rename_reorder": project_rename_reorder,

@@ -8,88 +8,135 @@ Directory contract (mirrors the reproduced repository layout):
     <out_root>/states-asrpe/                     S12, combined gzip CSV
     <out_root>/states-asrpe-parquet/decade=…/    S12, Parquet copy
 
+Everything is first written under ``<out_root>/_staging``.  Only when all
+decades and the combined product are complete are they moved to their places
+(D3); a run that fails leaves the published outputs as they were.
+
 Each decade is written in the reproduced row order (O2: a range sort of
 the already-aggregated result, at most tens of thousands of rows) before
-the next starts and the combined product
-is built by re-scanning those written results (S9), so a lost executor
-only ever recomputes the current decade, and lineage never spans decades.
-By default every step is recomputed and overwritten, as the reproduced
-job does.  With ``resume=True`` a step whose output already has a
-``_SUCCESS`` marker is reused, so a run that failed part-way continues
-where it stopped.
+the next starts and the combined product is built by re-scanning those
+written results (S9), so a lost executor only ever recomputes the current
+decade, and lineage never spans decades.  The combined product is ordered
+by source decade, then by the decade's export order.
+
+With ``resume=True`` a run reuses the decades that a failed run left in the
+staging folder, if their source files and the state names are still the same
+(names, sizes, modification times; a digest of the names).  Published outputs
+are never reused, and the combined product is always built anew.
 """
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+import hashlib
+from collections.abc import Iterable, Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.utils import AnalysisException
+from pyspark.errors import AnalysisException
 
 from ..functions import codes
 from ..operators import quality, setops
 from ..sources import readers, sinks
 from . import pipelines as pl
 
+#: non-blank lines ahead of the 1980 data that aren't data
+PREAMBLE_LINES_1980 = 14
+
 
 def list_sources(spark: SparkSession, src_root: str, decade: int) -> DataFrame:
-    """(file_name, n_bytes) of every file under <src_root>/<decade>; content is not read."""
-    d = f"{src_root.rstrip('/')}/{decade}"
+    """(file_name, n_bytes, modified) of every file under <src_root>/<decade>; content is not read."""
     try:
-        listing = spark.read.format("binaryFile").load(d)
-    except AnalysisException:
-        return spark.createDataFrame([], "file_name string, n_rows bigint")
+        listing = spark.read.format("binaryFile").load(f"{src_root.rstrip('/')}/{decade}")
+    except AnalysisException as e:
+        if e.getCondition() != "PATH_NOT_FOUND":
+            raise
+        return spark.createDataFrame([], "file_name string, n_bytes bigint, modified timestamp")
     return listing.select(
-        F.element_at(F.split("path", "/"), -1).alias("file_name"), F.col("length").alias("n_rows")
+        F.element_at(F.split("path", "/"), -1).alias("file_name"),
+        F.col("length").alias("n_bytes"),
+        F.col("modificationTime").alias("modified"),
     )
 
 
+def files_with_rows(spark: SparkSession, src_root: str, decade: int, names: Iterable[str]) -> DataFrame:
+    """(decade, file_name, n_rows) of the files that hold a data row; n_rows is 1.
+
+    Reads no further than each file's first data row: for the layouts with a
+    header the second non-blank line, for 1980 the first line that leads with a year.
+    """
+    value = F.col("value")
+    is_data = readers.is_data_line_1980(value) if decade == 1980 else F.length(F.trim(value)) > 0
+    lines = 2 if decade in codes.WIDE_RACE_LAYOUTS else 1
+    found = [
+        spark.read.text(f"{src_root.rstrip('/')}/{decade}/{name}")
+        .filter(is_data)
+        .limit(lines)
+        .agg(F.count(F.lit(1)).alias("n"))
+        .select(F.lit(decade).alias("decade"), F.lit(name).alias("file_name"), F.when(F.col("n") >= lines, 1).alias("n_rows"))
+        for name in names
+    ]
+    if not found:
+        return spark.createDataFrame([], "decade int, file_name string, n_rows int")
+    return setops.union_by_name(found)
+
+
 def audit_sources(spark: SparkSession, src_root: str, decades: Sequence[int]) -> DataFrame:
-    """Expected files that are missing or empty, for the given decades."""
+    """Expected files that are missing, or hold no data row, for the given decades."""
     manifest = {d: codes.source_manifest()[d] for d in decades}
     expected = quality.manifest_frame(spark, manifest)
-    present = None
+    present = []
     for d in decades:
-        part = list_sources(spark, src_root, d).withColumn("decade", F.lit(d))
-        present = part if present is None else present.unionByName(part)
-    return quality.missing_sources(expected, present, on=("decade", "file_name"))
+        # names of at most the manifest's 65 files
+        listed = {r.file_name for r in list_sources(spark, src_root, d).select("file_name").collect()}
+        present.append(files_with_rows(spark, src_root, d, [f for f in manifest[d] if f in listed]))
+    return quality.missing_sources(expected, setops.union_by_name(present), on=("decade", "file_name"))
 
 
 def source_paths(src_root: str, decade: int) -> list[str]:
     return [f"{src_root.rstrip('/')}/{decade}/{f}" for f in codes.source_manifest()[decade]]
 
 
-def read_decade(spark: SparkSession, decade: int, paths: Sequence[str]) -> DataFrame:
-    """The typed source of one decade."""
+def read_decade(spark: SparkSession, decade: int, paths: Sequence[str], seen: Observation | None = None) -> DataFrame:
+    """The typed source of one decade (S1–S6, U2); ``seen`` counts the rejected lines of 1980."""
     if decade == 1970:
         return readers.read_wide_age_1970(spark, paths)
     if decade == 1980:
-        return readers.read_wide_age_1980(spark, paths)
+        return readers.read_wide_age_1980(spark, paths, seen)
     if decade == 1990:
         return readers.read_long_codes_1990(spark, paths)
     return readers.read_wide_race(spark, paths, decade)
 
 
+def write_decade(spark: SparkSession, src_root: str, out: str, decade: int, names: DataFrame) -> DataFrame:
+    """PL1–PL6 on files: writes the decade's result to ``out``; returns its typed source.
+
+    1980 lines that are neither data nor blank may only be the preamble; if
+    there are more, rows might be lost, so the decade fails.
+    """
+    seen = Observation("lines") if decade == 1980 else None
+    raw = read_decade(spark, decade, source_paths(src_root, decade), seen)
+    sinks.write_csv_gz(setops.export_order(pl.pipeline(decade, raw, names), decade), out, mode="overwrite")
+    if seen and (n := seen.get[readers.REJECTED]) > PREAMBLE_LINES_1980:
+        raise quality.SourceError(f"{n} lines are not data lines; the preamble has {PREAMBLE_LINES_1980}")
+    return read_decade(spark, decade, source_paths(src_root, decade))
+
+
+def decade_name(decade: int) -> str:
+    return f"{decade}/states-asrpe{decade}"
+
+
 def decade_output(out_root: str, decade: int) -> str:
-    return f"{out_root.rstrip('/')}/{decade}/states-asrpe{decade}"
+    return f"{out_root.rstrip('/')}/{decade_name(decade)}"
 
 
-def _exists(spark: SparkSession, path: str) -> bool:
-    try:
-        spark.read.text(path).limit(1).collect()
-        return True
-    except AnalysisException:
-        return False
+def staging(out_root: str) -> str:
+    return f"{out_root.rstrip('/')}/_staging"
 
 
-def _written(spark: SparkSession, path: str) -> bool:
-    """True when a previous run finished writing ``path`` (its _SUCCESS marker exists)."""
-    try:
-        spark.read.text(f"{path}/_SUCCESS").limit(1).collect()
-        return True
-    except AnalysisException:
-        return False
+def _fingerprint(spark: SparkSession, src_root: str, decade: int, names: DataFrame) -> str:
+    """A digest of what a decade's result depends on: its files, and the state names (≤ 57 rows)."""
+    files = sorted(map(str, list_sources(spark, src_root, decade).collect()))
+    return hashlib.sha256("\n".join(files + sorted(map(str, names.collect()))).encode()).hexdigest()
 
 
 def run_job(
@@ -105,58 +152,68 @@ def run_job(
     """PL9. Returns the combined product as re-read from disk.
 
     ``domain_report`` also writes, per decade, the source codes outside their
-    domains (``<decade>/domain-violations/``, one small CSV).  Unmapped codes
+    domains (``<decade>/domain-violations/``, one small CSV), and the state
+    codes with several names (``state_names-violations/``).  Unmapped codes
     never fail the job — they become missing labels, as in the reproduced
     pipeline — and the report costs one more scan of each decade's input.
     """
-
-    def done(path: str) -> bool:
-        return resume and _written(spark, path)
-
-    names_path = f"{out_root.rstrip('/')}/state_names"
-    if not done(names_path):
-        sinks.write_state_names(pl.state_names_sorted(county_table), names_path, mode="overwrite")
-    names = readers.read_state_names(spark, names_path)
+    out_root, stage = out_root.rstrip("/"), staging(out_root)
+    if not resume:
+        sinks.remove(spark, stage)
+    outputs = ["state_names"]
+    names_table = pl.state_names_sorted(county_table)
+    sinks.write_state_names(names_table, f"{stage}/state_names", mode="overwrite")
+    names = readers.read_state_names(spark, f"{stage}/state_names")
+    if domain_report:
+        sinks.write_report(quality.ambiguous_names(names), f"{stage}/state_names-violations")
+        outputs.append("state_names-violations")
 
     if check_sources:
-        quality.require_empty(audit_sources(spark, src_root, decades), "missing source files")
-
-    def one(decade: int) -> str:
-        out = decade_output(out_root, decade)
-        if not done(out):
-            raw = read_decade(spark, decade, source_paths(src_root, decade))
-            result = setops.export_order(pl.pipeline(decade, raw, names), decade)
-            sinks.write_csv_gz(result, out, mode="overwrite")
+        quality.require_sources(audit_sources(spark, src_root, decades))
+
+    def one(decade: int) -> None:
+        out, report = f"{stage}/{decade_name(decade)}", f"{stage}/{decade}/domain-violations"
+        mark = f"{stage}/{decade}/_inputs-{_fingerprint(spark, src_root, decade, names)}"
+        wanted = [out, *([report] if domain_report else [])]
+        if not (sinks.exists(spark, mark) and all(sinks.exists(spark, f"{p}/_SUCCESS") for p in wanted)):
+            sinks.remove(spark, f"{stage}/{decade}")
+            raw = write_decade(spark, src_root, out, decade, names)
             if domain_report:
-                report = quality.domain_violations(raw, quality.layout_checks(decade))
-                sinks.write_report(report, f"{out_root.rstrip('/')}/{decade}/domain-violations")
-        return out
+                sinks.write_report(quality.domain_violations(raw, quality.layout_checks(decade)), report)
+            sinks.mark(spark, mark)
+        outputs.extend(p.removeprefix(f"{stage}/") for p in wanted)
 
     quality.fail_fast(decades, one)
-    return combine_outputs(spark, out_root, decades, resume=resume)
+    outputs.extend(write_combined(spark, {d: f"{stage}/{decade_name(d)}" for d in decades}, stage))
+    sinks.publish(spark, stage, out_root, outputs)
+    return readers.read_decade_result(spark, f"{out_root}/states-asrpe")
 
 
-def combine_outputs(
-    spark: SparkSession, out_root: str, decades: Sequence[int] = codes.DECADES, resume: bool = False
-) -> DataFrame:
-    """PL7: re-scan the written decades (S9), union them (U3), write the product.
+def write_combined(spark: SparkSession, paths: dict[int, str], root: str) -> list[str]:
+    """PL7: re-scans written decades (S9), unions them (U3), writes the product (S12) under ``root``.
+
+    Both copies carry the source decade's rows together; the CSV is ordered
+    by decade, then as the decade itself was exported.
+    """
+    results = {d: readers.read_decade_result(spark, p) for d, p in paths.items()}
+    sinks.write_csv_gz(setops.canonical(setops.product_order(results)), f"{root}/states-asrpe", mode="overwrite")
+    sinks.write_parquet_by_decade(pl.combine(results), f"{root}/states-asrpe-parquet", mode="overwrite")
+    return ["states-asrpe", "states-asrpe-parquet"]
+
+
+def combine_outputs(spark: SparkSession, out_root: str, decades: Sequence[int] = codes.DECADES) -> DataFrame:
+    """PL7 on published decades.
 
     A decade is read from this job's output directory or, when that is
     absent, from a single ``<decade>/states-asrpe<decade>.csv.gz`` file as
     the reproduced job writes it, so existing results can be combined too.
     """
-    paths = []
+    out_root = out_root.rstrip("/")
+    paths = {}
     for d in decades:
         path = decade_output(out_root, d)
-        if not _exists(spark, path) and _exists(spark, path + ".csv.gz"):
-            path += ".csv.gz"
-        paths.append(path)
-    combined = pl.combine([readers.read_decade_result(spark, p) for p in paths])
-    csv_path = f"{out_root.rstrip('/')}/states-asrpe"
-    parquet_path = f"{out_root.rstrip('/')}/states-asrpe-parquet"
-    if not (resume and _written(spark, csv_path)):
-        sinks.write_csv_gz(combined, csv_path, mode="overwrite")
-    if not (resume and _written(spark, parquet_path)):
-        sinks.write_parquet_by_decade(combined, parquet_path, mode="overwrite")
-    return readers.read_decade_result(spark, csv_path)
-
+        paths[d] = path if sinks.exists(spark, path) else f"{path}.csv.gz"
+    stage = f"{out_root}/_combining"
+    sinks.remove(spark, stage)
+    sinks.publish(spark, stage, out_root, write_combined(spark, paths, stage))
+    return readers.read_decade_result(spark, f"{out_root}/states-asrpe")

@@ -80,6 +80,10 @@ v1980 AS (
               WHEN 5 THEN 'Other races male' WHEN 6 THEN 'Other races female' END AS race_sex,
          {_one_hot('age_column', AGE_COLS)}
   FROM persons
+  UNION ALL
+  SELECT 1980, '1001', 'White male', 7, 8, {", ".join(["NULL"] * 16)}
+  UNION ALL
+  SELECT 1980, '10003', 'Black female', {", ".join(map(str, range(1, 19)))}
 )"""
 
 V1990 = """
@@ -122,6 +126,8 @@ BASE = [PERSONS]
 VIEWS = {1970: V1970, 1980: V1980, 1990: V1990, 2000: _v_wide_race(2000), 2010: _v_wide_race(2010), 2020: _v_wide_race(2020)}
 
 # --------------------------------------------------------- recode snippets
+# FIXED VALUES: code tables and labels, restated here in SQL on purpose; the
+# oracle must not import the code that it checks.
 BAND0 = (
     "CASE WHEN {c} BETWEEN 0 AND 4 THEN '0-19' WHEN {c} BETWEEN 5 AND 7 THEN '20-34' "
     "WHEN {c} BETWEEN 8 AND 10 THEN '35-49' WHEN {c} BETWEEN 11 AND 13 THEN '50-64' "
@@ -161,6 +167,7 @@ def _band_sum(cols: list[str]) -> str:
     return " + ".join(f"CAST({c} AS BIGINT)" for c in cols)
 
 
+# END FIXED VALUES
 # --------------------------------------------------- per-layout state CTEs
 def states_wide_age(decade: int) -> str:
     """1970/1980 state-level long table, as `states`."""
@@ -366,6 +373,33 @@ FROM (SELECT *, coalesce(state_fips = '00' AND state_name = 'United States', fal
     return f"SELECT * FROM ({decade_sql(decade, select)})"
 
 
+def _violations_sql(decade: int) -> str:
+    """Values outside their domain, with their counts, of one layout."""
+    ok = {
+        1970: {"year": "year IS NOT NULL", "fips": "length(fips) = 5", "race_sex": "race_sex BETWEEN 1 AND 6"},
+        1980: {
+            "year": "year IS NOT NULL",
+            "fips": "length(fips) BETWEEN 4 AND 5",
+            "race_sex": "race_sex LIKE '% %' AND lower(string_split(race_sex, ' ')[-1]) IN ('male', 'female')",
+        },
+        1990: {
+            "year": "year IS NOT NULL",
+            "fips": "length(fips) BETWEEN 3 AND 5",
+            "age": "age BETWEEN 0 AND 18",
+            "race_sex": "race_sex BETWEEN 1 AND 8",
+            "origin": "origin IS NOT NULL",
+        },
+        2000: {"YEAR": '"YEAR" IS NOT NULL', "AGEGRP": "AGEGRP BETWEEN 0 AND 18 OR AGEGRP = 99", "STATE": "length(STATE) = 2"},
+    }
+    wide = ok[2000] | {"AGEGRP": "AGEGRP BETWEEN 0 AND 18"}
+    parts = " UNION ALL ".join(
+        f"""SELECT {decade} AS decade, '{c}' AS "column", CAST("{c}" AS VARCHAR) AS value, count(*) AS n_rows
+  FROM v{decade} WHERE NOT coalesce({rule}, false) GROUP BY "{c}\""""
+        for c, rule in ok.get(decade, wide).items()
+    )
+    return f"SELECT * FROM ({with_(PERSONS, VIEWS[decade])}{parts})"
+
+
 def oracle_sql() -> dict[str, str]:
     band_sum_cols = ", ".join(
         f"{_band_sum(cols)} AS {alias}"
@@ -377,9 +411,11 @@ def oracle_sql() -> dict[str, str]:
     q["scan_whitespace"] = _scan(1990)
     q["scan_csv_header"] = _scan(2000, WIDE_RACE_SCAN_COLS)
     q["scan_csv_missing_tokens"] = _scan(2010, WIDE_RACE_SCAN_COLS)
-    q["lookup_scan"] = with_(COUNTY_FIPS, NAMES) + "SELECT state_fips, state_name FROM names"
-    q["roundtrip_gzip_csv"] = decade_sql(1970)
-    q["source_completeness"] = """
+    q["scan_csv_header_80"] = _scan(2020, WIDE_RACE_SCAN_COLS)
+    awkward = "state_name || ', \"' || state_fips || '\"'"
+    q["lookup_scan"] = with_(COUNTY_FIPS, NAMES) + f"SELECT state_fips, {awkward} AS state_name FROM names"
+    q["roundtrip_csv"] = decade_sql(1970, f"SELECT * REPLACE ({awkward} AS state_name) FROM result")
+    audit = """
 WITH present AS (
   SELECT 'lineitem.parquet' AS file_name, count(*) AS n_rows FROM lineitem
   UNION ALL SELECT 'orders.parquet', count(*) FROM orders
@@ -389,7 +425,10 @@ WITH present AS (
 expected AS (
   SELECT * FROM (VALUES ('lineitem.parquet'), ('orders.parquet'), ('customer.parquet'),
                         ('nation.parquet'), ('state_names.parquet')) t(file_name)
-)
+)"""
+    q["missing_sources"] = audit + """
+SELECT file_name FROM expected WHERE file_name NOT IN (SELECT file_name FROM present WHERE n_rows > 0)"""
+    q["source_completeness"] = audit + """
 SELECT e.file_name, CAST(p.n_rows AS BIGINT) AS n_rows
 FROM expected e LEFT JOIN (SELECT * FROM present WHERE n_rows > 0) p ON e.file_name = p.file_name"""
     q["filter_year_age"] = _scan(2000, WIDE_RACE_SCAN_COLS) + ' WHERE "YEAR" BETWEEN 2 AND 11 AND AGEGRP <> 99'
@@ -462,18 +501,8 @@ FROM expected e LEFT JOIN (SELECT * FROM present WHERE n_rows > 0) p ON e.file_n
     q["union_states_us"] = decade_sql(2000)
     q["union_decades"] = all_decades_sql(select_decade=False)
     q["distinct_states"] = with_(COUNTY_FIPS, NAMES) + "SELECT * FROM names ORDER BY state_fips NULLS LAST"
-    q["domain_violations"] = with_(PERSONS, V1990) + """
-SELECT 'year' AS "column", CAST(year AS VARCHAR) AS value, count(*) AS n_rows FROM v1990
-  WHERE year IS NULL GROUP BY year
-UNION ALL SELECT 'race_sex', CAST(race_sex AS VARCHAR), count(*) FROM v1990
-  WHERE NOT coalesce(race_sex IN (1, 2, 3, 4, 5, 6, 7, 8), false) GROUP BY race_sex
-UNION ALL SELECT 'age', CAST(age AS VARCHAR), count(*) FROM v1990
-  WHERE NOT coalesce(age BETWEEN 0 AND 18, false) GROUP BY age
-UNION ALL SELECT 'origin', CAST(origin AS VARCHAR), count(*) FROM v1990
-  WHERE origin IS NULL GROUP BY origin
-UNION ALL SELECT 'fips', fips, count(*) FROM v1990
-  WHERE NOT coalesce(length(fips) BETWEEN 3 AND 5, false) GROUP BY fips"""
-    q["export_order"] = " UNION ALL ".join(_export_sql(d) for d in (1970, 1990, 2000))
+    q["domain_violations"] = " UNION ALL ".join(_violations_sql(d) for d in VIEWS)
+    q["export_order"] = " UNION ALL ".join(_export_sql(d) for d in VIEWS)
     for d in (1970, 1980, 1990, 2000, 2010, 2020):
         q[f"pipeline_{d}"] = decade_sql(d)
     q["full_product"] = all_decades_sql(select_decade=True)

@@ -15,6 +15,8 @@ strict sums (associative, per column) and keeps the Expand off the raw rows.
 
 from __future__ import annotations
 
+from collections.abc import Mapping
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -132,8 +134,7 @@ def long_codes_states(raw: DataFrame) -> DataFrame:
     # A cell is a column only if some state row has it: semi-join on the
     # (≤ 16-row, bounded by the cell list) set of present cells.
     present = long.groupBy("race_p_ethnicity").agg(F.sum("n").alias("n")).filter(F.col("n") > 0)
-    present = join.broadcast_bounded(present.select("race_p_ethnicity"), bound_rows=len(keep) + 1)
-    return long.join(present, "race_p_ethnicity", "left_semi").select(
+    return long.join(F.broadcast(present.select("race_p_ethnicity")), "race_p_ethnicity", "left_semi").select(
         *ids, "race_p_ethnicity", "population"
     )
 
@@ -202,6 +203,8 @@ def pipeline(decade: int, raw: DataFrame, names: DataFrame) -> DataFrame:
     raise ValueError(f"unknown decade {decade}")
 
 
-def combine(decade_results: list[DataFrame]) -> DataFrame:
-    """PL7/U3: all decades into one table (UNION ALL, by name)."""
-    return setops.union_by_name([setops.canonical(d) for d in decade_results])
+def combine(decade_results: Mapping[int, DataFrame]) -> DataFrame:
+    """PL7/U3: all decades into one table (UNION ALL, by name), each row with its source decade."""
+    return setops.union_by_name(
+        [setops.canonical(df).withColumn("decade", F.lit(d)) for d, df in decade_results.items()]
+    )

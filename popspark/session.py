@@ -1,15 +1,11 @@
 """SparkSession construction for tests, bench and local runs.
 
 On a cluster the session is built by the platform; library code never
-creates one. ``ensure_checkpoint_dir`` reads ``spark.checkpoint.dir`` from
-the session and only fills it in when it is unset (local runs, tests).
+creates one.
 """
 
 from __future__ import annotations
 
-import os
-import tempfile
-
 from pyspark.sql import SparkSession
 
 # Settings every session should carry. AQE re-plans joins from measured
@@ -44,37 +40,4 @@ def local_session(
         builder = builder.config(k, v)
     spark = builder.getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")
-    ensure_checkpoint_dir(spark)
     return spark
-
-
-def ensure_checkpoint_dir(spark: SparkSession) -> str:
-    """Return the shared checkpoint folder, setting a local one only if unset."""
-    current = spark.conf.get("spark.checkpoint.dir", None)
-    if not current:
-        current = tempfile.mkdtemp(prefix="popspark-ckpt-", dir=os.environ.get("TMPDIR", "/tmp"))
-        spark.conf.set("spark.checkpoint.dir", current)
-    spark.sparkContext.setCheckpointDir(current)
-    return current
-
-
-def cluster_conf(shuffle_bytes: float, target_partition_bytes: int = 256 << 20) -> dict[str, str]:
-    """Settings for a cluster run, sized from the largest expected shuffle.
-
-    The census pipelines shuffle only partial aggregates (bounded by the
-    output domain, megabytes), so for them the defaults plus AQE coalescing
-    suffice.  The one large shuffle is the driver-table view join: at
-    100 TB of TPC-H-style input, lineitem has ≈ 6·10¹¹ rows, ≈ 40 bytes each
-    after the pre-join projection → ≈ 24 TB through the sort-merge join,
-    i.e. ≈ 10⁵ partitions of 256 MB.  AQE then coalesces the small
-    post-aggregate shuffles back to a handful of partitions.
-    """
-    partitions = int(min(max(shuffle_bytes / target_partition_bytes, 200), 200_000))
-    return {
-        **SESSION_CONF,
-        "spark.sql.shuffle.partitions": str(partitions),
-        "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(target_partition_bytes),
-        "spark.sql.adaptive.coalescePartitions.initialPartitionNum": str(partitions),
-        # large single-file decades split into 512 MB scan tasks
-        "spark.sql.files.maxPartitionBytes": str(512 << 20),
-    }

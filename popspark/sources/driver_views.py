@@ -30,7 +30,7 @@ from pyspark.sql import functions as F
 
 from ..functions import codes
 
-# ---------------------------------------------------------------- FIXED VALUES
+# ------------------------------------------- TEST DATA (invented for the views)
 # 1980 race-sex labels used to render the text layout (code 1..6).
 RACE_SEX_LABELS_1980 = (
     "White male",
@@ -42,7 +42,12 @@ RACE_SEX_LABELS_1980 = (
 )
 # 14 lines of prose ahead of the 1980 data.
 PREAMBLE_1980 = tuple(f"Preamble line {i}: county population estimates by age, sex and race" for i in range(1, 15))
-# ----------------------------------------------------------- END FIXED VALUES
+# Lines of the 1980 file that the reader must tell apart: a title line of 21
+# fields (dropped), a row that ends early, and a row with quoted fields.
+TITLE_1980 = ",".join(codes.WIDE_AGE_LAYOUT_COLUMNS)
+SHORT_ROW_1980 = "1980,1001,White male,7,8"
+QUOTED_ROW_1980 = '"1980","10003","Black female",' + ",".join(str(i) for i in range(1, 19))
+# ------------------------------------------------------------- END TEST DATA
 
 TERRITORY_FROM_NATION = 22  # nations >= 22 get codes 60, 61, 62
 
@@ -97,6 +102,20 @@ MISSING_POP = "l_quantity = 50 AND l_linenumber = 7 AND l_returnflag = 'R'"
 UNMAPPED = "l_quantity = 49 AND l_linenumber = 7 AND l_returnflag = 'A'"
 
 
+PERSON_COLUMNS = (
+    "cal_year",
+    "state_code",
+    "county_code",
+    "age_code",
+    "age_column",
+    "l_suppkey",
+    "l_linenumber",
+    "l_orderkey",
+    "unmapped",
+    "population",
+)
+
+
 def person_records(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One row per lineitem with the derived census keys.
 
@@ -124,18 +143,20 @@ def person_records(spark: SparkSession, sf_dir: str) -> DataFrame:
         f"{county_code_sql('c_custkey')} AS county_code",
     )
     base = li.join(oc.hint("merge"), F.expr("l_orderkey = o_orderkey"), "inner")
-    return base.select(
-        "cal_year",
-        "state_code",
-        "county_code",
-        "age_code",
-        "age_column",
-        "l_suppkey",
-        "l_linenumber",
-        "l_orderkey",
-        "unmapped",
-        "population",
-    )
+    return base.select(*PERSON_COLUMNS)
+
+
+def shared_person_records(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """``person_records`` for queries over several decades: all read one join input.
+
+    Every decade would push its own filters and columns below the join, so
+    that no two shuffles were alike and each decade scanned and shuffled the
+    tables again.  A row id in the struct (a nondeterministic expression)
+    keeps filters and pruning above it; the decades' shuffles are then equal,
+    and Spark reuses the first one's.
+    """
+    row = F.struct(*PERSON_COLUMNS, F.monotonically_increasing_id().alias("row_id"))
+    return person_records(spark, sf_dir).select(row.alias("person")).select(*(f"person.{c}" for c in PERSON_COLUMNS))
 
 
 def county_fips_table(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -167,9 +188,9 @@ def _one_hot(index: str, names: tuple[str, ...], value: str = "population") -> l
     return [f"CASE WHEN {index} = {i} THEN {value} ELSE 0 END AS {n}" for i, n in enumerate(names)]
 
 
-def wide_age_1970(spark: SparkSession, sf_dir: str) -> DataFrame:
+def wide_age_1970(spark: SparkSession, sf_dir: str, base: DataFrame | None = None) -> DataFrame:
     """1970 layout (typed): year, fips, race_sex int, 18 age columns."""
-    return person_records(spark, sf_dir).selectExpr(
+    return (base or person_records(spark, sf_dir)).selectExpr(
         "cal_year AS year",
         f"{FIPS} AS fips",
         "CASE WHEN unmapped THEN 7 ELSE CAST(l_suppkey % 6 + 1 AS INT) END AS race_sex",
@@ -177,10 +198,10 @@ def wide_age_1970(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def wide_age_1980(spark: SparkSession, sf_dir: str) -> DataFrame:
+def wide_age_1980(spark: SparkSession, sf_dir: str, base: DataFrame | None = None) -> DataFrame:
     """1980 layout (typed): as 1970, race_sex is a text label, state zero stripped."""
     labels = ", ".join(f"'{x}'" for x in RACE_SEX_LABELS_1980)
-    return person_records(spark, sf_dir).selectExpr(
+    return (base or person_records(spark, sf_dir)).selectExpr(
         "cal_year AS year",
         f"{FIPS_ONE_ZERO_STRIPPED} AS fips",
         f"element_at(array({labels}), CAST(l_suppkey % 6 + 1 AS INT)) AS race_sex",
@@ -188,9 +209,9 @@ def wide_age_1980(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def long_codes_1990(spark: SparkSession, sf_dir: str) -> DataFrame:
+def long_codes_1990(spark: SparkSession, sf_dir: str, base: DataFrame | None = None) -> DataFrame:
     """1990 layout (typed): two-digit year, fips, age 0..18, race_sex, origin, population."""
-    return person_records(spark, sf_dir).selectExpr(
+    return (base or person_records(spark, sf_dir)).selectExpr(
         "CAST(cal_year - 1900 AS INT) AS year",
         f"{FIPS_ONE_ZERO_STRIPPED} AS fips",
         "age_code AS age",
@@ -205,7 +226,7 @@ def long_codes_1990(spark: SparkSession, sf_dir: str) -> DataFrame:
 WIDE_RACE_YEAR_SHIFT = {2000: 1994, 2010: 1993, 2020: 1993}
 
 
-def wide_race(spark: SparkSession, sf_dir: str, decade: int) -> DataFrame:
+def wide_race(spark: SparkSession, sf_dir: str, decade: int, base: DataFrame | None = None) -> DataFrame:
     """2000/2010/2020 layout (typed): YEAR, AGEGRP, STATE, COUNTY + 14 counts.
 
     2000 also carries total rows (AGEGRP 99) and an out-of-domain age code.
@@ -217,7 +238,7 @@ def wide_race(spark: SparkSession, sf_dir: str, decade: int) -> DataFrame:
             "WHEN l_linenumber = 6 AND l_orderkey % 3 = 1 THEN 25 ELSE age_code END"
         )
     cell = "CAST((l_suppkey % 7) * 2 + (l_linenumber % 2) AS INT)"
-    return person_records(spark, sf_dir).selectExpr(
+    return (base or person_records(spark, sf_dir)).selectExpr(
         f"CAST(cal_year - {WIDE_RACE_YEAR_SHIFT[decade]} AS INT) AS YEAR",
         f"CAST({agegrp} AS INT) AS AGEGRP",
         "state_code AS STATE",
@@ -240,15 +261,15 @@ def lines_1970(spark: SparkSession, sf_dir: str) -> DataFrame:
     return w.select(line.alias("value"), F.lit(False).alias("skip"))
 
 
-def lines_1980(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """1980 lines: a prose preamble, blank lines between data lines."""
-    w = wide_age_1980(spark, sf_dir)
+def lines_1980(spark: SparkSession, sf_dir: str, base: DataFrame | None = None) -> DataFrame:
+    """1980 lines: prose and a title line first, blank lines between data lines, a short and a quoted row."""
+    w = wide_age_1980(spark, sf_dir, base)
     line = F.concat_ws(",", *[_txt(F.col(c)) for c in WIDE_AGE_TEXT_COLUMNS])
     # a blank line after every row whose state code ends in 5 (no shuffle)
     with_blank = F.when(F.substring(F.col("fips"), 2, 1) == "5", F.array(line, F.lit(""))).otherwise(F.array(line))
     data = w.select(F.explode(with_blank).alias("value"))
-    preamble = spark.createDataFrame([(x,) for x in PREAMBLE_1980], "value string")
-    return preamble.unionByName(data)
+    own = (*PREAMBLE_1980[1:], TITLE_1980, "", SHORT_ROW_1980, QUOTED_ROW_1980)
+    return spark.createDataFrame([(x,) for x in own], "value string").unionByName(data)
 
 
 def lines_1990(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -266,8 +287,11 @@ def lines_1990(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def wide_race_columns(decade: int) -> tuple[str, ...]:
-    """Text header of the wide-race layout: used columns plus unused fillers."""
-    return ("x1", "STATE", "COUNTY", "YEAR", "AGEGRP") + codes.WIDE_RACE_COLUMNS + ("x2",)
+    """Text header of the wide-race layout: used columns plus unused fillers (80 columns in 2020)."""
+    used = ("STATE", "COUNTY", "YEAR", "AGEGRP") + codes.WIDE_RACE_COLUMNS
+    if decade == 2020:
+        return ("x1", *used, *(f"x{i}" for i in range(2, 81 - len(used))))
+    return ("x1", *used, "x2")
 
 
 def lines_wide_race(spark: SparkSession, sf_dir: str, decade: int) -> DataFrame:
@@ -276,9 +300,9 @@ def lines_wide_race(spark: SparkSession, sf_dir: str, decade: int) -> DataFrame:
     w = wide_race(spark, sf_dir, decade)
     na = "X" if decade == 2010 else "NA"
     cols = wide_race_columns(decade)
-    fill = {"x1": F.lit("050"), "x2": F.lit("0")}
+    filler = lambda c: F.lit("050" if c == "x1" else "0")
     body = w.select(
-        F.concat_ws(",", *[fill[c] if c in fill else _txt(F.col(c), na) for c in cols]).alias("value"),
+        F.concat_ws(",", *[filler(c) if c.startswith("x") else _txt(F.col(c), na) for c in cols]).alias("value"),
         F.lit(False).alias("skip"),
     )
     header = spark.createDataFrame([(",".join(cols), True)], "value string, skip boolean")

@@ -19,7 +19,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -116,21 +116,32 @@ def parse_wide_age_lines(lines: DataFrame, race_sex_is_text: bool = False) -> Da
 
 
 def is_data_line_1980(value: Column) -> Column:
-    """A 1980 data line: non-blank with at least the layout's 21 fields.
+    """A 1980 data line leads with a four-digit year, bare or quoted; a row may be short.
 
     Stands in for "skip the 14-line preamble and blank rows" without knowing
-    line positions, which keeps the scan splittable.
+    line positions, which keeps the scan splittable. Title and prose lines
+    don't start with a year; ``rejected_lines`` counts what isn't a data line.
     """
-    n_commas = len(codes.WIDE_AGE_LAYOUT_COLUMNS) - 1
-    commas = F.length(value) - F.length(F.translate(value, ",", ""))
-    return commas >= n_commas
+    return value.rlike(r'^\s*("\d{4}"|\d{4})\s*(,|$)')
 
 
 def parse_preamble_lines(lines: DataFrame) -> DataFrame:
-    """S2 on lines: drop preamble and blank lines, then as S1 with text race_sex."""
+    """S2 on lines: drop preamble and blank lines, then as S1 with text race_sex.
+
+    A short row keeps its fields; the missing ones are NULL, as in S1.
+    """
     return parse_wide_age_lines(data_lines(lines, is_data_line_1980(F.col("value"))), race_sex_is_text=True)
 
 
+REJECTED = "rejected_lines"
+
+
+def observe_rejected(lines: DataFrame, seen: Observation) -> DataFrame:
+    """``lines``, counting in the same scan the non-blank ones that aren't 1980 data lines."""
+    rejected = (F.length(F.trim(F.col("value"))) > 0) & ~is_data_line_1980(F.col("value"))
+    return lines.observe(seen, F.count_if(rejected).alias(REJECTED))
+
+
 def parse_whitespace_lines(lines: DataFrame) -> DataFrame:
     """S3 on lines: runs of blanks separate fields; blank lines are skipped."""
     names = codes.LONG_CODE_LAYOUT_COLUMNS
@@ -169,9 +180,13 @@ def read_wide_age_1970(spark: SparkSession, paths) -> DataFrame:
     return type_wide_age(raw, race_sex_is_text=False)
 
 
-def read_wide_age_1980(spark: SparkSession, paths) -> DataFrame:
-    """CSV after a prose preamble, blank rows skipped, text race_sex."""
-    return parse_preamble_lines(spark.read.text(paths))
+def read_wide_age_1980(spark: SparkSession, paths, seen: Observation | None = None) -> DataFrame:
+    """CSV after a prose preamble, blank rows skipped, text race_sex.
+
+    ``seen`` gets the number of rejected non-blank lines once the result is computed.
+    """
+    lines = spark.read.text(paths)
+    return parse_preamble_lines(observe_rejected(lines, seen) if seen else lines)
 
 
 def read_long_codes_1990(spark: SparkSession, paths) -> DataFrame:

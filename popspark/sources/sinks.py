@@ -2,26 +2,25 @@
 
 Results are written as directories of part files, never funnelled through
 one task: gzip CSV (header, ``NA`` for missing) for export, Parquet
-partitioned by decade for the combined product.  Writes go to a fresh
-staging directory first and are only published (renamed into place) by the
-caller once every decade has succeeded (D3).
+partitioned by decade for the combined product.  The job writes to a staging
+folder; ``publish`` moves what is complete to its place (D3).
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
+import uuid
+from collections.abc import Sequence
+
+from pyspark.sql import DataFrame, SparkSession
+
+
+#: how results are rendered, and read back
+CSV_OPTIONS = {"nullValue": "NA"}
 
 
 def write_csv_gz(df: DataFrame, path: str, mode: str = "errorifexists") -> None:
     """Gzip CSV with header; NULL written as NA."""
-    (
-        df.write.mode(mode)
-        .option("header", "true")
-        .option("nullValue", "NA")
-        .option("compression", "gzip")
-        .csv(path)
-    )
+    df.write.mode(mode).options(header="true", compression="gzip", **CSV_OPTIONS).csv(path)
 
 
 def write_state_names(df: DataFrame, path: str, mode: str = "errorifexists") -> None:
@@ -30,11 +29,64 @@ def write_state_names(df: DataFrame, path: str, mode: str = "errorifexists") ->
 
 
 def write_parquet_by_decade(df: DataFrame, path: str, mode: str = "errorifexists") -> None:
-    """S12 (Parquet copy): partitioned by decade so readers prune decades."""
-    with_decade = df.withColumn("decade", (F.floor(F.col("year") / 10) * 10).cast("int"))
-    with_decade.write.mode(mode).partitionBy("decade").parquet(path)
+    """S12 (Parquet copy): partitioned by the source decade, so readers prune decades."""
+    df.write.mode(mode).partitionBy("decade").parquet(path)
 
 
 def write_report(df: DataFrame, path: str) -> None:
     """An audit result as CSV with header; usually tiny, so AQE leaves few parts."""
     df.write.mode("overwrite").option("header", "true").option("nullValue", "NA").csv(path)
+
+
+# ------------------------------------------------------------------ publish
+def _fs(spark: SparkSession, path: str):
+    """(file system, path) of any Hadoop-compatible URI."""
+    p = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return p.getFileSystem(spark._jsc.hadoopConfiguration()), p
+
+
+def exists(spark: SparkSession, path: str) -> bool:
+    fs, p = _fs(spark, path)
+    return fs.exists(p)
+
+
+def mark(spark: SparkSession, path: str) -> None:
+    """Makes an empty file, as a marker."""
+    fs, p = _fs(spark, path)
+    fs.mkdirs(p.getParent())
+    fs.create(p, True).close()
+
+
+def remove(spark: SparkSession, path: str) -> None:
+    fs, p = _fs(spark, path)
+    fs.delete(p, True)
+
+
+def publish(spark: SparkSession, stage: str, root: str, names: Sequence[str]) -> None:
+    """Moves ``stage``/name to ``root``/name for all names.
+
+    What was there first moves aside and goes only after every name is in
+    place; if a move fails, what was published before is moved back.
+    """
+    aside = f"{root}/_replaced-{uuid.uuid4().hex}"
+    done: list[tuple[str, str]] = []
+
+    def move(a: str, b: str) -> None:
+        fs, source = _fs(spark, a)
+        target = spark._jvm.org.apache.hadoop.fs.Path(b)
+        fs.mkdirs(target.getParent())
+        if not fs.rename(source, target):
+            raise OSError(f"cannot move {a} to {b}")
+        done.append((a, b))
+
+    try:
+        for name in names:
+            if exists(spark, f"{root}/{name}"):
+                move(f"{root}/{name}", f"{aside}/{name}")
+            move(f"{stage}/{name}", f"{root}/{name}")
+    except Exception:
+        for a, b in reversed(done[:]):
+            move(b, a)
+        raise
+    remove(spark, aside)
+    remove(spark, stage)

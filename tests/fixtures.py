@@ -99,7 +99,8 @@ def build_source_tree(root: str) -> str:
         body = ROWS_1990 if i == 0 else [f"9{i} 01001  5 1 1      1"]
         write(os.path.join(root, "1990", f), "\n".join(body) + "\n")
     for i, f in enumerate(m[2000]):
-        body = rows_2000(H2000) if i == 0 else []
+        # every file has data; what the other files hold is out of the year range
+        body = rows_2000(H2000) if i == 0 else rows_2000(H2000)[:1]
         write(os.path.join(root, "2000", f), "\n".join([",".join(H2000)] + body) + "\n")
     write(os.path.join(root, "2010", m[2010][0]), "\n".join([",".join(H2000)] + rows_2010(H2000)) + "\n")
     write(os.path.join(root, "2020", m[2020][0]), "\n".join([",".join(H2020)] + rows_2020(H2020)) + "\n")

@@ -157,12 +157,3 @@ def test_empty_inputs_give_empty_typed_results(spark):
             "int", "string", "string", "string", "string", "string", "bigint"
         ]
         assert out.count() == 0, decade
-
-
-def test_cluster_conf_sizes_partitions():
-    from popspark.session import cluster_conf
-
-    big = cluster_conf(24e12)
-    assert 50_000 < int(big["spark.sql.shuffle.partitions"]) <= 200_000
-    assert cluster_conf(1e6)["spark.sql.shuffle.partitions"] == "200"
-    assert big["spark.sql.adaptive.enabled"] == "true"

@@ -93,7 +93,7 @@ def test_pipeline_1990_hispanic_total(spark, src, names):
 
 def test_pipeline_2000(spark, src, names):
     raw = readers.read_wide_race(spark, _paths(src, 2000), 2000)
-    assert raw.count() == 7
+    assert raw.count() == 57  # 7 rows in the first file, one in each of the other 50
     out = pl.pipeline(2000, raw, names)
     got = {(r.year, r.state_fips, r.age, r.sex, r.race_p_ethnicity): r.population for r in out.collect()}
     assert {k[0] for k in got} == {2000, 2009}  # YEAR 2 and 11 only
@@ -249,3 +249,157 @@ def test_1990_short_line_gives_missing_fields(spark):
 def test_1970_line_parser_skips_blank_lines_like_the_file_reader(spark):
     lines = spark.createDataFrame([(fx.ROWS_1970[0],), ("",), ("   ",), (fx.ROWS_1970[1],)], "value string")
     assert rows(readers.parse_wide_age_lines(lines), "fips") == [("01001",), ("01003",)]
+
+
+# ------------------------------------------------- 1980: what is a data line
+def _lines(spark, *values):
+    return spark.createDataFrame([(v,) for v in values], "value string")
+
+
+def test_1980_short_and_quoted_rows_are_kept_and_titles_dropped(spark):
+    title = ",".join(codes.WIDE_AGE_LAYOUT_COLUMNS)
+    quoted = '"1980","1001","White male",' + ",".join(["1"] * 18)
+    got = rows(readers.parse_preamble_lines(_lines(spark, title, "prose, " * 21, "", "1980,1001,White female,5", quoted, "  ")), "year", "fips", "race_sex", "age0_4", "age85")
+    assert got == [(1980, "1001", "White female", 5, None), (1980, "1001", "White male", 1, 1)]
+
+
+def test_1980_more_rejected_lines_than_the_preamble_fail(spark, src, tmp_path):
+    county = spark.createDataFrame(fx.COUNTY_TABLE, "state_code string, state_name string, county_code string")
+    root = fx.build_source_tree(str(tmp_path / "s"))
+    path = os.path.join(root, "1980", codes.source_manifest()[1980][0])
+    body = open(path).read()
+    job.run_job(spark, root, str(tmp_path / "ok"), county, decades=(1980,))
+    write(path, body + "198O,1001,White male" + ",1" * 18 + "\n")  # a letter O in the year
+    with pytest.raises(Exception, match="15 lines are not data lines"):
+        job.run_job(spark, root, str(tmp_path / "bad"), county, decades=(1980,))
+
+
+# -------------------------------------------------------- audit, D3, resume
+def _county(spark):
+    return spark.createDataFrame(fx.COUNTY_TABLE, "state_code string, state_name string, county_code string")
+
+
+def test_empty_and_header_only_files_fail_and_all_are_named(spark, tmp_path):
+    root = fx.build_source_tree(str(tmp_path / "s"))
+    m = codes.source_manifest()
+    write(os.path.join(root, "2000", m[2000][3]), ",".join(fx.H2000) + "\n\n")
+    write(os.path.join(root, "1970", m[1970][0]), "")
+    write(os.path.join(root, "1980", m[1980][0]), "\n".join(fx.PREAMBLE_1980) + "\n")
+    os.remove(os.path.join(root, "2020", m[2020][0]))
+    with pytest.raises(Exception) as e:
+        job.run_job(spark, root, str(tmp_path / "o"), _county(spark))
+    for d, f in ((2000, m[2000][3]), (1970, m[1970][0]), (1980, m[1980][0]), (2020, m[2020][0])):
+        assert f"{d}/{f}" in str(e.value)
+    assert "(4)" in str(e.value)
+    with pytest.raises(Exception) as e:
+        job.run_job(spark, str(tmp_path / "none"), str(tmp_path / "o"), _county(spark))
+    assert "(65)" in str(e.value) and all(f in str(e.value) for fs in m.values() for f in fs)
+
+
+def _tree(root):
+    """Content of every published file, by folder; part names change, so they don't count."""
+    found = {}
+    for base, _, names in os.walk(root):
+        if "_staging" not in base:
+            data = [open(os.path.join(base, n), "rb").read() for n in names if not n.endswith(".crc")]
+            found[os.path.relpath(base, root)] = sorted(data)
+    return found
+
+
+def test_a_failed_run_leaves_the_published_outputs(spark, tmp_path):
+    root, out = fx.build_source_tree(str(tmp_path / "s")), str(tmp_path / "o")
+    job.run_job(spark, root, out, _county(spark))
+    before = _tree(out)
+    path = os.path.join(root, "1970", codes.source_manifest()[1970][0])
+    write(path, open(path).read().replace(",18\n", ",5018\n"))
+    bad = os.path.join(root, "2000", codes.source_manifest()[2000][5])
+    good = open(bad).read()
+    write(bad, good.replace("NHWA_MALE", "NHWA_MALES"))
+    with pytest.raises(Exception, match="failed to process 2000"):
+        job.run_job(spark, root, out, _county(spark))
+    assert _tree(out) == before
+    write(bad, good)
+    again = job.run_job(spark, root, out, _county(spark), resume=True)
+    assert again.agg({"population": "max"}).first()[0] >= 5000  # the new 1970 row is in the product
+    assert not os.path.exists(os.path.join(out, "_staging"))
+    assert not [n for n in os.listdir(out) if n.startswith("_replaced")]
+
+
+def test_resume_after_one_decade_gives_all_six(spark, tmp_path):
+    root, out = fx.build_source_tree(str(tmp_path / "s")), str(tmp_path / "o")
+    job.run_job(spark, root, out, _county(spark), decades=(2010,))
+    combined = job.run_job(spark, root, out, _county(spark), resume=True)
+    assert {1970, 1980, 1990, 2000, 2010, 2020} <= {r.year for r in combined.select("year").distinct().collect()}
+    copy = spark.read.parquet(out + "/states-asrpe-parquet")
+    assert {r.decade for r in copy.select("decade").distinct().collect()} == set(codes.DECADES)
+    assert copy.count() == combined.count()
+
+
+def test_resume_reuses_complete_decades_and_redoes_changed_ones(spark, tmp_path, monkeypatch):
+    root, out = fx.build_source_tree(str(tmp_path / "s")), str(tmp_path / "o")
+    made, real = [], job.write_decade
+
+    def counted(spark, src, path, decade, names):
+        made.append(decade)
+        if decade == fail_at:
+            raise RuntimeError("stop")
+        return real(spark, src, path, decade, names)
+
+    monkeypatch.setattr(job, "write_decade", counted)
+    fail_at = 2000
+    with pytest.raises(Exception, match="stop"):
+        job.run_job(spark, root, out, _county(spark))
+    fail_at, made[:] = 2010, []
+    path = os.path.join(root, "1980", codes.source_manifest()[1980][0])
+    write(path, open(path).read() + "1980,1001,White male,9\n")
+    with pytest.raises(Exception, match="stop"):
+        job.run_job(spark, root, out, _county(spark), resume=True)
+    assert made == [1980, 2000, 2010]
+    fail_at, made[:] = None, []
+    other = spark.createDataFrame([("01", "Alabama renamed", "001")], "state_code string, state_name string, county_code string")
+    combined = job.run_job(spark, root, out, other, resume=True)
+    assert made == list(codes.DECADES)  # the lookup changed, so every decade is redone
+    assert "Alabama renamed" in {r.state_name for r in combined.select("state_name").distinct().collect()}
+
+
+def test_product_is_ordered_and_parquet_carries_the_source_decade(spark, src, tmp_path):
+    out = str(tmp_path / "o")
+    combined = job.run_job(spark, src, out, _county(spark))
+    got = [tuple(r) for r in combined.collect()]
+    want = []
+    for d in codes.DECADES:
+        want += [tuple(r) for r in readers.read_decade_result(spark, job.decade_output(out, d)).collect()]
+    assert got == want
+    copy = spark.read.parquet(out + "/states-asrpe-parquet")
+    for d in codes.DECADES:
+        one = copy.filter(f"decade = {d}").drop("decade")
+        assert sorted(map(str, one.collect())) == sorted(map(str, readers.read_decade_result(spark, job.decade_output(out, d)).collect()))
+
+
+def test_missing_years_stay_in_their_decade(spark, tmp_path):
+    df = spark.createDataFrame([(None, "01", "A", "0-19", "Male", "White", 1), (2012, "01", "A", "0-19", "Male", "White", 2)], readers.OUTPUT_SCHEMA)
+    sinks.write_parquet_by_decade(pl.combine({2010: df}), str(tmp_path / "p"))
+    assert [r.decade for r in spark.read.parquet(str(tmp_path / "p")).collect()] == [2010, 2010]
+
+
+def test_gzip_round_trip_with_comma_quote_and_missing(spark, tmp_path):
+    df = spark.createDataFrame([(1970, "01", 'A, "B" C', "0-19", None, "White", 5), (1970, "02", "D", "65+", "Male", None, None)], readers.OUTPUT_SCHEMA)
+    sinks.write_csv_gz(df, str(tmp_path / "g"))
+    assert sorted(map(str, readers.read_decade_result(spark, str(tmp_path / "g")).collect())) == sorted(map(str, df.collect()))
+    sinks.write_state_names(df.select("state_fips", "state_name"), str(tmp_path / "n"))
+    assert {r.state_name for r in readers.read_state_names(spark, str(tmp_path / "n")).collect()} == {'A, "B" C', "D"}
+
+
+def test_publish_moves_back_when_a_move_fails(spark, tmp_path):
+    out, stage = str(tmp_path / "o"), str(tmp_path / "st")
+    write(f"{out}/a/x", "old")
+    write(f"{stage}/a/x", "new")
+    with pytest.raises(Exception):
+        sinks.publish(spark, stage, out, ["a", "gone"])
+    assert open(f"{out}/a/x").read() == "old" and open(f"{stage}/a/x").read() == "new"
+
+
+def test_ambiguous_state_names_are_reported(spark, src, tmp_path):
+    two = spark.createDataFrame([("01", "Alabama", "001"), ("01", "Ala.", "003"), ("02", "Alaska", "001")], "state_code string, state_name string, county_code string")
+    job.run_job(spark, src, str(tmp_path / "o"), two, decades=(1970,), domain_report=True)
+    assert [(r.state_fips, r.n_names) for r in spark.read.option("header", "true").csv(str(tmp_path / "o") + "/state_names-violations").collect()] == [("01", "2")]

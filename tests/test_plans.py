@@ -3,7 +3,7 @@
 import pytest
 
 import __spark_entry__ as E
-from popspark.plans import job
+from popspark.plans import catalog, job
 from popspark.plans import pipelines as pl
 from popspark.sources import readers
 
@@ -18,7 +18,7 @@ def executed(df):
     return df._jdf.queryExecution().executedPlan().toString()
 
 
-@pytest.mark.parametrize("name", sorted(E.queries()))
+@pytest.mark.parametrize("name", sorted(catalog.QUERIES))
 def test_no_python_in_any_query(spark, name):
     plan = E.queries()[name](spark, SF001)._jdf.queryExecution().executedPlan().toString()
     assert not any(n in plan for n in PYTHON_NODES)
@@ -77,4 +77,18 @@ def test_file_pipelines_scan_each_source_once(spark, tmp_path, decade):
 def test_derived_lines_are_built_once(spark, name):
     """Dropping the header must not re-build each derived line inside a pushed-down filter."""
     plan = E.queries()[name](spark, SF001)._jdf.queryExecution().optimizedPlan().toString()
-    assert plan.count("concat_ws(") == 1
+    assert plan.count("concat_ws(") + plan.count("to_csv(") == 1
+
+
+@pytest.mark.parametrize("name", ["full_product", "union_decades", "export_order", "domain_violations"])
+def test_decades_share_one_scan_of_the_tables(spark, name):
+    """Queries over all decades scan and shuffle lineitem once; the other decades reuse it."""
+    before = spark.conf.get("spark.sql.maxMetadataStringLength")
+    spark.conf.set("spark.sql.maxMetadataStringLength", "4000")
+    try:
+        final = executed(E.queries()[name](spark, SF001)).split("== Initial Plan ==")[0]
+    finally:
+        spark.conf.set("spark.sql.maxMetadataStringLength", before)
+    scans = [ln for ln in final.split("\n") if "FileScan parquet" in ln and "l_orderkey" in ln]
+    assert len(scans) == 1, scans
+    assert "PythonUDF" not in final
