@@ -2,7 +2,7 @@
 
     python tools/materialize_sources.py <sf_dir> <out_root>
 
-A local test tool: each file is rendered by Spark (the same text views the
+A local test tool for small tables (a whole layout goes through one task): each file is rendered by Spark (the same text views the
 scan queries parse), written as one part and renamed to its expected name,
 so ``plans.job.run_job`` can be run end to end on realistic volumes.
 """
@@ -44,6 +44,7 @@ def materialize(spark, sf: str, root: str) -> str:
     l90 = dv.lines_1990(spark, sf).select("value").withColumn("k", F.pmod(F.hash("value"), F.lit(10))).persist()
     for i, name in enumerate(m[1990]):
         _write_one(l90.filter(F.col("k") == i).select("value"), f"{root}/1990/{name}")
+    l90.unpersist()
     # 2000: one file per state id; codes without a file of their own go to the first
     cols = dv.wide_race_columns(2000)
     header = ",".join(cols)
@@ -56,6 +57,7 @@ def materialize(spark, sf: str, root: str) -> str:
     for sid, name in zip(ids, m[2000]):
         part = body.filter(F.col("target") == sid).select("value", F.lit(1).alias("o"))
         _write_one(head.unionByName(part).orderBy("o").select("value"), f"{root}/2000/{name}")
+    body.unpersist()
     for d in (2010, 2020):
         lines = dv.lines_wide_race(spark, sf, d)
         ordered = lines.withColumn("o", (~F.col("skip")).cast("int")).orderBy("o").select("value")

@@ -15,7 +15,7 @@ import sys
 
 sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 
-import __spark_entry__ as E  # noqa: E402
+from popspark.plans import catalog  # noqa: E402
 from popspark.session import local_session  # noqa: E402
 
 PYTHON_NODES = ("BatchEvalPython", "ArrowEvalPython", "MapInPandas", "FlatMapGroupsInPandas")
@@ -59,7 +59,7 @@ def main(argv):
     print("Generated by `tools/plan_report.py`. Counts are taken from the executed (final) plan.\n")
     print("| query | shuffles | reused | broadcasts | joins | partial agg | scans (with pushed filters) | python |")
     print("| --- | --- | --- | --- | --- | --- | --- | --- |")
-    for name, fn in E.queries().items():
+    for name, fn in catalog.QUERIES.items():
         df = fn(spark, sf)
         df.collect()  # executes df's own query execution, so its plan below is the final one
         s = summarise(df._jdf.queryExecution().executedPlan().toString())
