@@ -255,7 +255,7 @@ def prefix(tokens: np.ndarray, dfs: np.ndarray, size: int, order: int) -> np.nda
     room = size - needed(size) + 1 - (size - len(tokens))
     if room <= 0:
         return tokens[:0]
-    rank = dfs if order < 2 else np.log2(dfs).astype(np.int64)
+    rank = dfs if order < 2 else np.frexp(dfs.astype(np.float64))[1]  # the last order by the number of bits
     return tokens[np.lexsort((_mix(tokens, 10 + order), rank))[:room]]
 
 
@@ -467,10 +467,11 @@ def jaccard_components(docs: DataFrame, text: str = "text", id_: str = "doc_id")
 
 def keep_one(docs: DataFrame) -> DataFrame:
     """The rows of the document with the smallest id of each component, with all their columns."""
-    gone = staged(jaccard_components(docs).filter("doc_id <> component_id").select(F.col("doc_id").alias("__id"), F.hex("text_md5").alias("__md5")).distinct(), "dropped")
+    member = jaccard_components(docs).filter("doc_id <> component_id")
+    gone = staged(member.select("doc_id", F.hex("text_md5").alias("md5")).distinct(), "dropped")
     gone = F.broadcast(gone) if gone.count() <= BROADCAST_KEYS else gone
-    same = (docs["doc_id"] == F.col("__id")) & (F.upper(F.md5(F.coalesce(docs["text"], F.lit("")).cast("binary"))) == F.col("__md5"))
-    return docs.join(gone, same, "left_anti")
+    md5 = F.upper(F.md5(F.coalesce(docs["text"], F.lit("")).cast("binary")))
+    return docs.join(gone, (docs["doc_id"] == gone["doc_id"]) & (md5 == gone["md5"]), "left_anti")
 
 
 def op6_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:

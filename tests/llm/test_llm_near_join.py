@@ -91,10 +91,9 @@ def test_large_components_and_small_batches(spark, monkeypatch):
 
 def test_keep_one(spark):
     docs = corpus(3, 20, 6) + EDGE
-    df = spark.createDataFrame([(*d, "z", 1) for d in docs], "doc_id long, text string, `__id` string, n_shingles int")
-    plain = df.drop("__id").withColumnRenamed("n_shingles", "node")
-    kept = near_join.keep_one(plain)
-    assert kept.columns == plain.columns
+    df = spark.createDataFrame([(*d, "z", 1) for d in docs], "doc_id long, text string, md5 string, component_id int")
+    kept = near_join.keep_one(df)
+    assert kept.columns == df.columns
     want = sorted((str(d) for d, _, c in brute(docs) if d == c))
     assert sorted(str(r.doc_id) for r in kept.collect()) == want
 
