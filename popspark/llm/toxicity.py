@@ -20,15 +20,16 @@ base rate (0 without labels); a row with a null id is never a training row.
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Iterable, Iterator
 from dataclasses import dataclass
 from zlib import crc32
 
 import numpy as np
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from popspark.llm.common import crc_mod, labelled_sample, per_text, table, words
+from popspark.llm.common import crc_mod, labelled_sample, per_text, staged, table, words
 
 #: labelled rows that the machine learns from, at most
 MAX_ROWS = 20_000
@@ -83,32 +84,34 @@ def sigmoid(x: float) -> float:
     return float(1 / (1 + np.exp(-np.clip(x, -40, 40))))
 
 
-def choose_terms(docs: list[np.ndarray], y: np.ndarray, limit: int) -> np.ndarray:
+def _count_terms(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """(term, rows, ones): a task's part of how many rows, and how many of label 1, hold a term."""
+    for rb in batches:
+        docs = [np.frombuffer(x, "<u4") for x in rb.column(0).to_pylist()]
+        y = np.repeat(rb.column(1).to_numpy(), [len(d) for d in docs])
+        terms, inverse = np.unique(np.concatenate(docs), return_inverse=True)
+        ones = np.bincount(inverse, weights=y, minlength=len(terms)).astype(np.int64)
+        yield pa.RecordBatch.from_arrays([pa.array(terms.astype(np.int64)), pa.array(np.bincount(inverse, minlength=len(terms))), pa.array(ones)], names=["term", "rows", "ones"])
+
+
+def choose_terms(sample: DataFrame, limit: int = MAX_TERMS) -> np.ndarray:
     """The terms most associated with the label (by the chi-square statistic), in at least two rows."""
-    terms, inverse = np.unique(np.concatenate(docs), return_inverse=True)
-    label = np.repeat(y, [len(d) for d in docs])
-    in_one = np.bincount(inverse, weights=label, minlength=len(terms))
-    in_any = np.bincount(inverse, minlength=len(terms))
-    n, ones = len(y), y.sum()
-    gap = in_one * n - in_any * ones
-    chi = gap * gap / np.maximum(in_any * (n - in_any) * ones * (n - ones), 1) * n
-    keep = np.flatnonzero((in_any >= 2) & (chi > 6.63))  # a chance of 0.01
-    return terms[keep[np.argsort(-chi[keep], kind="stable")[:limit]]]
-
-
-def train(docs: list[np.ndarray], y: np.ndarray, max_terms: int = MAX_TERMS, k: int = FACTORS, epochs: int = EPOCHS) -> Machine:
-    """A machine fitted by AdaGrad on batches of rows."""
+    n, ones = sample.agg(F.count(F.lit(1)), F.sum("y")).first()
+    counts = sample.select("terms", "y").mapInArrow(_count_terms, "term long, rows long, ones long").groupBy("term").agg(F.sum("rows").alias("rows"), F.sum("ones").alias("ones"))
+    r, k = F.col("rows").cast("double"), F.col("ones").cast("double")
+    chi = F.pow(k * n - r * ones, F.lit(2)) / (r * F.greatest(n - r, F.lit(0.5)) * ones * (n - ones)) * n
+    best = counts.withColumn("chi", chi).filter((r >= 2) & (F.col("chi") > 6.63))  # a chance of 0.01
+    return np.array([x.term for x in best.orderBy(F.desc("chi"), "term").limit(limit).collect()], np.int64)
+
+
+def constant(rate: float) -> Machine:
+    return Machine(float(np.clip(np.log(max(rate, 1e-18) / max(1 - rate, 1e-18)), -40, 40)), {}, np.zeros(0), np.zeros((0, FACTORS)))
+
+
+def train(rows: list[np.ndarray], y: np.ndarray, terms: np.ndarray, k: int = FACTORS, epochs: int = EPOCHS) -> Machine:
+    """A machine fitted by AdaGrad on batches of rows, given as places in ``terms``."""
     ones = float(y.sum())
-    if not ones or ones == len(y):
-        return Machine((40.0 if ones else -40.0) if len(y) else -40.0, {}, np.zeros(0), np.zeros((0, k)))
-    terms = choose_terms(docs, y, max_terms)
     place = {int(t): i for i, t in enumerate(terms)}
-    order = np.argsort(terms)
-    rows = []
-    for d in docs:
-        at = np.searchsorted(terms[order], d)
-        hit = (at < len(terms)) & (terms[order[np.minimum(at, len(terms) - 1)]] == d) if len(terms) else np.zeros(len(d), bool)
-        rows.append(order[at[hit]])
     rng = np.random.default_rng(7)
     bias, w, v = float(np.log(ones / (len(y) - ones))), np.zeros(len(terms)), rng.normal(0, 0.01, (len(terms), k))
     gw, gv = np.full_like(w, 1e-6), np.full_like(v, 1e-6)
@@ -141,12 +144,28 @@ def train(docs: list[np.ndarray], y: np.ndarray, max_terms: int = MAX_TERMS, k:
 
 
 def fit(docs: DataFrame, labels: DataFrame, label: str = "toxic", max_rows: int = MAX_ROWS) -> Machine:
-    sample = per_text(labelled_sample(docs, labels, label, max_rows), ["doc_id", "y"], "text", lambda texts: {"terms": list(map(text_terms, texts))}, "terms array<long>")
-    got = sample.orderBy("doc_id").toArrow()
-    terms = got.column("terms").combine_chunks()
-    flat, offsets = terms.values.to_numpy().astype(np.uint32), terms.offsets.to_numpy()
-    rows = [flat[a:b] for a, b in zip(offsets[:-1], offsets[1:], strict=True)]
-    return train(rows, got.column("y").to_numpy().astype(float))
+    """Counts terms and chooses among them where the texts are; only the chosen terms' places are collected."""
+    rows = per_text(labelled_sample(docs, labels, label, max_rows), ["doc_id", "y"], "text", lambda texts: {"terms": [np.array(text_terms(t), "<u4").tobytes() for t in texts]}, "terms binary")
+    sample = staged(rows.repartition(8, "doc_id"), "toxicity-sample")
+    n, ones = sample.agg(F.count(F.lit(1)), F.sum("y")).first()
+    if not n or ones in (0, n):
+        return constant(ones / n if n else 0.0)
+    terms = choose_terms(sample)
+    order = np.argsort(terms)
+    ranked = terms[order]
+
+    def places(batches):
+        for rb in batches:
+            own = []
+            for x in rb.column(2).to_pylist():
+                d = np.frombuffer(x, "<u4").astype(np.int64)
+                at = np.minimum(np.searchsorted(ranked, d), max(len(ranked) - 1, 0))
+                own.append(order[at[ranked[at] == d]].astype("<u2").tobytes() if len(ranked) else b"")
+            yield pa.RecordBatch.from_arrays([rb.column(0), rb.column(1), pa.array(own, pa.binary())], names=["doc_id", "y", "places"])
+
+    got = sample.select("doc_id", "y", "terms").mapInArrow(places, "doc_id long, y int, places binary").orderBy("doc_id").toArrow()
+    own = [np.frombuffer(x, "<u2").astype(np.int64) for x in got.column("places").to_pylist()]
+    return train(own, got.column("y").to_numpy().astype(float), terms)
 
 
 def score_documents(docs: DataFrame, machine: Machine, keep: tuple[str, ...] = ("doc_id",), text: str = "text") -> DataFrame:

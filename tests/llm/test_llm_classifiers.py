@@ -76,12 +76,11 @@ def test_machine_is_the_sum_over_pairs():
 
 def test_machine_learns_an_interaction():
     """Either term alone is clean, both together are toxic: no linear weights do that."""
-    docs, y = [], []
+    rows, y = [], []
     for i in range(1200):
-        own = [t for t, on in ((1, i % 2), (2, i // 2 % 2)) if on] + [10 + i % 7]
-        docs.append(np.array(sorted(own), np.uint32))
+        rows.append(np.array([t for t, on in ((0, i % 2), (1, i // 2 % 2)) if on] + [2 + i % 7]))
         y.append(float(i % 2 and i // 2 % 2))
-    m = toxicity.train(docs, np.array(y), epochs=60)
+    m = toxicity.train(rows, np.array(y), np.arange(1, 10), epochs=60)
     score = lambda *terms: toxicity.sigmoid(m.raw([m.place[t] for t in terms if t in m.place]))
     assert score(1, 2) > 0.5 > max(score(1), score(2), score())
 
@@ -119,3 +118,9 @@ def test_features_approximate_the_kernel():
     got = (model.features(a)[:, :-1] * model.features(b)[:, :-1]).sum(1)
     want = np.exp(-((a - b) ** 2).sum(1) / (2 * quality.WIDTH**2))
     assert np.abs(got - want).max() < 0.3 and np.abs(got - want).mean() < 0.08
+
+
+def test_terms_are_chosen_by_association(spark):
+    rows = [(i, int(i % 4 == 0), np.array([7, 9] if i % 4 == 0 else [9] if i % 3 else [9, 11], "<u4").tobytes()) for i in range(400)]
+    sample = spark.createDataFrame(rows, "doc_id long, y int, terms binary").repartition(3)
+    assert toxicity.choose_terms(sample).tolist() == [7, 11]
