@@ -20,8 +20,8 @@ checkpoints, words, crc32 of the words, crc32 of the ids (u32 each), then the
 checkpoints (u32 place, u64 state per lane) from step 0 on, then the words.
 
 The tokenizer treats white space as a mere boundary, and so texts are cut at
-blanks and line ends and the library encodes each distinct stretch once in a
-worker, as long as a bounded cache has room.
+blanks and line ends and the library encodes each distinct stretch, or piece of
+one, once in a worker, as long as a bounded cache has room.
 
 Cases: a null or empty text has only the end id; a null document id sorts
 first; rows with equal ids are ordered by text; an empty table gives empty
@@ -31,6 +31,7 @@ files and reads back empty.
 from __future__ import annotations
 
 import os
+import re
 import struct
 from collections.abc import Iterable, Iterator
 from functools import lru_cache
@@ -47,14 +48,25 @@ VOCABULARY = "word_bpe_49k.json"
 END_ID = 1
 #: ids of a block; lanes of a full block; steps between checkpoints
 BLOCK, LANES, EVERY = 1 << 18, 1024, 64
-#: stretches that a worker's cache holds
+#: stretches, and pieces, that a worker's caches hold
 CACHE_LIMIT = 300_000
 _LOW = np.uint64(1 << 31)
 _HEAD = struct.Struct("<4s7I")
 
 
+#: fixed values: the tokenizer's own split pattern, for lower-case ASCII
+_PIECES = re.compile(rb"'s|'t|'re|'ve|'m|'ll|'d|[a-z]+|[0-9]|[^\sa-z0-9]+").findall
+
+
 class Words:
-    """The tokenizer, with a bounded cache of the ids of stretches without blanks."""
+    """The tokenizer, with bounded caches of the ids of stretches without blanks, and of their pieces.
+
+    The tokenizer lower-cases and takes each piece of a stretch on its own, so
+    stretches are looked up with A-Z lower-cased, and an unknown ASCII stretch
+    is put together from its pieces. Unknown pieces are encoded many at a
+    time, as words of one text. Stretches with other characters are encoded
+    whole.
+    """
 
     def __init__(self, path: str):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
@@ -62,26 +74,51 @@ class Words:
 
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.encode_special_tokens = True
-        self.seen: dict[str, bytes] = {}
+        self.seen: dict[bytes, bytes] = {}
+        self.pieces: dict[bytes, bytes] = {}
+
+    def _encode_pieces(self, new: list[bytes]) -> dict[bytes, bytes]:
+        """Ids of pieces; ``word_ids`` tells the piece of each id."""
+        got = dict.fromkeys(new, b"")
+        for start in range(0, len(new), 2048):
+            some = new[start : start + 2048]
+            e = self.tokenizer.encode(b" ".join(some).decode(), add_special_tokens=False)
+            ids, of = np.array(e.ids, "<u4"), np.array(e.word_ids)
+            cuts = np.searchsorted(of, np.arange(len(some) + 1))
+            data = ids.tobytes()
+            for p, a, b in zip(some, (4 * cuts[:-1]).tolist(), (4 * cuts[1:]).tolist(), strict=True):
+                got[p] = data[a:b]
+        return got
 
     def encode(self, texts: list[str], end: int = END_ID) -> list[bytes]:
         """Ids of each text and the end id, as little-endian unsigned 32-bit integers."""
-        seen, last = self.seen, struct.pack("<I", end)
-        cut = [t.replace("\n", " ").split(" ") for t in texts]
-        new = list(set().union(*cut) - seen.keys())
-        got: dict[str, bytes] = {}
-        for start in range(0, len(new), 4096):
-            some = new[start : start + 4096]
-            for s, e in zip(some, self.tokenizer.encode_batch_fast(some, add_special_tokens=False), strict=True):
-                got[s] = ids = struct.pack(f"<{len(e.ids)}I", *e.ids)
-                if len(s) <= 64 and len(seen) < CACHE_LIMIT:
-                    seen[s] = ids
+        seen, pieces, last = self.seen, self.pieces, struct.pack("<I", end)
+        cut = [t.encode().lower().replace(b"\n", b" ").split(b" ") for t in texts]
+        new = set().union(*cut) - seen.keys()
+        split = {s: _PIECES(s) for s in new if s.isascii()}
+        got = self._encode_pieces(list(set().union(*split.values()) - pieces.keys()))
+        for p, ids in got.items():
+            if len(pieces) >= CACHE_LIMIT:
+                break
+            if len(p) <= 64:
+                pieces[p] = ids
+        found: dict[bytes, bytes] = {}
+        for s, parts in split.items():
+            found[s] = b"".join([got[p] if (x := pieces.get(p)) is None else x for p in parts])
+        for s in new:
+            if s not in split:
+                found[s] = np.array(self.tokenizer.encode(s.decode(), add_special_tokens=False).ids, "<u4").tobytes()
+        for s, ids in found.items():
+            if len(seen) >= CACHE_LIMIT:
+                break
+            if len(s) <= 64:
+                seen[s] = ids
         out = []
         for c in cut:
-            parts = list(map(seen.get, c))
-            if None in parts:
-                parts = [got[s] if p is None else p for s, p in zip(c, parts, strict=True)]
-            out.append(b"".join(parts) + last)
+            known = list(map(seen.get, c))
+            if None in known:
+                known = [found[s] if k is None else k for s, k in zip(c, known, strict=True)]
+            out.append(b"".join(known) + last)
         return out
 
 
