@@ -45,17 +45,15 @@ def materialize(spark, sf: str, root: str) -> str:
     for i, name in enumerate(m[1990]):
         _write_one(l90.filter(F.col("k") == i).select("value"), f"{root}/1990/{name}")
     l90.unpersist()
-    # 2000: one file per state id; codes without a file of their own go to the first
+    # 2000: lines spread over the 51 files by a hash, so that every file has rows
     cols = dv.wide_race_columns(2000)
     header = ",".join(cols)
     body = dv.lines_wide_race(spark, sf, 2000).filter(~F.col("skip")).select("value")
-    ids = [n.split("-")[-1].split(".")[0] for n in m[2000]]
-    state = F.split("value", ",").getItem(cols.index("STATE"))
-    target = F.when(state.isin(*ids), state).otherwise(F.lit(ids[0]))
+    target = F.pmod(F.hash("value"), F.lit(len(m[2000])))
     body = body.withColumn("target", target).persist()
     head = spark.createDataFrame([(header, 0)], "value string, o int")
-    for sid, name in zip(ids, m[2000]):
-        part = body.filter(F.col("target") == sid).select("value", F.lit(1).alias("o"))
+    for i, name in enumerate(m[2000]):
+        part = body.filter(F.col("target") == i).select("value", F.lit(1).alias("o"))
         _write_one(head.unionByName(part).orderBy("o").select("value"), f"{root}/2000/{name}")
     body.unpersist()
     for d in (2010, 2020):
