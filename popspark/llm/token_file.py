@@ -49,7 +49,7 @@ END_ID = 1
 #: ids of a block; lanes of a full block; steps between checkpoints
 BLOCK, LANES, EVERY = 1 << 18, 1024, 64
 #: stretches, and pieces, that a worker's caches hold
-CACHE_LIMIT = 300_000
+CACHE_LIMIT = 400_000
 _LOW = np.uint64(1 << 31)
 _HEAD = struct.Struct("<4s7I")
 
@@ -63,9 +63,8 @@ class Words:
 
     The tokenizer lower-cases and takes each piece of a stretch on its own, so
     stretches are looked up with A-Z lower-cased, and an unknown ASCII stretch
-    is put together from its pieces. Unknown pieces are encoded many at a
-    time, as words of one text. Stretches with other characters are encoded
-    whole.
+    is put together from its pieces. Unknown pieces, and unknown stretches with
+    other characters, are encoded many at a time, as words of one text.
     """
 
     def __init__(self, path: str):
@@ -77,17 +76,18 @@ class Words:
         self.seen: dict[bytes, bytes] = {}
         self.pieces: dict[bytes, bytes] = {}
 
-    def _encode_pieces(self, new: list[bytes]) -> dict[bytes, bytes]:
-        """Ids of pieces; ``word_ids`` tells the piece of each id."""
-        got = dict.fromkeys(new, b"")
+    def _encode_many(self, new: list[bytes]) -> dict[bytes, bytes]:
+        """Ids of strings without blanks, as words of one text; the offsets tell whose an id is."""
+        got = {}
         for start in range(0, len(new), 2048):
-            some = new[start : start + 2048]
-            e = self.tokenizer.encode(b" ".join(some).decode(), add_special_tokens=False)
-            ids, of = np.array(e.ids, "<u4"), np.array(e.word_ids)
-            cuts = np.searchsorted(of, np.arange(len(some) + 1))
-            data = ids.tobytes()
-            for p, a, b in zip(some, (4 * cuts[:-1]).tolist(), (4 * cuts[1:]).tolist(), strict=True):
-                got[p] = data[a:b]
+            some = [x.decode() for x in new[start : start + 2048]]
+            e = self.tokenizer.encode(" ".join(some), add_special_tokens=False)
+            begins = np.cumsum([0, *(len(x) + 1 for x in some)])
+            at = np.fromiter((a for a, _ in e.offsets), np.int64, len(e.ids))
+            cuts = (4 * np.searchsorted(at, begins)).tolist()
+            data = np.array(e.ids, "<u4").tobytes()
+            for x, a, b in zip(new[start : start + 2048], cuts[:-1], cuts[1:], strict=True):
+                got[x] = data[a:b]
         return got
 
     def encode(self, texts: list[str], end: int = END_ID) -> list[bytes]:
@@ -96,18 +96,15 @@ class Words:
         cut = [t.encode().lower().replace(b"\n", b" ").split(b" ") for t in texts]
         new = set().union(*cut) - seen.keys()
         split = {s: _PIECES(s) for s in new if s.isascii()}
-        got = self._encode_pieces(list(set().union(*split.values()) - pieces.keys()))
+        got = self._encode_many(list(set().union(*split.values()) - pieces.keys()))
         for p, ids in got.items():
             if len(pieces) >= CACHE_LIMIT:
                 break
             if len(p) <= 64:
                 pieces[p] = ids
-        found: dict[bytes, bytes] = {}
+        found = self._encode_many([s for s in new if s not in split])
         for s, parts in split.items():
             found[s] = b"".join([got[p] if (x := pieces.get(p)) is None else x for p in parts])
-        for s in new:
-            if s not in split:
-                found[s] = np.array(self.tokenizer.encode(s.decode(), add_special_tokens=False).ids, "<u4").tobytes()
         for s, ids in found.items():
             if len(seen) >= CACHE_LIMIT:
                 break
