@@ -304,6 +304,8 @@ def components(edges: DataFrame) -> DataFrame:
     """(node, label) for every node of the edges (a, b) but the labels: the smallest node it reaches.
 
     Alternates large-star and small-star steps until the edges stay the same.
+    The lowest neighbours are stored before they are joined back: both sides
+    of the join are then plain shuffles, and Spark can split a hub's partition.
     """
     turned = lambda e: e.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).filter("a <> b").distinct()
     edges, before = staged(turned(edges), "edges"), None
@@ -313,9 +315,10 @@ def components(edges: DataFrame) -> DataFrame:
             return edges.select(F.col("a").alias("node"), F.col("b").alias("label"))
         before = state
         both = edges.unionByName(edges.select(F.col("b").alias("a"), F.col("a").alias("b")))
-        low = both.groupBy("a").agg(F.least(F.min("b"), F.col("a")).alias("m"))
+        low = staged(both.groupBy("a").agg(F.least(F.min("b"), F.col("a")).alias("m")), "lowest")
         large = turned(both.filter("b > a").join(low, "a").select(F.col("b").alias("a"), F.col("m").alias("b")))
-        low = large.groupBy("a").agg(F.min("b").alias("m"))
+        large = staged(large, "large-star")
+        low = staged(large.groupBy("a").agg(F.min("b").alias("m")), "lowest")
         small = large.join(low, "a").select("b", "m").union(low.select("a", "m")).toDF("a", "b")
         edges = staged(turned(small), "edges")
 
@@ -404,11 +407,11 @@ def _links(classes: DataFrame) -> DataFrame:
     spark = classes.sparkSession
     parts = shuffle_partitions(spark)
     posts = staged(classes.select(*_MEMBER).mapInArrow(_postings, "token long, digest binary"), "postings")
-    low = posts.groupBy("token").agg(F.min("digest").alias("low"), F.count(F.lit(1)).alias("n")).filter("n > 1")
+    low = staged(posts.groupBy("token").agg(F.min("digest").alias("low"), F.count(F.lit(1)).alias("n")).filter("n > 1"), "lowest")
     stars = posts.join(low, "token").filter("digest <> low").select(F.col("digest").alias("a"), F.col("low").alias("b")).distinct()
     near = components(stars)
     near = near.unionByName(near.select(F.col("label").alias("node"), "label").distinct())
-    size = near.groupBy("label").agg(F.count(F.lit(1)).alias("size"))
+    size = staged(near.groupBy("label").agg(F.count(F.lit(1)).alias("size")), "sizes")
     members = staged(classes.select(*_MEMBER).join(near.join(size, "label"), F.col("digest") == F.col("node")).drop("node"), "members")
 
     def verified(grouped: DataFrame) -> DataFrame:
@@ -431,7 +434,7 @@ def _links(classes: DataFrame) -> DataFrame:
     rest = big.join(star.select(F.col("a").alias("digest")), "digest", "left_anti").filter(~is_pivot)
     n_core = core.groupBy("label").agg(F.ceil(F.count(F.lit(1)) / BLOCK).cast("int").alias("cores"))
     n_rest = rest.groupBy("label").agg(F.ceil(F.count(F.lit(1)) / BLOCK).cast("int").alias("rests"))
-    counts = n_core.join(n_rest, "label")
+    counts = staged(n_core.join(n_rest, "label"), "block-counts")
     block = lambda n: F.pmod(F.xxhash64("digest"), F.col(n)).cast("int")
     name = lambda *xs: F.concat_ws("-", F.hex("label"), *xs)
     up_to = lambda n: F.sequence(F.lit(0), F.col(n) - 1)
@@ -458,7 +461,7 @@ def jaccard_components(docs: DataFrame, text: str = "text", id_: str = "doc_id")
     )
     label = components(_links(classes))
     labelled = classes.select("digest", "rep").join(label, F.col("digest") == F.col("node"), "left").select("digest", "rep", F.coalesce("label", "digest").alias("label"))
-    lowest = labelled.groupBy("label").agg(F.min("rep").alias("component_id"))
+    lowest = staged(labelled.groupBy("label").agg(F.min("rep").alias("component_id")), "lowest-ids")
     of_class = staged(labelled.join(lowest, "label").select("digest", "component_id"), "components")
     narrow = rows.select("doc_id", "text_md5", "n_shingles", "digest", F.col("tokens").isNotNull().alias("may"))
     alone = narrow.filter(~F.col("may")).select("doc_id", "text_md5", "n_shingles", F.col("doc_id").alias("component_id"))
