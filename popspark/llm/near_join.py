@@ -291,8 +291,8 @@ def _home(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 def shingle_table(docs: DataFrame, text: str = "text", id_: str = "doc_id") -> DataFrame:
     """doc_id, text_md5, n_shingles, digest (of the set), tokens and dfs (candidates only); stored."""
     spark = docs.sparkSession
-    bits = max(1, min(16, (shuffle_partitions(spark) - 1).bit_length()))
-    parts = 1 << bits
+    parts = shuffle_partitions(spark)
+    bits = max(1, min(16, (4 * parts - 1).bit_length()))  # several ranges a partition even out
     src = docs.select(F.col(f"`{id_}`").cast("long").alias("id"), F.col(f"`{text}`").alias("text"))
     posts = src.mapInArrow(_gather(bits), _ROW).repartition(parts, "dest").sortWithinPartitions("dest", "batch")
     answers = posts.mapInArrow(_count, _ROW).repartition(parts, "batch").sortWithinPartitions("batch", "kind", "dest")
