@@ -37,9 +37,8 @@ def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
 
 def tokenize(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """doc_id, n_tokens, ids (little-endian unsigned 32-bit) and whether the ids decode to the text."""
-    encoded = byte_bpe.decode_documents(byte_bpe.encode_documents(docs, ("doc_id", "text")), ("doc_id", "text"))
-    whole = F.col("decoded") == F.coalesce("text", F.lit("")).cast("binary")
-    return encoded.select("doc_id", (F.octet_length("ids") / 4).cast("long").alias("n_tokens"), "ids", whole.alias("round_trip"))
+    n_tokens = (F.octet_length("ids") / 4).cast("long").alias("n_tokens")
+    return byte_bpe.encode_checked(docs).select("doc_id", n_tokens, "ids", "round_trip")
 
 
 STAGES = [

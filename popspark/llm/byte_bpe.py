@@ -30,7 +30,7 @@ from popspark.llm.common import per_text, table, worker_file
 
 VOCABULARY = "byte_bpe_50k.tiktoken"
 #: stretches, and pieces, that a worker's caches hold (about 200 bytes each)
-CACHE_LIMIT = 300_000
+CACHE_LIMIT = 120_000
 _NONE = 1 << 62
 
 
@@ -164,6 +164,17 @@ def encode_documents(
     return per_text(docs, list(keys), text, lambda texts: {"ids": list(map(codec(path, pattern).encode, texts))}, "ids binary")
 
 
+def encode_checked(docs: DataFrame, keys: tuple[str, ...] = ("doc_id",), text: str = "text", path: str | None = None, pattern: str | None = None) -> DataFrame:
+    """``keys``, ``ids`` as above, and whether the ids decode to the text again."""
+
+    def run(texts: list[str]) -> dict[str, list]:
+        bpe = codec(path, pattern)
+        ids = list(map(bpe.encode, texts))
+        return {"ids": ids, "round_trip": [bpe.decode(x) == t.encode() for x, t in zip(ids, texts, strict=True)]}
+
+    return per_text(docs, list(keys), text, run, "ids binary, round_trip boolean")
+
+
 def decode_documents(
     encoded: DataFrame, keys: tuple[str, ...] = ("doc_id",), path: str | None = None, pattern: str | None = None
 ) -> DataFrame:
@@ -174,10 +185,12 @@ def decode_documents(
     src = encoded.select(*keys, "ids")
 
     def run(batches):
+        bpe = codec(path, pattern)
         for batch in batches:
-            bpe = codec(path, pattern)
-            decoded = [bpe.decode(x or b"") for x in batch.column(len(keys)).to_pylist()]
-            yield batch.append_column("decoded", pa.array(decoded, pa.binary()))
+            for start in range(0, batch.num_rows, 200):
+                part = batch.slice(start, 200)
+                decoded = [bpe.decode(x or b"") for x in part.column(len(keys)).to_pylist()]
+                yield part.append_column("decoded", pa.array(decoded, pa.binary()))
 
     return src.mapInArrow(run, StructType([*src.schema.fields]).add("decoded", "binary"))
 
