@@ -11,7 +11,9 @@ probability above which these rows are right in ``PRECISION`` of cases;
 ``accepted`` tells whether a row reaches it.
 
 As the softmax is linear, a word adds a fixed vector; all words of all texts
-are summed.
+are summed. A word is any run without ASCII separators, so an unspaced text is
+one word; the subwords of long words are hashed with numpy, in overlapping
+pieces, and none is left out.
 
 Cases: a text that is null or holds no letter is ``und`` with score 0; so is
 every text if there is nothing to learn from; repeated rows are each judged.
@@ -20,7 +22,7 @@ every text if there is nothing to learn from; repeated rows are each judged.
 from __future__ import annotations
 
 from collections import Counter
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
 from dataclasses import dataclass
 from zlib import crc32
 
@@ -36,20 +38,45 @@ BUCKETS, SIZE, EPOCHS, PRECISION = 1 << 15, 8, 5, 0.99
 UNKNOWN = "und"
 #: words whose vectors a worker remembers
 CACHE_LIMIT = 200_000
+#: words of more bytes are hashed with numpy, ``PIECE`` bytes at a time, and not remembered
+LONG, PIECE = 60, 1 << 16
+#: the table of crc32
+_CRC = np.arange(256, dtype=np.uint32)
+for _ in range(8):
+    _CRC = np.where(_CRC & 1, _CRC >> 1 ^ np.uint32(0xEDB88320), _CRC >> 1)
 
 
 def subwords(word: bytes) -> list[int]:
-    marked = b"<" + word[:60] + b">"
+    marked = b"<" + word + b">"
     grams = [marked[i : i + n] for n in (1, 2, 3, 4) for i in range(len(marked) - n + 1)]
     return [crc32(g) & (BUCKETS - 1) for g in [*grams, b"=" + word]]
 
 
+def long_subwords(word: bytes) -> Iterator[np.ndarray]:
+    """The same buckets as ``subwords``, as bounded arrays: the n-grams that start in a piece, whose end overlaps the next by 3 bytes."""
+    marked = b"<" + word + b">"
+    for start in range(0, len(marked), PIECE):
+        piece = np.frombuffer(marked[start : start + PIECE + 3], np.uint8)
+        crc = np.full(len(piece), 0xFFFFFFFF, np.uint32)
+        for n in (1, 2, 3, 4):
+            own = piece[n - 1 :]
+            crc = crc[: len(own)]
+            crc = _CRC[(crc ^ own) & 0xFF] ^ (crc >> 8)
+            yield (~crc[:PIECE] & (BUCKETS - 1)).astype(np.int64)
+    yield np.array([crc32(b"=" + word) & (BUCKETS - 1)])
+
+
 def counts(ws: list[bytes]) -> tuple[list[int], list[int]]:
     """Buckets and their counts, of whole words."""
     total: Counter[int] = Counter()
     for w, n in Counter(ws).items():
-        for b in subwords(w):
-            total[b] += n
+        if len(w) <= LONG:
+            for b in subwords(w):
+                total[b] += n
+        else:
+            own = sum(np.bincount(g, minlength=BUCKETS) for g in long_subwords(w))
+            used = np.flatnonzero(own)
+            total.update(dict(zip(used.tolist(), (own[used] * n).tolist(), strict=True)))
     return list(total), list(total.values())
 
 
@@ -67,6 +94,8 @@ class Model:
         both = np.hstack([self.logits, np.ones((len(self.logits), 1), np.float32)])  # and 1 for each subword
 
         def vector(w: bytes) -> np.ndarray:
+            if len(w) > LONG:
+                return sum(both.take(g, 0).sum(0, dtype=np.float64) for g in long_subwords(w))
             own = subwords(w)
             return both.take(own, 0).sum(0)
 
@@ -82,7 +111,7 @@ class Model:
                 for i, k in enumerate(at):
                     if k is None:
                         k = seen.get(ws[i])
-                        if k is None and len(seen) < CACHE_LIMIT:
+                        if k is None and len(ws[i]) <= LONG and len(seen) < CACHE_LIMIT:
                             k = seen[ws[i]] = len(seen)
                             rows[k] = vector(ws[i])
                         elif k is None:

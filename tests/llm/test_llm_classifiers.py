@@ -124,3 +124,28 @@ def test_terms_are_chosen_by_association(spark):
     rows = [(i, int(i % 4 == 0), np.array([7, 9] if i % 4 == 0 else [9] if i % 3 else [9, 11], "<u4").tobytes()) for i in range(400)]
     sample = spark.createDataFrame(rows, "doc_id long, y int, terms binary").repartition(3)
     assert toxicity.choose_terms(sample).tolist() == [7, 11]
+
+
+def test_subwords_of_long_words_in_pieces(monkeypatch):
+    """Pieces of few bytes give the buckets of the plain version, each as often."""
+    monkeypatch.setattr(language_id, "PIECE", 7)
+    for n in [*range(1, 30), 61, 200]:
+        word = ("日本語x" * n).encode()[:n]
+        assert sorted(np.concatenate(list(language_id.long_subwords(word))).tolist()) == sorted(language_id.subwords(word))
+    monkeypatch.setattr(language_id, "LONG", 10)
+    ws = [b"a" * 25, b"short", b"a" * 25]
+    want = [b for w in ws for b in language_id.subwords(w)]
+    assert dict(zip(*language_id.counts(ws), strict=True)) == {b: want.count(b) for b in want}
+
+
+def test_unspaced_text_is_judged_whole(spark):
+    """Both texts are one word and start alike; what follows the first 60 bytes tells their language."""
+    rng = np.random.default_rng(8)
+    start = "一二三四五六七八九十" * 3
+    draw = lambda letters, n: "".join(rng.choice(list(letters), n))
+    kinds = {"ja": "あいうえおかきくけこ", "th": "กขคงจฉชซญด"}
+    rows = [(i, start + draw(kinds[lang], 200), lang) for i in range(120) for lang in [("ja", "th")[i % 2]]]
+    model = language_id.fit(spark.createDataFrame(rows, "doc_id long, text string, lang string"))
+    texts = [(lang, start + draw(letters, 10_000)) for lang, letters in kinds.items()]
+    got = language_id.identify(spark.createDataFrame(texts, "doc_id string, text string"), model).collect()
+    assert {r.doc_id: r.lang_pred for r in got} == {"ja": "ja", "th": "th"}
