@@ -62,7 +62,7 @@ def files_with_rows(spark: SparkSession, src_root: str, decade: int, names: Iter
     """(decade, file_name, n_rows) of the files that hold a data row; n_rows is 1.
 
     Reads no further than each file's first data row: for the layouts with a
-    header the second non-blank line, for 1980 the first line that leads with a year.
+    header the second non-blank line, for 1980 the first data line.
     """
     value = F.col("value")
     is_data = readers.is_data_line_1980(value) if decade == 1980 else F.length(F.trim(value)) > 0
@@ -111,13 +111,18 @@ def write_decade(spark: SparkSession, src_root: str, out: str, decade: int, name
     """PL1–PL6 on files: writes the decade's result to ``out``; returns its typed source.
 
     1980 lines that are neither data nor blank may only be the preamble; if
-    there are more, rows might be lost, so the decade fails.
+    there are more, or one is laid out as a row or comes after the first data
+    line, rows might be lost, so the decade fails.
     """
     seen = Observation("lines") if decade == 1980 else None
     raw = read_decade(spark, decade, source_paths(src_root, decade), seen)
     sinks.write_csv_gz(setops.export_order(pl.pipeline(decade, raw, names), decade), out, mode="overwrite")
     if seen and (n := seen.get[readers.REJECTED]) > PREAMBLE_LINES_1980:
         raise quality.SourceError(f"{n} lines are not data lines; the preamble has {PREAMBLE_LINES_1980}")
+    if seen and (n := seen.get[readers.ROW_LIKE]):
+        raise quality.SourceError(f"{n} lines of the preamble are laid out as rows, but have no year that can be read")
+    if seen and (last := seen.get[readers.LAST_REJECTED]) and (first := seen.get[readers.FIRST_DATA]) and tuple(last) > tuple(first):
+        raise quality.SourceError("lines that are not data lines come after the first data line")
     return read_decade(spark, decade, source_paths(src_root, decade))
 
 

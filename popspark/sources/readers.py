@@ -115,14 +115,17 @@ def parse_wide_age_lines(lines: DataFrame, race_sex_is_text: bool = False) -> Da
     return type_wide_age(rec, race_sex_is_text)
 
 
+_FIPS = r'\s*("\d{4,5}"|\d{4,5})\s*(,|$)'
+
+
 def is_data_line_1980(value: Column) -> Column:
-    """A 1980 data line leads with a four-digit year, bare or quoted; a row may be short.
+    """A 1980 data line leads with a four-digit year, bare or quoted, or with a missing year and a FIPS code; a row may be short.
 
     Stands in for "skip the 14-line preamble and blank rows" without knowing
     line positions, which keeps the scan splittable. Title and prose lines
-    don't start with a year; ``rejected_lines`` counts what isn't a data line.
+    don't start so; ``rejected_lines`` counts what isn't a data line.
     """
-    return value.rlike(r'^\s*("\d{4}"|\d{4})\s*(,|$)')
+    return value.rlike(r'^\s*("\d{4}"|\d{4})\s*(,|$)') | value.rlike(r'^\s*(""|NA|"NA")?\s*,' + _FIPS)
 
 
 def parse_preamble_lines(lines: DataFrame) -> DataFrame:
@@ -133,13 +136,28 @@ def parse_preamble_lines(lines: DataFrame) -> DataFrame:
     return parse_wide_age_lines(data_lines(lines, is_data_line_1980(F.col("value"))), race_sex_is_text=True)
 
 
-REJECTED = "rejected_lines"
+REJECTED, ROW_LIKE, LAST_REJECTED, FIRST_DATA = "rejected_lines", "row_like_lines", "last_rejected", "first_data"
 
 
 def observe_rejected(lines: DataFrame, seen: Observation) -> DataFrame:
-    """``lines``, counting in the same scan the non-blank ones that aren't 1980 data lines."""
-    rejected = (F.length(F.trim(F.col("value"))) > 0) & ~is_data_line_1980(F.col("value"))
-    return lines.observe(seen, F.count_if(rejected).alias(REJECTED))
+    """``lines`` of a file, observed in the same scan: the non-blank ones that aren't 1980 data lines.
+
+    Counts them and those with the layout's comma count and a FIPS code, and
+    notes where the last of them and the first data line stand: the start of
+    the file's split and the number of the line in it.
+    """
+    value, at = F.col("value"), F.struct("__start", "__line")
+    rejected = (F.length(F.trim(value)) > 0) & ~is_data_line_1980(value)
+    commas = F.length(value) - F.length(F.translate(value, ",", ""))
+    row_like = rejected & (commas == len(codes.WIDE_AGE_LAYOUT_COLUMNS) - 1) & value.rlike(r"^[^,]*," + _FIPS)
+    placed = lines.select("value", F.col("_metadata.file_block_start").alias("__start"), F.monotonically_increasing_id().alias("__line"))
+    return placed.observe(
+        seen,
+        F.count_if(rejected).alias(REJECTED),
+        F.count_if(row_like).alias(ROW_LIKE),
+        F.max(F.when(rejected, at)).alias(LAST_REJECTED),
+        F.min(F.when(is_data_line_1980(value), at)).alias(FIRST_DATA),
+    ).select("value")
 
 
 def parse_whitespace_lines(lines: DataFrame) -> DataFrame:
@@ -183,7 +201,7 @@ def read_wide_age_1970(spark: SparkSession, paths) -> DataFrame:
 def read_wide_age_1980(spark: SparkSession, paths, seen: Observation | None = None) -> DataFrame:
     """CSV after a prose preamble, blank rows skipped, text race_sex.
 
-    ``seen`` gets the number of rejected non-blank lines once the result is computed.
+    ``seen`` gets what ``observe_rejected`` tells of the rejected lines once the result is computed.
     """
     lines = spark.read.text(paths)
     return parse_preamble_lines(observe_rejected(lines, seen) if seen else lines)

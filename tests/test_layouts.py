@@ -274,6 +274,27 @@ def test_1980_more_rejected_lines_than_the_preamble_fail(spark, src, tmp_path):
         job.run_job(spark, root, str(tmp_path / "bad"), county, decades=(1980,))
 
 
+@pytest.mark.parametrize("year", ["", "NA", '""'])
+def test_1980_rows_without_a_year_are_kept(spark, year):
+    got = rows(readers.parse_preamble_lines(_lines(spark, "By age, 1980, of all", f"{year},1001,White male" + ",1" * 18, f"{year}, 10003,White male,7")), "year", "fips", "age0_4", "age85")
+    assert got == [(None, "10003", 7, None), (None, "1001", 1, 1)]
+
+
+@pytest.mark.parametrize(
+    ("first", "last", "error"),
+    [(["198O,1001,White male" + ",1" * 18], [], "laid out as rows"), ([], ["198O,1001,White male"], "come after the first data line"), (["By age, 1980, of all"], [",1001,White male" + ",1" * 18], None)],
+)
+def test_1980_rejected_rows_fail_also_with_a_short_preamble(spark, tmp_path, first, last, error):
+    root = fx.build_source_tree(str(tmp_path / "s"))
+    write(os.path.join(root, "1980", codes.source_manifest()[1980][0]), "\n".join([*fx.PREAMBLE_1980[:5], "", *first, *fx.ROWS_1980, *last]) + "\n")
+    if error:
+        with pytest.raises(Exception, match=error):
+            job.run_job(spark, root, str(tmp_path / "o"), _county(spark), decades=(1980,))
+    else:
+        got = job.run_job(spark, root, str(tmp_path / "o"), _county(spark), decades=(1980,)).collect()
+        assert sum(r.population or 0 for r in got if r.year is None and r.state_fips == "01") == 18
+
+
 # -------------------------------------------------------- audit, D3, resume
 def _county(spark):
     return spark.createDataFrame(fx.COUNTY_TABLE, "state_code string, state_name string, county_code string")
