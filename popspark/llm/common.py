@@ -79,12 +79,13 @@ def shuffle_partitions(spark: SparkSession) -> int:
 
 
 def labelled_sample(docs: DataFrame, labels: DataFrame, label: str, max_rows: int) -> DataFrame:
-    """(doc_id, text, y) of at most ``max_rows`` labelled rows that are not held out.
+    """(doc_id, text, text_hash, y) of all rows of at most ``max_rows`` labelled ids that are not held out.
 
     A row is held out when crc32(doc_id as text) mod 5 is 0. The sample is the
-    rows with the smallest hash of the id, the same in every run; the limit is
-    on the narrow labels table, so at most ``max_rows`` ids are broadcast and
-    the texts of the others never leave their scan task.
+    ids with the smallest hash, the same in every run; the limit is on the
+    narrow labels table, so at most ``max_rows`` ids are broadcast and the
+    texts of the others never leave their scan task. ``one_per_id`` makes the
+    bound hold for rows, once the texts have become small.
     """
     wanted = (
         labels.filter(F.col("doc_id").isNotNull() & F.col(label).isNotNull())
@@ -94,7 +95,13 @@ def labelled_sample(docs: DataFrame, labels: DataFrame, label: str, max_rows: in
         .orderBy(F.xxhash64("doc_id"), "doc_id")
         .limit(max_rows)
     )
-    return docs.select("doc_id", "text").join(F.broadcast(wanted), "doc_id")
+    return docs.select("doc_id", "text", F.xxhash64("text").alias("text_hash")).join(F.broadcast(wanted), "doc_id")
+
+
+def one_per_id(rows: DataFrame, *columns: str) -> DataFrame:
+    """doc_id, y and ``columns`` of the row with the smallest text_hash of every id; each task first reduces its own rows."""
+    least = F.min(F.struct("text_hash", *columns)).alias("least")
+    return rows.groupBy("doc_id", "y").agg(least).select("doc_id", "y", *(F.col(f"least.{c}") for c in columns))
 
 
 def per_text(

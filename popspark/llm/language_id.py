@@ -4,7 +4,7 @@ A word's subwords (its byte n-grams of 1 to 4 with end marks, and the word)
 are hashed to ``BUCKETS`` embeddings. A text is the average embedding of the
 subwords of all its words, and a linear softmax over it gives the language.
 Both are trained together by stochastic gradient descent in numpy on at most
-``MAX_ROWS`` rows that are not held out, each as a whole text and as a few
+``MAX_ROWS`` rows that are not held out, one for an id, each as a whole text and as a few
 words of it, so that short texts are known too. A temperature fitted on other
 rows calibrates the probability, and the rejection bound is the lowest
 probability above which these rows are right in ``PRECISION`` of cases;
@@ -30,7 +30,7 @@ import numpy as np
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from popspark.llm.common import crc_mod, per_text, table, words
+from popspark.llm.common import crc_mod, one_per_id, per_text, table, words
 
 #: rows that the model learns from, at most
 MAX_ROWS = 3_000
@@ -178,7 +178,8 @@ def calibrate(z: np.ndarray, y: np.ndarray, precision: float = PRECISION) -> tup
 def fit(docs: DataFrame, max_rows: int = MAX_ROWS) -> Model:
     known = docs.filter(F.col("lang").isNotNull() & (crc_mod(F.col("doc_id"), 3) != 1))
     chosen = known.select("doc_id", "lang").orderBy(F.xxhash64("doc_id"), "doc_id").limit(max_rows).groupBy("doc_id").agg(F.min("lang").alias("y"))
-    sample = docs.select("doc_id", "text").join(F.broadcast(chosen), "doc_id")
+    # rows of a chosen id with another language aren't learnt
+    sample = known.select("doc_id", "text", F.xxhash64("text").alias("text_hash"), F.col("lang").alias("y")).join(F.broadcast(chosen), ["doc_id", "y"])
 
     def both(texts: list[str]) -> dict[str, list]:
         out: dict[str, list] = {"whole": [], "times": [], "few": [], "few_times": []}
@@ -191,7 +192,8 @@ def fit(docs: DataFrame, max_rows: int = MAX_ROWS) -> Model:
                 out[b].append(got[1])
         return out
 
-    rows = per_text(sample, ["doc_id", "y"], "text", both, "whole array<int>, times array<int>, few array<int>, few_times array<int>").orderBy("doc_id").toArrow().to_pylist()
+    counted = per_text(sample, ["doc_id", "y", "text_hash"], "text", both, "whole array<int>, times array<int>, few array<int>, few_times array<int>")
+    rows = one_per_id(counted, "whole", "times", "few", "few_times").orderBy("doc_id").toArrow().to_pylist()
     langs = sorted({r["y"] for r in rows})
     examples = [(np.array(r[a]), np.array(r[b]) / max(sum(r[b]), 1), langs.index(r["y"]), r["doc_id"]) for r in rows for a, b in (("whole", "times"), ("few", "few_times")) if r[a]]
     if not examples:

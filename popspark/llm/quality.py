@@ -7,8 +7,8 @@ sums every partition adds up for its own rows; the partitions' sums are added
 in two steps, and only those matrices reach the driver. Isotonic regression on
 other rows turns scores into probabilities.
 
-At most ``MAX_ROWS`` labelled rows that are not held out are used; one in four
-of them calibrates. All documents are scored.
+At most ``MAX_ROWS`` labelled rows that are not held out are used, one for an id;
+one in four of them calibrates. All documents are scored.
 
 Cases: a null or empty text has statistics of 0 and gets a score like any
 other; repeated rows are each scored; without labels the score is 0.5, and
@@ -26,7 +26,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from popspark.llm.common import crc_mod, labelled_sample, per_text, staged, table
+from popspark.llm.common import crc_mod, labelled_sample, one_per_id, per_text, staged, table
 
 #: labelled rows that the classifier learns from, at most
 MAX_ROWS = 20_000
@@ -135,8 +135,8 @@ def _sums(rows: DataFrame, model: Model) -> np.ndarray:
 
 
 def fit(docs: DataFrame, labels: DataFrame, label: str = "quality", max_rows: int = MAX_ROWS) -> Model:
-    sample = per_text(labelled_sample(docs, labels, label, max_rows), ["doc_id", "y"], "text", lambda texts: {"x": list(map(statistics, texts))}, "x array<double>")
-    rows = staged(sample.repartition(8, "doc_id"), "quality-sample")
+    sample = per_text(labelled_sample(docs, labels, label, max_rows), ["doc_id", "y", "text_hash"], "text", lambda texts: {"x": list(map(statistics, texts))}, "x array<double>")
+    rows = staged(one_per_id(sample, "x").repartition(8, "doc_id"), "quality-sample")
     d = len(NAMES)
     rng = np.random.default_rng(11)
     model = Model(np.zeros(d), np.ones(d), rng.normal(0, 1 / WIDTH, (d, FEATURES)), rng.uniform(0, 2 * np.pi, FEATURES), np.zeros(FEATURES + 1), np.zeros(1), np.full(1, 0.5))

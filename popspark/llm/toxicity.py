@@ -8,7 +8,7 @@ more than both alone. A document's score is the logistic of
     w0 + sum_i w_i + 1/2 sum_f [(sum_i v_if)^2 - sum_i v_if^2]
 
 over its distinct terms. The machine is trained with numpy (AdaGrad) on at
-most ``MAX_ROWS`` labelled rows that are not held out; those rows' term hashes
+most ``MAX_ROWS`` labelled rows that are not held out, one for an id; their term hashes
 are computed where their texts are. Terms are chosen by their association with
 the label, which leaves a machine of at most ``MAX_TERMS`` terms for every
 task. All documents are then scored from their whole texts.
@@ -29,7 +29,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from popspark.llm.common import crc_mod, labelled_sample, per_text, staged, table, words
+from popspark.llm.common import crc_mod, labelled_sample, one_per_id, per_text, staged, table, words
 
 #: labelled rows that the machine learns from, at most
 MAX_ROWS = 20_000
@@ -145,8 +145,8 @@ def train(rows: list[np.ndarray], y: np.ndarray, terms: np.ndarray, k: int = FAC
 
 def fit(docs: DataFrame, labels: DataFrame, label: str = "toxic", max_rows: int = MAX_ROWS) -> Machine:
     """Counts terms and chooses among them where the texts are; only the chosen terms' places are collected."""
-    rows = per_text(labelled_sample(docs, labels, label, max_rows), ["doc_id", "y"], "text", lambda texts: {"terms": [np.array(text_terms(t), "<u4").tobytes() for t in texts]}, "terms binary")
-    sample = staged(rows.repartition(8, "doc_id"), "toxicity-sample")
+    rows = per_text(labelled_sample(docs, labels, label, max_rows), ["doc_id", "y", "text_hash"], "text", lambda texts: {"terms": [np.array(text_terms(t), "<u4").tobytes() for t in texts]}, "terms binary")
+    sample = staged(one_per_id(rows, "terms").repartition(8, "doc_id"), "toxicity-sample")
     n, ones = sample.agg(F.count(F.lit(1)), F.sum("y")).first()
     if not n or ones in (0, n):
         return constant(ones / n if n else 0.0)

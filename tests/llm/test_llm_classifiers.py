@@ -6,7 +6,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from popspark.llm import language_id, quality, toxicity
+from popspark.llm import common, language_id, quality, toxicity
 
 SF = "/root/testdata/sf0.1"
 EDGE = [(1, None), (2, ""), (3, "x"), (None, "moron"), (3, "x"), (4, "word " * 60_000), (5, "123 456 !!"), (6, "ÄÖÜ ß"), (9, "nine words"), (10, "ten")]
@@ -149,3 +149,27 @@ def test_unspaced_text_is_judged_whole(spark):
     texts = [(lang, start + draw(letters, 10_000)) for lang, letters in kinds.items()]
     got = language_id.identify(spark.createDataFrame(texts, "doc_id string, text string"), model).collect()
     assert {r.doc_id: r.lang_pred for r in got} == {"ja": "ja", "th": "th"}
+
+
+def test_the_bound_on_the_sample_holds_for_rows(spark, monkeypatch):
+    """One id holds a third of all rows; it gives one row to every classifier."""
+    rows = [(i, f"text {i}", "en") for i in range(1, 61)] + [(7, f"copy {i}", "en" if i % 2 else None) for i in range(30)] + [(None, "none", "en")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string").repartition(5)
+    labels = spark.createDataFrame([(i, i % 2, i % 2) for i in range(1, 61)], "doc_id long, quality int, toxic int")
+    kept = []
+    for module in (quality, toxicity, language_id):
+        plain = module.one_per_id
+        monkeypatch.setattr(module, "one_per_id", lambda *a, plain=plain: kept.append(plain(*a)) or kept[-1])
+    quality.fit(docs, labels), toxicity.fit(docs, labels), language_id.fit(docs)
+    for df in kept:
+        ids = [r.doc_id for r in df.select("doc_id").collect()]
+        assert len(ids) == len(set(ids)) > 30
+    assert len(kept) == 3 and common.one_per_id(common.labelled_sample(docs, labels, "toxic", 20), "text").count() == 20
+
+
+def test_rows_of_a_chosen_id_with_another_language_are_not_learnt(spark, monkeypatch):
+    learnt, plain = [], language_id.train
+    monkeypatch.setattr(language_id, "train", lambda rows, *a: learnt.extend(rows) or plain(rows, *a))
+    rows = [(i, "uno dos", "es") for i in range(20)] + [(i, f"one two {i}", lang) for i in range(20) for lang in (None, "xx")]
+    language_id.fit(spark.createDataFrame(rows, "doc_id long, text string, lang string"))
+    assert {b for r in learnt for b in r[0].tolist()} == {b for w in (b"uno", b"dos") for b in language_id.subwords(w)}
