@@ -123,21 +123,26 @@ def per_text(
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            start, size = 0, 0
-            lengths = pc.binary_length(batch.column(len(keys))).to_pylist()
-            for i, length in enumerate(lengths):
-                size += length
-                if size >= batch_bytes or i + 1 == len(lengths):
-                    part = batch.slice(start, i + 1 - start)
-                    got = fn(part.column(len(keys)).to_pylist())
-                    cols = {k: part.column(j) for j, k in enumerate(keys)}
-                    new = {k: pa.array(v, out.field(k).type) for k, v in got.items()}
-                    yield pa.RecordBatch.from_pydict(cols | new)
-                    start, size = i + 1, 0
+            for part in text_slices(batch, len(keys), batch_bytes):
+                got = fn(part.column(len(keys)).to_pylist())
+                cols = {k: part.column(j) for j, k in enumerate(keys)}
+                new = {k: pa.array(v, out.field(k).type) for k, v in got.items()}
+                yield pa.RecordBatch.from_pydict(cols | new)
 
     return src.mapInArrow(run, ddl)
 
 
+def text_slices(batch: pa.RecordBatch, column: int, batch_bytes: int = 2_000_000) -> Iterator[pa.RecordBatch]:
+    """Slices of whole rows, as many at a time as hold ``batch_bytes`` bytes in ``column``, and at least one."""
+    start, size = 0, 0
+    lengths = pc.binary_length(batch.column(column)).to_pylist()
+    for i, length in enumerate(lengths):
+        size += length or 0
+        if size >= batch_bytes or i + 1 == len(lengths):
+            yield batch.slice(start, i + 1 - start)
+            start, size = i + 1, 0
+
+
 def worker_file(path: str | None, default: str) -> str:
     """The place of a vocabulary file: a given path, or the public file's own."""
     if path:
