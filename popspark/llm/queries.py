@@ -13,6 +13,7 @@ from popspark.llm import (
     exact_dedup,
     fill_in_middle,
     language_id,
+    language_model,
     license_scan,
     near_join,
     quality,
@@ -32,6 +33,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_license_scan": license_scan.op8_license_scan,
     "op9_decontamination": decontaminate.op9_decontamination,
     "op10_language_id": language_id.op10_language_id,
+    "op11_language_model": language_model.op11_language_model,
     "op12_fill_in_middle": fill_in_middle.op12_fill_in_middle,
     "op13_source_audit": source_audit.op13_source_audit,
 }
