@@ -51,7 +51,12 @@ def main(argv: list[str] | None = None) -> int:
     r.add_argument("--out", required=True)
     r.add_argument("--county", required=True)
     r.add_argument("--resume", action="store_true", help="reuse the decades that a failed run left complete")
+    r.add_argument("--incremental", action="store_true", help="leave published decades whose files and state names didn't change")
     r.add_argument("--domain-report", action="store_true", help="also write per-decade code-domain violations")
+    r.add_argument("--parse-report", action="store_true", help="also write per-decade counts of unreadable fields")
+    w = sub.add_parser("where", help="print where a published output lies")
+    w.add_argument("--out", required=True)
+    w.add_argument("name", help="such as states-asrpe, state_names, 1990/states-asrpe1990")
     args = p.parse_args(argv)
 
     spark = SparkSession.builder.appName(f"popspark-{args.cmd}").getOrCreate()
@@ -64,16 +69,25 @@ def main(argv: list[str] | None = None) -> int:
         quality.require_sources(job.audit_sources(spark, args.src, args.decade or codes.DECADES))
         print("all source files present")
     elif args.cmd == "decade":
-        names = readers.read_state_names(spark, f"{args.out.rstrip('/')}/state_names")
+        names = readers.read_state_names(spark, job.output(spark, args.out, "state_names"))
         quality.require_sources(job.audit_sources(spark, args.src, [args.decade]))
         stage, name = job.staging(args.out), job.decade_name(args.decade)
         job.write_decade(spark, args.src, f"{stage}/{name}", args.decade, names)
         sinks.publish(spark, stage, args.out.rstrip("/"), [name])
     elif args.cmd == "combine":
         job.combine_outputs(spark, args.out, args.decade or codes.DECADES)
+    elif args.cmd == "where":
+        print(job.output(spark, args.out, args.name))
     else:
         job.run_job(
-            spark, args.src, args.out, _county(spark, args.county), resume=args.resume, domain_report=args.domain_report
+            spark,
+            args.src,
+            args.out,
+            _county(spark, args.county),
+            resume=args.resume,
+            domain_report=args.domain_report,
+            parse_report=args.parse_report,
+            incremental=args.incremental,
         )
     return 0
 

@@ -123,6 +123,8 @@ def band_of_code(code: int, first_age_code: int) -> str | None:
 
 
 WIDE_AGE_LAYOUT_COLUMNS = ("year", "fips", "race_sex") + WIDE_AGE_COLUMNS
+# lines ahead of the 1980 data
+PREAMBLE_LINES_1980 = 14
 LONG_CODE_LAYOUT_COLUMNS = ("year", "fips", "age", "race_sex", "origin", "population")
 
 # 1990 pivot columns: every origin × race label, missing labels spelt "NA"

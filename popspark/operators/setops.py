@@ -97,10 +97,35 @@ def export_position(df: DataFrame, decade: int) -> DataFrame:
     return df.withColumn("position", F.row_number().over(w))
 
 
-def product_order(decades: Mapping[int, DataFrame]) -> DataFrame:
-    """O2 of the combined product: decades in order, each as it is exported."""
+def product_positions(decades: Mapping[int, DataFrame]) -> DataFrame:
+    """O2 of the combined product as data: its rows with decade and a 1-based ``position`` in the whole product.
+
+    No task sorts the product.  A run is the rows of one (decade, national?,
+    year, state), at most one row per band, sex and race.  Runs are counted,
+    and the counts are added up in export order, first over the runs of a
+    decade, then over the decades; a row's position is the sum before its run
+    plus its place in the run.
+    """
     parts = []
     for d, df in decades.items():
-        is_us, _, _ = _export_keys(d)
-        parts.append(export_position(canonical(df), d).withColumns({"decade": F.lit(d), "nation": is_us}))
-    return union_by_name(parts).orderBy("decade", "nation", F.col("year").asc_nulls_last(), "position")
+        is_us, _, rest = _export_keys(d)
+        keyed = canonical(df).withColumns({"decade": F.lit(d), "nation": is_us})
+        run = Window.partitionBy("nation", "year", "state_fips").orderBy(*rest)
+        parts.append(keyed.withColumn("place", F.row_number().over(run)))
+    rows = union_by_name(parts)
+    key = ["decade", "nation", "year", "state_fips"]
+    runs = rows.groupBy(*key).agg(F.max("place").alias("n"))
+    earlier = (Window.unboundedPreceding, -1)
+    in_decade = Window.partitionBy("decade").orderBy("nation", F.col("year").asc_nulls_last(), F.col("state_fips").asc_nulls_last()).rowsBetween(*earlier)
+    totals = runs.groupBy("decade").agg(F.sum("n").alias("total"))
+    first = totals.select("decade", F.coalesce(F.sum("total").over(Window.orderBy("decade").rowsBetween(*earlier)), F.lit(0)).alias("first"))  # a row per decade
+    before = F.coalesce(F.sum("n").over(in_decade), F.lit(0))
+    offsets = runs.withColumn("before", before).join(first, "decade").select(*key, (F.col("first") + F.col("before")).alias("offset"))
+    same = [F.col(f"r.{k}").eqNullSafe(F.col(f"o.{k}")) for k in key]
+    placed = rows.alias("r").join(offsets.alias("o"), same)
+    return placed.select(*(f"r.{c}" for c in CANONICAL), "r.decade", (F.col("o.offset") + F.col("r.place")).alias("position"))
+
+
+def product_order(decades: Mapping[int, DataFrame]) -> DataFrame:
+    """O2 of the combined product: decades in order, each as it is exported."""
+    return product_positions(decades).orderBy("position")

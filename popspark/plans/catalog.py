@@ -7,6 +7,7 @@ Computed columns carry the same names as in ``plans.oracle``.
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -372,6 +373,26 @@ def export_order(spark: SparkSession, sf: str) -> DataFrame:
     return setops.union_by_name(parts)
 
 
+def product_position(spark: SparkSession, sf: str) -> DataFrame:
+    """O2 of the combined product: one position for every row of all decades."""
+    return setops.product_positions(decade_results(spark, sf))
+
+
+def scan_file_list(spark: SparkSession, sf: str) -> DataFrame:
+    """The 1990 lines stored as ten files, by the last digit of the year, read back in one scan with the file of every row.
+
+    The files lie in the folder that driver and executors share
+    (``spark.checkpoint.dir``); a local session without one uses a temporary folder.
+    """
+    root = f"{sinks.shared_folder(spark)}/lines-{uuid.uuid4().hex}"
+    lines = dv.lines_1990(spark, sf).select("value")
+    digit = F.substring(F.substring_index(F.trim(F.col("value")), " ", 1), -1, 1)  # the year leads the line
+    lines.withColumn("digit", digit).write.partitionBy("digit").text(root)
+    paths = [f"{root}/digit={k}" for k in range(10) if sinks.exists(spark, f"{root}/digit={k}")]
+    found = readers.read_long_codes_files(spark, paths)
+    return found.withColumn("source_file", F.regexp_extract("source_file", r"digit=(\d)", 1))
+
+
 def full_product(spark: SparkSession, sf: str) -> DataFrame:
     """PL9: the combined product with its decade partition column."""
     return pl.combine(decade_results(spark, sf))
@@ -425,6 +446,8 @@ QUERIES: dict[str, Query] = {
     "distinct_states": distinct_states,
     "domain_violations": domain_violations,
     "export_order": export_order,
+    "product_position": product_position,
+    "scan_file_list": scan_file_list,
     **{f"pipeline_{d}": _pipeline(d) for d in codes.DECADES},
     "full_product": full_product,
 }

@@ -1,16 +1,20 @@
 """The whole job on source files (PL9): dimension → audit → decades → combine.
 
-Directory contract (mirrors the reproduced repository layout):
+Directory contract:
 
     <src_root>/<decade>/<file>                   the 65 source files
-    <out_root>/state_names/                      S11
-    <out_root>/<decade>/states-asrpe<decade>/    S10, gzip CSV parts
-    <out_root>/states-asrpe/                     S12, combined gzip CSV
-    <out_root>/states-asrpe-parquet/decade=…/    S12, Parquet copy
-
+    <out_root>/_commits/<number>/                what is published, and where it lies
+    <out_root>/_versions/<id>/<output>           the outputs themselves:
+        state_names                              S11
+        <decade>/states-asrpe<decade>            S10, gzip CSV parts
+        states-asrpe                             S12, combined gzip CSV
+        states-asrpe-parquet/decade=<decade>     S12, Parquet copy, one output per decade
+
+``output(spark, out_root, name)`` tells where a published output lies.
 Everything is first written under ``<out_root>/_staging``.  Only when all
-decades and the combined product are complete are they moved to their places
-(D3); a run that fails leaves the published outputs as they were.
+decades and the combined product are complete does one commit publish them
+together (D3, ``sinks.publish``); a run that fails or is killed at any step
+leaves the published outputs as they were.
 
 Each decade is written in the reproduced row order (O2: a range sort of
 the already-aggregated result, at most tens of thousands of rows) before
@@ -19,16 +23,18 @@ written results (S9), so a lost executor only ever recomputes the current
 decade, and lineage never spans decades.  The combined product is ordered
 by source decade, then by the decade's export order.
 
-With ``resume=True`` a run reuses the decades that a failed run left in the
-staging folder, if their source files and the state names are still the same
-(names, sizes, modification times; a digest of the names).  Published outputs
-are never reused, and the combined product is always built anew.
+A decade's result depends on the content of its files and on the state names.
+``content`` digests both, whatever the files' names, sizes and times.  With
+``resume=True`` a run reuses the decades that a failed run left in the staging
+folder if their digest is the same.  With ``incremental=True`` it also leaves
+published decades with the same digest as they are: the new commit names their
+old files, and only the other decades and the combined CSV are written.
 """
 
 from __future__ import annotations
 
 import hashlib
-from collections.abc import Iterable, Sequence
+from collections.abc import Iterable, Mapping, Sequence
 
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
@@ -39,9 +45,6 @@ from ..operators import quality, setops
 from ..sources import readers, sinks
 from . import pipelines as pl
 
-#: non-blank lines ahead of the 1980 data that aren't data
-PREAMBLE_LINES_1980 = 14
-
 
 def list_sources(spark: SparkSession, src_root: str, decade: int) -> DataFrame:
     """(file_name, n_bytes, modified) of every file under <src_root>/<decade>; content is not read."""
@@ -96,51 +99,93 @@ def source_paths(src_root: str, decade: int) -> list[str]:
     return [f"{src_root.rstrip('/')}/{decade}/{f}" for f in codes.source_manifest()[decade]]
 
 
-def read_decade(spark: SparkSession, decade: int, paths: Sequence[str], seen: Observation | None = None) -> DataFrame:
-    """The typed source of one decade (S1–S6, U2); ``seen`` counts the rejected lines of 1980."""
+def read_decade(
+    spark: SparkSession, decade: int, paths: Sequence[str], seen: Observation | None = None, problems: readers.Problems | None = None
+) -> DataFrame:
+    """The typed source of one decade (S1–S6, U2); ``seen`` counts the rejected lines of 1980, ``problems`` unreadable fields."""
     if decade == 1970:
-        return readers.read_wide_age_1970(spark, paths)
+        return readers.read_wide_age_1970(spark, paths, problems)
     if decade == 1980:
-        return readers.read_wide_age_1980(spark, paths, seen)
+        return readers.read_wide_age_1980(spark, paths, seen, problems=problems)
     if decade == 1990:
-        return readers.read_long_codes_1990(spark, paths)
-    return readers.read_wide_race(spark, paths, decade)
+        return readers.read_long_codes_1990(spark, paths, problems)
+    return readers.read_wide_race(spark, paths, decade, problems)
 
 
-def write_decade(spark: SparkSession, src_root: str, out: str, decade: int, names: DataFrame) -> DataFrame:
+def write_decade(
+    spark: SparkSession, src_root: str, out: str, decade: int, names: DataFrame, problems: readers.Problems | None = None
+) -> DataFrame:
     """PL1–PL6 on files: writes the decade's result to ``out``; returns its typed source.
 
-    1980 lines that are neither data nor blank may only be the preamble; if
-    there are more, or one is laid out as a row or comes after the first data
-    line, rows might be lost, so the decade fails.
+    1980 rows are the lines behind the preamble, by their numbers.  If one of
+    them doesn't look like data, or a line of the preamble looks like a row,
+    the file isn't laid out as expected, so the decade fails.
     """
     seen = Observation("lines") if decade == 1980 else None
-    raw = read_decade(spark, decade, source_paths(src_root, decade), seen)
+    paths = source_paths(src_root, decade)
+    raw = read_decade(spark, decade, paths, seen, problems)
     sinks.write_csv_gz(setops.export_order(pl.pipeline(decade, raw, names), decade), out, mode="overwrite")
-    if seen and (n := seen.get[readers.REJECTED]) > PREAMBLE_LINES_1980:
-        raise quality.SourceError(f"{n} lines are not data lines; the preamble has {PREAMBLE_LINES_1980}")
     if seen and (n := seen.get[readers.ROW_LIKE]):
-        raise quality.SourceError(f"{n} lines of the preamble are laid out as rows, but have no year that can be read")
-    if seen and (last := seen.get[readers.LAST_REJECTED]) and (first := seen.get[readers.FIRST_DATA]) and tuple(last) > tuple(first):
-        raise quality.SourceError("lines that are not data lines come after the first data line")
-    return read_decade(spark, decade, source_paths(src_root, decade))
+        raise quality.SourceError(f"{n} of the {codes.PREAMBLE_LINES_1980} lines of the preamble are laid out as rows")
+    if seen and (n := seen.get[readers.REJECTED]):
+        raise quality.SourceError(f"{n} lines behind the preamble are not data lines")
+    return read_decade(spark, decade, paths)
 
 
 def decade_name(decade: int) -> str:
     return f"{decade}/states-asrpe{decade}"
 
 
-def decade_output(out_root: str, decade: int) -> str:
-    return f"{out_root.rstrip('/')}/{decade_name(decade)}"
+def copy_name(decade: int) -> str:
+    return f"states-asrpe-parquet/decade={decade}"
+
+
+def output(spark: SparkSession, out_root: str, name: str) -> str:
+    """Where the published output ``name`` lies, such as ``states-asrpe`` or ``state_names``."""
+    return sinks.output(spark, out_root.rstrip("/"), name)
+
+
+def decade_output(spark: SparkSession, out_root: str, decade: int) -> str:
+    return output(spark, out_root, decade_name(decade))
+
+
+def read_product(spark: SparkSession, out_root: str) -> DataFrame:
+    """The published combined product (its CSV)."""
+    return readers.read_decade_result(spark, output(spark, out_root, "states-asrpe"))
+
+
+def read_product_copy(spark: SparkSession, out_root: str) -> DataFrame:
+    """The published Parquet copy, with the source decade; a filter on it leaves only the scans of those decades."""
+    found = sinks.newest(spark, out_root.rstrip("/"))
+    parts = [
+        spark.read.schema(readers.OUTPUT_SCHEMA).parquet(sinks.output(spark, out_root.rstrip("/"), copy_name(d), found)).withColumn("decade", F.lit(d))
+        for d in codes.DECADES
+        if copy_name(d) in found.outputs
+    ]
+    return setops.union_by_name(parts)
 
 
 def staging(out_root: str) -> str:
     return f"{out_root.rstrip('/')}/_staging"
 
 
+def content(spark: SparkSession, decade: int, paths: Sequence[str]) -> DataFrame:
+    """(file_name, lines, low, high), a digest of every file's content, one row per file.
+
+    Two sums of 64-bit hashes over a file's lines: they don't depend on the
+    order of the lines, so every task adds up its own, and rewriting a file
+    with its rows in another order changes nothing.  Where a line's number
+    matters (the preamble of 1980, a header), it is hashed with the line.
+    """
+    first = codes.PREAMBLE_LINES_1980 if decade == 1980 else 1 if decade in codes.WIDE_RACE_LAYOUTS else 0
+    lines = readers.numbered_lines(spark, list(paths), first)
+    halves = [F.sum(F.xxhash64(F.lit(seed), "value", "line").cast("decimal(20,0)")).cast("string").alias(name) for seed, name in ((1, "low"), (2, "high"))]
+    return lines.groupBy(F.col(readers.FILE).alias("file_name")).agg(F.count(F.lit(1)).alias("lines"), *halves)
+
+
 def _fingerprint(spark: SparkSession, src_root: str, decade: int, names: DataFrame) -> str:
-    """A digest of what a decade's result depends on: its files, and the state names (≤ 57 rows)."""
-    files = sorted(map(str, list_sources(spark, src_root, decade).collect()))
+    """A digest of what a decade's result depends on: its files' content (≤ 51 rows), and the state names (≤ 57 rows)."""
+    files = sorted(map(str, content(spark, decade, source_paths(src_root, decade)).collect()))
     return hashlib.sha256("\n".join(files + sorted(map(str, names.collect()))).encode()).hexdigest()
 
 
@@ -153,6 +198,8 @@ def run_job(
     check_sources: bool = True,
     resume: bool = False,
     domain_report: bool = False,
+    parse_report: bool = False,
+    incremental: bool = False,
 ) -> DataFrame:
     """PL9. Returns the combined product as re-read from disk.
 
@@ -161,10 +208,16 @@ def run_job(
     codes with several names (``state_names-violations/``).  Unmapped codes
     never fail the job — they become missing labels, as in the reproduced
     pipeline — and the report costs one more scan of each decade's input.
+    ``parse_report`` writes, per decade, how many fields of each file and
+    column aren't missing but unreadable (``<decade>/parse-problems/``),
+    counted by the scan that computes the result.
     """
     out_root, stage = out_root.rstrip("/"), staging(out_root)
-    if not resume:
+    if resume:
+        sinks.reclaim(spark, stage, out_root)
+    else:
         sinks.remove(spark, stage)
+    published = sinks.newest(spark, out_root) if incremental else sinks.Commit()
     outputs = ["state_names"]
     names_table = pl.state_names_sorted(county_table)
     sinks.write_state_names(names_table, f"{stage}/state_names", mode="overwrite")
@@ -176,49 +229,75 @@ def run_job(
     if check_sources:
         quality.require_sources(audit_sources(spark, src_root, decades))
 
+    inputs: dict[str, str] = {}
+    results: dict[int, str] = {}
+    redone: list[int] = []
+
     def one(decade: int) -> None:
-        out, report = f"{stage}/{decade_name(decade)}", f"{stage}/{decade}/domain-violations"
-        mark = f"{stage}/{decade}/_inputs-{_fingerprint(spark, src_root, decade, names)}"
-        wanted = [out, *([report] if domain_report else [])]
-        if not (sinks.exists(spark, mark) and all(sinks.exists(spark, f"{p}/_SUCCESS") for p in wanted)):
+        out, reports = decade_name(decade), {}
+        if domain_report:
+            reports["domain"] = f"{decade}/domain-violations"
+        if parse_report:
+            reports["parse"] = f"{decade}/parse-problems"
+        wanted = [out, *reports.values()]
+        digest = inputs[str(decade)] = _fingerprint(spark, src_root, decade, names)
+        if published.inputs.get(str(decade)) == digest and {*wanted, copy_name(decade)} <= published.outputs.keys():
+            results[decade] = sinks.output(spark, out_root, out, published)
+            return
+        marker = f"{stage}/{decade}/_inputs-{digest}"
+        if not (sinks.exists(spark, marker) and all(sinks.exists(spark, f"{stage}/{p}/_SUCCESS") for p in wanted)):
             sinks.remove(spark, f"{stage}/{decade}")
-            raw = write_decade(spark, src_root, out, decade, names)
+            problems = readers.Problems(source_paths(src_root, decade)) if parse_report else None
+            raw = write_decade(spark, src_root, f"{stage}/{out}", decade, names, *([problems] if problems else []))
             if domain_report:
-                sinks.write_report(quality.domain_violations(raw, quality.layout_checks(decade)), report)
-            sinks.mark(spark, mark)
-        outputs.extend(p.removeprefix(f"{stage}/") for p in wanted)
+                sinks.write_report(quality.domain_violations(raw, quality.layout_checks(decade)), f"{stage}/{reports['domain']}")
+            if problems:
+                found = spark.createDataFrame(problems.counts(), "file_name string, column string, n_fields long")
+                sinks.write_report(found.coalesce(1), f"{stage}/{reports['parse']}")
+            sinks.mark(spark, marker)
+        results[decade] = f"{stage}/{out}"
+        redone.append(decade)
+        outputs.extend(wanted)
 
     quality.fail_fast(decades, one)
-    outputs.extend(write_combined(spark, {d: f"{stage}/{decade_name(d)}" for d in decades}, stage))
-    sinks.publish(spark, stage, out_root, outputs)
-    return readers.read_decade_result(spark, f"{out_root}/states-asrpe")
+    outputs.extend(write_combined(spark, results, stage, redone))
+    sinks.publish(spark, stage, out_root, outputs, inputs, _other_copies(decades))
+    return read_product(spark, out_root)
 
 
-def write_combined(spark: SparkSession, paths: dict[int, str], root: str) -> list[str]:
+def write_combined(spark: SparkSession, paths: Mapping[int, str], root: str, redone: Sequence[int]) -> list[str]:
     """PL7: re-scans written decades (S9), unions them (U3), writes the product (S12) under ``root``.
 
-    Both copies carry the source decade's rows together; the CSV is ordered
-    by decade, then as the decade itself was exported.
+    The CSV holds all decades, ordered by decade, then as the decade itself
+    was exported.  The Parquet copy has a folder per decade; only those of
+    ``redone`` are written.
     """
     results = {d: readers.read_decade_result(spark, p) for d, p in paths.items()}
     sinks.write_csv_gz(setops.canonical(setops.product_order(results)), f"{root}/states-asrpe", mode="overwrite")
-    sinks.write_parquet_by_decade(pl.combine(results), f"{root}/states-asrpe-parquet", mode="overwrite")
-    return ["states-asrpe", "states-asrpe-parquet"]
+    if redone:
+        copy = pl.combine({d: results[d] for d in redone})
+        sinks.write_parquet_by_decade(copy, f"{root}/states-asrpe-parquet", mode="overwrite")
+    return ["states-asrpe", *map(copy_name, redone)]
+
+
+def _other_copies(decades: Iterable[int]) -> list[str]:
+    """The folders that a copy of a product of only these decades doesn't have."""
+    return [copy_name(d) for d in codes.DECADES if d not in set(decades)]
 
 
 def combine_outputs(spark: SparkSession, out_root: str, decades: Sequence[int] = codes.DECADES) -> DataFrame:
     """PL7 on published decades.
 
-    A decade is read from this job's output directory or, when that is
-    absent, from a single ``<decade>/states-asrpe<decade>.csv.gz`` file as
-    the reproduced job writes it, so existing results can be combined too.
+    A decade is read from this job's output or, when that is absent, from a
+    single ``<decade>/states-asrpe<decade>.csv.gz`` file as the reproduced job
+    writes it, so existing results can be combined too.
     """
     out_root = out_root.rstrip("/")
-    paths = {}
+    found, paths = sinks.newest(spark, out_root), {}
     for d in decades:
-        path = decade_output(out_root, d)
-        paths[d] = path if sinks.exists(spark, path) else f"{path}.csv.gz"
+        path = sinks.output(spark, out_root, decade_name(d), found)
+        paths[d] = path if sinks.exists(spark, path) else f"{out_root}/{decade_name(d)}.csv.gz"
     stage = f"{out_root}/_combining"
     sinks.remove(spark, stage)
-    sinks.publish(spark, stage, out_root, write_combined(spark, paths, stage))
-    return readers.read_decade_result(spark, f"{out_root}/states-asrpe")
+    sinks.publish(spark, stage, out_root, write_combined(spark, paths, stage, list(decades)), gone=_other_copies(decades))
+    return read_product(spark, out_root)

@@ -503,6 +503,13 @@ FROM expected e LEFT JOIN (SELECT * FROM present WHERE n_rows > 0) p ON e.file_n
     q["distinct_states"] = with_(COUNTY_FIPS, NAMES) + "SELECT * FROM names ORDER BY state_fips NULLS LAST"
     q["domain_violations"] = " UNION ALL ".join(_violations_sql(d) for d in VIEWS)
     q["export_order"] = " UNION ALL ".join(_export_sql(d) for d in VIEWS)
+    q["product_position"] = f"""
+SELECT year, state_fips, state_name, age, sex, race_p_ethnicity, population, decade,
+       row_number() OVER (ORDER BY decade, is_us, year ASC NULLS LAST, block_position) AS position
+FROM (SELECT * EXCLUDE (position), position AS block_position,
+             coalesce(state_fips = '00' AND state_name = 'United States', false) AS is_us
+      FROM ({q["export_order"]}))"""
+    q["scan_file_list"] = with_(*BASE, VIEWS[1990]) + "SELECT *, CAST(year % 10 AS VARCHAR) AS source_file FROM v1990"
     for d in (1970, 1980, 1990, 2000, 2010, 2020):
         q[f"pipeline_{d}"] = decade_sql(d)
     q["full_product"] = all_decades_sql(select_decade=True)

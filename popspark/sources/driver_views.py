@@ -147,16 +147,17 @@ def person_records(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def shared_person_records(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """``person_records`` for queries over several decades: all read one join input.
+    """``person_records`` for queries over several decades: the join runs once, and all read its result.
 
-    Every decade would push its own filters and columns below the join, so
-    that no two shuffles were alike and each decade scanned and shuffled the
-    tables again.  A row id in the struct (a nondeterministic expression)
-    keeps filters and pruning above it; the decades' shuffles are then equal,
-    and Spark reuses the first one's.
+    The joined rows are dealt out by a shuffle that every decade reuses, so
+    none sorts and merges the tables again.  Every decade would push its own
+    filters and columns below that shuffle, so that no two were alike: a row
+    id in the struct (a nondeterministic expression) keeps filters and pruning
+    above it.  (Order, line) spreads evenly, whatever key is hot in the join.
     """
+    dealt = person_records(spark, sf_dir).repartition("l_orderkey", "l_linenumber")
     row = F.struct(*PERSON_COLUMNS, F.monotonically_increasing_id().alias("row_id"))
-    return person_records(spark, sf_dir).select(row.alias("person")).select(*(f"person.{c}" for c in PERSON_COLUMNS))
+    return dealt.select(row.alias("person")).select(*(f"person.{c}" for c in PERSON_COLUMNS))
 
 
 def county_fips_table(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -262,14 +263,16 @@ def lines_1970(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def lines_1980(spark: SparkSession, sf_dir: str, base: DataFrame | None = None) -> DataFrame:
-    """1980 lines: prose and a title line first, blank lines between data lines, a short and a quoted row."""
+    """1980 lines with their numbers: prose and a title line first, blank lines between data lines, a short and a quoted row."""
     w = wide_age_1980(spark, sf_dir, base)
     line = F.concat_ws(",", *[_txt(F.col(c)) for c in WIDE_AGE_TEXT_COLUMNS])
     # a blank line after every row whose state code ends in 5 (no shuffle)
     with_blank = F.when(F.substring(F.col("fips"), 2, 1) == "5", F.array(line, F.lit(""))).otherwise(F.array(line))
-    data = w.select(F.explode(with_blank).alias("value"))
     own = (*PREAMBLE_1980[1:], TITLE_1980, "", SHORT_ROW_1980, QUOTED_ROW_1980)
-    return spark.createDataFrame([(x,) for x in own], "value string").unionByName(data)
+    number = F.lit(len(own) + 1) + F.monotonically_increasing_id()
+    data = w.select(F.explode(with_blank).alias("value")).select("value", number.alias("line"))
+    head = [(x, i + 1) for i, x in enumerate(own)]
+    return spark.createDataFrame(head, "value string, line long").unionByName(data)
 
 
 def lines_1990(spark: SparkSession, sf_dir: str) -> DataFrame:

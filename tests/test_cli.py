@@ -5,12 +5,13 @@ import os
 import pytest
 
 from popspark.__main__ import main
+from popspark.plans import job
 
 import fixtures as fx
 from conftest import write
 
 
-def test_cli_state_names_decade_and_run(spark, tmp_path):
+def test_cli_state_names_decade_and_run(spark, tmp_path, capsys):
     src = fx.build_source_tree(str(tmp_path / "src"))
     county = write(
         str(tmp_path / "fips.csv"),
@@ -18,15 +19,18 @@ def test_cli_state_names_decade_and_run(spark, tmp_path):
     )
     out = str(tmp_path / "data")
     assert main(["state-names", "--county", county, "--out", out]) == 0
-    names = spark.read.option("header", "true").csv(out + "/state_names")
+    names = spark.read.option("header", "true").csv(job.output(spark, out, "state_names"))
     assert sorted(r.state_fips for r in names.collect()) == ["01", "02", "56"]
     assert main(["audit", "--src", src]) == 0
     assert main(["decade", "--src", src, "--out", out, "--decade", "2010"]) == 0
-    assert os.path.exists(os.path.join(out, "2010", "states-asrpe2010", "_SUCCESS"))
+    assert os.path.exists(os.path.join(job.decade_output(spark, out, 2010), "_SUCCESS"))
     assert main(["combine", "--out", out, "--decade", "2010"]) == 0
-    assert spark.read.option("header", "true").csv(out + "/states-asrpe").count() > 0
+    assert job.read_product(spark, out).count() > 0
     assert main(["run", "--src", src, "--out", out, "--county", county]) == 0
-    assert os.path.exists(os.path.join(out, "states-asrpe", "_SUCCESS"))
+    assert os.path.exists(os.path.join(job.output(spark, out, "states-asrpe"), "_SUCCESS"))
+    capsys.readouterr()
+    assert main(["where", "--out", out, "states-asrpe"]) == 0
+    assert capsys.readouterr().out.strip() == job.output(spark, out, "states-asrpe")
 
 
 def test_cli_audit_fails_on_missing(tmp_path):

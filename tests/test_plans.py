@@ -80,9 +80,9 @@ def test_derived_lines_are_built_once(spark, name):
     assert plan.count("concat_ws(") + plan.count("to_csv(") == 1
 
 
-@pytest.mark.parametrize("name", ["full_product", "union_decades", "export_order", "domain_violations"])
-def test_decades_share_one_scan_of_the_tables(spark, name):
-    """Queries over all decades scan and shuffle lineitem once; the other decades reuse it."""
+@pytest.mark.parametrize("name", ["full_product", "union_decades", "export_order", "product_position", "domain_violations"])
+def test_decades_share_one_join_of_the_tables(spark, name):
+    """Queries over all decades scan, shuffle and join lineitem once; the other decades reuse the joined rows."""
     before = spark.conf.get("spark.sql.maxMetadataStringLength")
     spark.conf.set("spark.sql.maxMetadataStringLength", "4000")
     try:
@@ -91,4 +91,23 @@ def test_decades_share_one_scan_of_the_tables(spark, name):
         spark.conf.set("spark.sql.maxMetadataStringLength", before)
     scans = [ln for ln in final.split("\n") if "FileScan parquet" in ln and "l_orderkey" in ln]
     assert len(scans) == 1, scans
+    joins = [ln for ln in final.split("\n") if "Join" in ln and "l_orderkey" in ln]
+    assert len(joins) == 1, joins
     assert "PythonUDF" not in final
+
+
+def test_positions_of_the_product_need_no_large_window(spark):
+    """Windows are partitioned by a run of one state and year, or hold a row per run or decade."""
+    final = executed(E.queries()["product_position"](spark, SF001)).split("== Initial Plan ==")[0]
+    windows = [ln for ln in final.split("\n") if "- Window [" in ln or "Window [" in ln]
+    rows = [ln for ln in windows if "row_number" in ln]
+    assert rows and all("state_fips" in ln.split("], [")[1] for ln in rows)
+    assert "RangePartitioning" not in final and "rangepartitioning" not in final
+
+
+def test_file_list_is_one_scan(spark):
+    """Ten files, one scan, each row with its file."""
+    df = E.queries()["scan_file_list"](spark, SF001)
+    plan = df._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("FileScan text") == 1
+    assert len({r.source_file for r in df.select("source_file").distinct().collect()}) > 5

@@ -24,9 +24,12 @@ from popspark.sources import driver_views as dv  # noqa: E402
 
 
 def _write_one(lines, path: str) -> None:
-    """Write a one-column DataFrame of lines to exactly ``path``."""
+    """Write lines to exactly ``path``; in the order of the column ``line``, if there is one."""
     tmp = path + ".parts"
-    lines.coalesce(1).write.mode("overwrite").text(tmp)
+    one = lines.repartition(1)
+    if "line" in lines.columns:  # sorted in the one task that writes, so the order holds
+        one = one.sortWithinPartitions("line")
+    one.select("value").write.mode("overwrite").text(tmp)
     part = [p for p in glob.glob(os.path.join(tmp, "part-*")) if not p.endswith(".crc")]
     os.makedirs(os.path.dirname(path), exist_ok=True)
     if part:
@@ -51,15 +54,14 @@ def materialize(spark, sf: str, root: str) -> str:
     body = dv.lines_wide_race(spark, sf, 2000).filter(~F.col("skip")).select("value")
     target = F.pmod(F.hash("value"), F.lit(len(m[2000])))
     body = body.withColumn("target", target).persist()
-    head = spark.createDataFrame([(header, 0)], "value string, o int")
+    head = spark.createDataFrame([(header, 0)], "value string, line int")
     for i, name in enumerate(m[2000]):
-        part = body.filter(F.col("target") == i).select("value", F.lit(1).alias("o"))
-        _write_one(head.unionByName(part).orderBy("o").select("value"), f"{root}/2000/{name}")
+        part = body.filter(F.col("target") == i).select("value", F.lit(1).alias("line"))
+        _write_one(head.unionByName(part), f"{root}/2000/{name}")
     body.unpersist()
     for d in (2010, 2020):
         lines = dv.lines_wide_race(spark, sf, d)
-        ordered = lines.withColumn("o", (~F.col("skip")).cast("int")).orderBy("o").select("value")
-        _write_one(ordered, f"{root}/{d}/{m[d][0]}")
+        _write_one(lines.withColumn("line", (~F.col("skip")).cast("int")), f"{root}/{d}/{m[d][0]}")
     return root
 
 
