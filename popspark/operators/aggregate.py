@@ -39,3 +39,20 @@ def national(
         .agg(strict_sum(value).alias(value))
         .withColumns({"state_fips": F.lit(codes.US_FIPS), "state_name": F.lit(codes.US_NAME)})
     )
+
+
+def states_and_nation(df: DataFrame, keys: Sequence[str], values: Sequence[str], state: str = "state_fips") -> DataFrame:
+    """A1 + A4 in one aggregate: ``keys``, the strict sums of ``values``, and ``nation`` (a row over all states).
+
+    Grouping sets: an Expand gives every row once with its state and once
+    without, and one shuffle carries the partial sums of both.  A strict sum
+    over all rows is the strict sum of the states' strict sums, so this equals
+    ``national`` on a state result, wherever state rows come straight from a
+    group-by (not 1990, whose pivot makes missing state cells).  National rows
+    are told by the grouping, as a missing state code is a group of its own.
+    """
+    rest = [k for k in keys if k != state]
+    sums = [strict_sum(v).alias(v) for v in values]
+    nation = F.grouping(state).cast("boolean").alias("nation")
+    out = df.groupingSets([list(keys), rest], *keys).agg(nation, *sums)
+    return out.withColumn(state, F.when(F.col("nation"), F.lit(codes.US_FIPS)).otherwise(F.col(state)))

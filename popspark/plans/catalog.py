@@ -323,6 +323,15 @@ def agg_national(spark: SparkSession, sf: str) -> DataFrame:
     return setops.canonical(aggregate.national(states))
 
 
+def agg_grouping_sets(spark: SparkSession, sf: str) -> DataFrame:
+    """A1 + A4 by grouping sets: 2010 state and national rows from one aggregate, then long."""
+    rec = pl.wide_race_records(_raw(spark, sf, 2010), 2010).withColumnRenamed("STATE", "state_fips")
+    keys = ["year", "state_fips", "age"]
+    wide = aggregate.states_and_nation(rec, keys, codes.WIDE_RACE_COLUMNS)
+    long = reshape.unpivot_split(wide, [*keys, "nation"], list(codes.WIDE_RACE_COLUMNS), ("rpe", "sex"), "population")
+    return long.select(*keys, recode.title_case("sex").alias("sex"), recode.race_label_2000("rpe").alias("race_p_ethnicity"), "population", "nation")
+
+
 def strict_sum_query(spark: SparkSession, sf: str) -> DataFrame:
     """A5: missing-propagating sum next to Spark's NULL-skipping sum, per (year, state)."""
     rec = pl.long_codes_records(_raw(spark, sf, 1990))
@@ -439,6 +448,7 @@ QUERIES: dict[str, Query] = {
     "agg_county_band": agg_county_band,
     "agg_county_to_state": agg_county_to_state,
     "agg_national": agg_national,
+    "agg_grouping_sets": agg_grouping_sets,
     "strict_sum": strict_sum_query,
     "join_state_names": join_state_names,
     "union_states_us": union_states_us,

@@ -492,6 +492,10 @@ FROM expected e LEFT JOIN (SELECT * FROM present WHERE n_rows > 0) p ON e.file_n
     )
     q["agg_county_to_state"] = with_(PERSONS, VIEWS[2000], states_wide_race(2000)) + "SELECT * FROM states"
     q["agg_national"] = decade_sql(2010, "SELECT * FROM us")
+    q["agg_grouping_sets"] = with_(PERSONS, VIEWS[2010], states_wide_race(2010)) + f"""
+SELECT year, state_fips, age, sex, race_p_ethnicity, population, false AS nation FROM states
+UNION ALL
+SELECT year, '00', age, sex, race_p_ethnicity, {strict('population')}, true FROM states GROUP BY year, age, sex, race_p_ethnicity"""
     q["strict_sum"] = with_(PERSONS, V1990, rec_1990()) + (
         f"SELECT year, state_fips, {strict('population')} AS population, "
         "CAST(sum(population) AS BIGINT) AS population_skipna, count(*) AS n_rows "

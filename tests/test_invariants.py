@@ -157,3 +157,28 @@ def test_empty_inputs_give_empty_typed_results(spark):
             "int", "string", "string", "string", "string", "string", "bigint"
         ]
         assert out.count() == 0, decade
+
+
+def test_grouping_sets_equal_state_and_national_aggregates(spark):
+    """Missing values, a missing state code and the code of the nation among the states."""
+    from popspark.operators import aggregate
+
+    data = [
+        (2000, "01", 1, 2), (2000, "01", None, 3), (2000, "02", 4, 5), (2000, None, 6, 7),
+        (2000, "00", 8, 9), (2001, "01", 1, None), (None, None, 2, 2),
+    ]
+    df = spark.createDataFrame(data, "year int, state_fips string, a int, b int")
+    got = aggregate.states_and_nation(df, ["year", "state_fips"], ["a", "b"])
+    states = aggregate.sum_strict(df, ["year", "state_fips"], ["a", "b"]).withColumn("nation", F.lit(False))
+    nation = aggregate.sum_strict(df, ["year"], ["a", "b"]).select("year", F.lit("00").alias("state_fips"), "a", "b", F.lit(True).alias("nation"))
+    cols = ["year", "state_fips", "a", "b", "nation"]
+    assert rows(got, *cols) == rows(states.unionByName(nation), *cols)
+
+
+def test_grouping_sets_need_one_aggregate_exchange(spark):
+    df = catalog.QUERIES["agg_grouping_sets"](spark, SF001)
+    df.collect()
+    final = df._jdf.queryExecution().executedPlan().toString().split("== Initial Plan ==")[0]
+    exchanges = [ln for ln in final.split("\n") if "Exchange hashpartitioning" in ln]
+    assert len([ln for ln in exchanges if "year#" in ln]) == 1, exchanges
+    assert "partial_count" in final and final.count("Expand") == 2  # grouping sets, and the unpivot of their result
