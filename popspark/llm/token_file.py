@@ -24,12 +24,14 @@ blanks and line ends and the library encodes each distinct stretch, or piece of
 one, once in a worker, as long as a bounded cache has room.
 
 Cases: a null or empty text has only the end id; a null document id sorts
-first; rows with equal ids are ordered by text; an empty table gives empty
-files and reads back empty.
+first; rows with equal ids are ordered by text, and dealt to several tasks as
+long as their first 64 characters differ; an empty table gives empty files and
+reads back empty.
 """
 
 from __future__ import annotations
 
+import json
 import os
 import re
 import struct
@@ -42,20 +44,37 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from popspark.llm.common import shared_path, shuffle_partitions, table, worker_file
+from popspark.llm.common import base_name, shared_path, shuffle_partitions, table, worker_file
 
 VOCABULARY = "word_bpe_49k.json"
 END_ID = 1
 #: ids of a block; lanes of a full block; steps between checkpoints
 BLOCK, LANES, EVERY = 1 << 18, 1024, 64
-#: stretches, and pieces, that a worker's caches hold
-CACHE_LIMIT = 400_000
+#: stretches, and pieces, that a worker's caches hold (about 180 bytes each)
+CACHE_LIMIT, PIECES = 900_000, 300_000
 _LOW = np.uint64(1 << 31)
 _HEAD = struct.Struct("<4s7I")
 
 
-#: fixed values: the tokenizer's own split pattern, for lower-case ASCII
+#: fixed values: the tokenizer's own split pattern, for lower-case ASCII, and how it prepares a text
 _PIECES = re.compile(rb"'s|'t|'re|'ve|'m|'ll|'d|[a-z]+|[0-9]|[^\sa-z0-9]+").findall
+_NORMALIZERS = ["NFC", "Replace", "Lowercase"]
+_SPLIT = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
+#: pieces of these bytes stand in the vocabulary as they are
+_PLAIN = re.compile(rb"[\x21-\x7e]+").fullmatch
+
+
+class _Stretches(dict):
+    """stretch -> number; one that isn't known gets the next number."""
+
+    def __init__(self):
+        super().__init__()
+        self.new: list[bytes] = []
+
+    def __missing__(self, stretch: bytes) -> int:
+        number = self[stretch] = len(self)
+        self.new.append(stretch)
+        return number
 
 
 class Words:
@@ -63,17 +82,27 @@ class Words:
 
     The tokenizer lower-cases and takes each piece of a stretch on its own, so
     stretches are looked up with A-Z lower-cased, and an unknown ASCII stretch
-    is put together from its pieces. Unknown pieces, and unknown stretches with
-    other characters, are encoded many at a time, as words of one text.
+    is put together from its pieces. Unknown pieces go to the library's model,
+    each distinct one of a batch once; unknown stretches with other characters
+    go through the whole tokenizer, many at a time, as words of one text. A
+    file whose tokenizer prepares texts in another way is refused.
     """
 
     def __init__(self, path: str):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 
+        with open(path, encoding="utf-8") as f:
+            told = json.load(f)
+        steps = [x["type"] for x in (told.get("normalizer") or {}).get("normalizers", [])]
+        cuts = (told.get("pre_tokenizer") or {}).get("pretokenizers", [{}])
+        if steps != _NORMALIZERS or cuts[0].get("pattern") != {"Regex": _SPLIT} or told["model"]["type"] != "BPE":
+            raise ValueError(f"{base_name(path)} prepares texts in another way than this operator knows")
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.encode_special_tokens = True
-        self.seen: dict[bytes, bytes] = {}
+        self.model = self.tokenizer.model
+        self.numbers = _Stretches()
+        self.values: list[bytes] = []  # ids of a stretch, by its number
         self.pieces: dict[bytes, bytes] = {}
 
     def _encode_many(self, new: list[bytes]) -> dict[bytes, bytes]:
@@ -90,32 +119,42 @@ class Words:
                 got[x] = data[a:b]
         return got
 
+    def _piece(self, piece: bytes) -> bytes:
+        ids = [t.id for t in self.model.tokenize(piece.decode())]
+        got = struct.pack(f"<{len(ids)}I", *ids)
+        if len(piece) <= 64 and len(self.pieces) < PIECES:
+            self.pieces[piece] = got
+        return got
+
+    def _plain(self, stretch: bytes) -> bytes:
+        """Ids of an ASCII stretch, from those of its pieces."""
+        known = self.pieces.get
+        if stretch.isalpha():
+            return known(stretch) or self._piece(stretch)
+        return b"".join([known(p) or self._piece(p) for p in _PIECES(stretch)])
+
     def encode(self, texts: list[str], end: int = END_ID) -> list[bytes]:
         """Ids of each text and the end id, as little-endian unsigned 32-bit integers."""
-        seen, pieces, last = self.seen, self.pieces, struct.pack("<I", end)
-        cut = [t.encode().lower().replace(b"\n", b" ").split(b" ") for t in texts]
-        new = set().union(*cut) - seen.keys()
-        split = {s: _PIECES(s) for s in new if s.isascii()}
-        got = self._encode_many(list(set().union(*split.values()) - pieces.keys()))
-        for p, ids in got.items():
-            if len(pieces) >= CACHE_LIMIT:
-                break
-            if len(p) <= 64:
-                pieces[p] = ids
-        found = self._encode_many([s for s in new if s not in split])
-        for s, parts in split.items():
-            found[s] = b"".join([got[p] if (x := pieces.get(p)) is None else x for p in parts])
-        for s, ids in found.items():
-            if len(seen) >= CACHE_LIMIT:
-                break
-            if len(s) <= 64:
-                seen[s] = ids
-        out = []
-        for c in cut:
-            known = list(map(seen.get, c))
-            if None in known:
-                known = [found[s] if k is None else k for s, k in zip(c, known, strict=True)]
-            out.append(b"".join(known) + last)
+        return self.encode_utf8([t.encode() for t in texts], end)
+
+    def encode_utf8(self, texts: list[bytes], end: int = END_ID) -> list[bytes]:
+        look, last = self.numbers.__getitem__, struct.pack("<I", end)
+        cut = [list(map(look, t.lower().replace(b"\n", b" ").split(b" "))) for t in texts]
+        new, values = self.numbers.new, self.values
+        whole = self._encode_many([s for s in new if s and not _PLAIN(s)])
+        plain = self._plain
+        values += [plain(s) if (ids := whole.get(s)) is None else ids for s in new]
+        out = [b"".join(map(values.__getitem__, c)) + last for c in cut]
+        first = len(values) - len(new)
+        kept = [x for x in zip(new, values[first:], strict=True) if len(x[0]) <= 64][: max(0, CACHE_LIMIT - first)]
+        if len(kept) < len(new):  # the cache is full, or a long stretch isn't worth it
+            for s in new:
+                del self.numbers[s]
+            del values[first:]
+            for s, ids in kept:
+                self.numbers[s] = len(values)
+                values.append(ids)
+        new.clear()
         return out
 
 
@@ -215,6 +254,8 @@ def decode_block(payload: bytes, symbols: Symbols, first: int = 0, last: int | N
     return ids[first - begin * lanes : last - begin * lanes]
 
 
+#: the ``seq`` of a row that holds its task's histogram in place of a document's ids
+COUNTS = -1
 _TOKENS = pa.schema([("part", pa.int32()), ("seq", pa.int64()), ("first", pa.int64()), ("doc_id", pa.int64()), ("ids", pa.binary())])
 _BLOCKS = pa.schema([("part", pa.int32()), ("first", pa.int64()), ("doc_ids", pa.list_(pa.int64())), ("lengths", pa.list_(pa.int64())), ("payload", pa.binary())])
 
@@ -233,33 +274,41 @@ def _tokenise(path: str | None):
         from pyspark import TaskContext
 
         part, seq, first = TaskContext.get().partitionId(), 0, 0
+        counts = np.zeros(0, np.int64)
         for rb in batches:
-            start, chars, texts = 0, 0, rb.column(1).to_pylist()
+            start, size, texts = 0, 0, rb.column(1).cast(pa.binary()).to_pylist()
             for i, t in enumerate(texts):
-                chars += len(t)
-                if chars < 2_000_000 and i + 1 < len(texts):
+                size += len(t)
+                if size < 4_000_000 and i + 1 < len(texts):
                     continue
-                ids = [np.frombuffer(x, "<u4") for x in tokenizer(path).encode(texts[start : i + 1])]
+                ids = [np.frombuffer(x, "<u4") for x in tokenizer(path).encode_utf8(texts[start : i + 1])]
+                counts = _added(counts, np.bincount(np.concatenate(ids)))
                 sizes = np.array([len(x) for x in ids])
                 firsts = first + np.cumsum(sizes) - sizes
                 cols = [[part] * len(ids), range(seq, seq + len(ids)), firsts, rb.column(0).slice(start, len(ids)), list(map(_narrow, ids))]
                 yield pa.RecordBatch.from_arrays([c if isinstance(c, pa.Array) else pa.array(c, f.type) for c, f in zip(cols, _TOKENS, strict=True)], schema=_TOKENS)
                 seq, first = seq + len(ids), first + int(sizes.sum())
-                start, chars = i + 1, 0
+                start, size = i + 1, 0
+        if seq:
+            row = (part, COUNTS, first, None, counts.astype("<i8").tobytes())
+            yield pa.RecordBatch.from_arrays([pa.array([x], f.type) for x, f in zip(row, _TOKENS, strict=True)], schema=_TOKENS)
 
     return run
 
 
+def _added(total: np.ndarray, own: np.ndarray) -> np.ndarray:
+    """The sum of two histograms of any length."""
+    longer, shorter = (own, total) if len(own) > len(total) else (total, own)
+    longer[: len(shorter)] += shorter
+    return longer
+
+
 def _histogram(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """(id, n) of the writer tasks' histograms."""
     total = np.zeros(0, np.int64)
     for rb in batches:
         for x in rb.column(0).to_pylist():
-            own = np.bincount(_wide(x))
-            if len(own) > len(total):
-                own[: len(total)] += total
-                total = own
-            else:
-                total[: len(own)] += own
+            total = _added(total, np.frombuffer(x, "<i8").copy())
     ids = np.flatnonzero(total)
     yield pa.RecordBatch.from_arrays([pa.array(ids, pa.int64()), pa.array(total[ids], pa.int64())], names=["id", "n"])
 
@@ -296,13 +345,14 @@ def write(docs: DataFrame, path: str, vocabulary: str | None = None) -> None:
     stage = shared_path(spark, "token-ids")
     ordered = (
         docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce("text", F.lit("")).alias("text"))
-        .repartitionByRange(shuffle_partitions(spark), "doc_id")
+        .repartitionByRange(shuffle_partitions(spark), "doc_id", F.substring("text", 1, 64))  # the order of text, also where an id repeats
         .sortWithinPartitions("doc_id", "text")
     )
     ddl = "part int, seq long, first long, doc_id long, ids binary"
     ordered.mapInArrow(_tokenise(vocabulary), ddl).write.option("compression", "zstd").parquet(stage)
-    tokens = spark.read.schema(ddl).parquet(stage)
-    counts = tokens.select("ids").mapInArrow(_histogram, "id long, n long").groupBy("id").agg(F.sum("n").alias("n")).toArrow()  # a row per used id
+    staged = spark.read.schema(ddl).parquet(stage)
+    tokens, counts = staged.filter(F.col("seq") != COUNTS), staged.filter(F.col("seq") == COUNTS)
+    counts = counts.select("ids").mapInArrow(_histogram, "id long, n long").groupBy("id").agg(F.sum("n").alias("n")).toArrow()  # a row per used id
     ids, n = counts.column("id").to_numpy(), counts.column("n").to_numpy()
     symbols = Symbols.scaled(ids, n) if len(ids) else Symbols(np.array([END_ID]), np.array([1 << 12]))
     table_rows = pa.table({"id": symbols.ids.astype(np.int64), "frequency": symbols.frequency.astype(np.int64)})
