@@ -287,8 +287,8 @@ class Network:
 
     def run(self, codes: np.ndarray, lengths: np.ndarray, learn: bool) -> np.ndarray:
         """log10 of the model's part of each text's probability: classes, and slots of the inner tokens."""
-        many, codes = len(lengths), codes.astype(np.int32)
-        cls, slot = class_of(codes), codes % SLOTS
+        many = len(lengths)
+        cls, slot = class_of(codes).astype(np.int16), codes % SLOTS  # 16 bits sort fastest
         # lanes of about equal length, the longest first, so that those still running are the first ones
         fit = len(codes) // max(int(lengths.max(initial=0)), 8 * STEPS)  # no lane shorter than the longest text
         lanes: list[tuple[int, int, list[int]]] = [(0, i, []) for i in range(min(LANES, max(1, fit), many))]
@@ -414,7 +414,7 @@ class Network:
         flat = reads[valid]
         self._step("u", slice(None), np.matmul(before, u.transpose(0, 2, 1)).sum(0), len(flat))
         order = np.argsort(flat, kind="stable")
-        flat = flat[order]
+        flat = flat[order].astype(np.int64)
         first = np.flatnonzero(np.diff(flat, prepend=-1))
         self._step("x", flat[first], np.add.reduceat(a.transpose(0, 2, 1)[valid][order], first), np.diff(np.append(first, len(flat))))
 
