@@ -13,7 +13,8 @@ of at most ``max_windows`` windows, each block searches all documents, and the
 blocks' hits are merged per document.
 
 Cases: a null or empty text has no words and no hit; an item without words
-has no window; items with equal windows all count; null item ids are left out;
+has no window; items with equal windows all count; items without an id are
+searched like others, count as one item and are left out of the list of ids;
 repeated rows are each judged; with an empty benchmark nothing is hit.
 """
 
@@ -92,10 +93,10 @@ class WuManber:
 class Matcher:
     """The Wu-Manber tables of a set of windows, one for each length."""
 
-    def __init__(self, windows: list[tuple[str, list[str]]]):
+    def __init__(self, windows: list[tuple[str | None, list[str]]]):
         """windows: (item id, words)."""
         self.number: dict[bytes, int] = {}
-        self.items: dict[tuple[int, ...], set[str]] = {}
+        self.items: dict[tuple[int, ...], set[str | None]] = {}
         lengths: dict[int, set[tuple[int, ...]]] = {}
         for item, ws in windows:
             key = tuple(self.number.setdefault(w.encode(), len(self.number) + 1) for w in ws)
@@ -103,18 +104,18 @@ class Matcher:
             lengths.setdefault(len(key), set()).add(key)
         self.tables = [WuManber(sorted(p), m) for m, p in sorted(lengths.items())]
 
-    def search(self, text: str) -> tuple[int, list[int], list[str]]:
-        """Number of words; merged [start, end) pairs, flat; item ids."""
+    def search(self, text: str) -> tuple[int, list[int], list[str | None]]:
+        """Number of words; merged [start, end) pairs, flat; item ids, a missing one last."""
         ws = text.encode().translate(WORD_BYTES).split()
         number = self.number.get
         seq = [number(w, 0) for w in ws]
         spans: list[tuple[int, int]] = []
-        found: set[str] = set()
+        found: set[str | None] = set()
         for t in self.tables:
             for start, place in t.find(seq):
                 spans.append((start, start + t.m))
                 found |= self.items[place]
-        return len(ws), merged(spans), sorted(found)
+        return len(ws), merged(spans), sorted(found, key=lambda x: (x is None, x))
 
 
 def merged(spans: Iterable[tuple[int, int]]) -> list[int]:
@@ -138,7 +139,7 @@ def benchmark_windows(benchmark: DataFrame, size: int = WINDOW) -> DataFrame:
             out.append([ws[i : i + size] for i in range(max(len(ws) - size + 1, 1))] if ws else [])
         return {"windows": out}
 
-    items = benchmark.filter(F.col("item_id").isNotNull()).select(F.col("item_id").cast("string").alias("item"), "text")
+    items = benchmark.select(F.col("item_id").cast("string").alias("item"), "text")
     cut_items = per_text(items, ["item"], "text", cut, "windows array<array<string>>")
     return cut_items.select("item", F.explode("windows").alias("words")).distinct()
 
