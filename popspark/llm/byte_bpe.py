@@ -33,7 +33,7 @@ from popspark.llm.common import per_text, table, worker_file
 
 VOCABULARY = "byte_bpe_50k.tiktoken"
 #: stretches that a worker's cache holds (about 200 bytes each)
-CACHE_LIMIT = 400_000
+CACHE_LIMIT = 150_000
 _NONE = 1 << 62
 #: leaves of the trees that stand side by side; a larger piece has a tree of its own
 WIDTHS = (8, 16, 32, 64)
