@@ -56,12 +56,18 @@ _LOW = np.uint64(1 << 31)
 _HEAD = struct.Struct("<4s7I")
 
 
-#: fixed values: the tokenizer's own split pattern, for lower-case ASCII, and how it prepares a text
-_PIECES = re.compile(rb"'s|'t|'re|'ve|'m|'ll|'d|[a-z]+|[0-9]|[^\sa-z0-9]+").findall
+#: fixed values: the tokenizer's own split pattern, and how it prepares a text
 _NORMALIZERS = ["NFC", "Replace", "Lowercase"]
 _SPLIT = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
-#: pieces of these bytes stand in the vocabulary as they are
-_PLAIN = re.compile(rb"[\x21-\x7e]+").fullmatch
+#: plain text: printable ASCII without A-Z, and the lower-case letters U+00DF to U+00FF, which no preparation changes
+_LETTER = rb"[a-z]|\xc3[\x9f-\xb6\xb8-\xbf]"
+_MARK = rb"[\x21-\x2f\x3a-\x40\x5b-\x60\x7b-\x7e]"
+_PLAIN = re.compile(rb"(?:%s|[0-9]|%s)+" % (_LETTER, _MARK)).fullmatch
+#: the split pattern for plain text
+_PIECES = re.compile(rb"'s|'t|'re|'ve|'m|'ll|'d|(?:%s)+|[0-9]|%s+" % (_LETTER, _MARK)).findall
+#: the model's character for each byte: printable ones stand for themselves, the others follow from 256 on
+_HIDDEN = [c for c in range(256) if not (0x21 <= c <= 0x7E or 0xA1 <= c <= 0xAC or 0xAE <= c)]
+_SHOWN = {c: 256 + i for i, c in enumerate(_HIDDEN)}
 
 
 class _Stretches(dict):
@@ -81,7 +87,7 @@ class Words:
     """The tokenizer, with bounded caches of the ids of stretches without blanks, and of their pieces.
 
     The tokenizer lower-cases and takes each piece of a stretch on its own, so
-    stretches are looked up with A-Z lower-cased, and an unknown ASCII stretch
+    stretches are looked up with A-Z lower-cased, and an unknown plain stretch
     is put together from its pieces. Unknown pieces go to the library's model,
     each distinct one of a batch once; unknown stretches with other characters
     go through the whole tokenizer, many at a time, as words of one text. A
@@ -120,14 +126,14 @@ class Words:
         return got
 
     def _piece(self, piece: bytes) -> bytes:
-        ids = [t.id for t in self.model.tokenize(piece.decode())]
+        ids = [t.id for t in self.model.tokenize(piece.decode("latin-1").translate(_SHOWN))]
         got = struct.pack(f"<{len(ids)}I", *ids)
         if len(piece) <= 64 and len(self.pieces) < PIECES:
             self.pieces[piece] = got
         return got
 
     def _plain(self, stretch: bytes) -> bytes:
-        """Ids of an ASCII stretch, from those of its pieces."""
+        """Ids of a plain stretch, from those of its pieces."""
         known = self.pieces.get
         if stretch.isalpha():
             return known(stretch) or self._piece(stretch)

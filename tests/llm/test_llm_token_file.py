@@ -87,3 +87,23 @@ def test_query_against_the_library(spark, library):
     d = "/root/testdata/sf0.001"
     rows = [(r.doc_id, r.text) for r in spark.read.parquet(f"{d}/documents.parquet").collect()]
     assert sorted((tuple(r) for r in token_file.op4_token_file(spark, d).collect()), key=str) == brute(rows, library)
+
+
+def test_letters_beyond_ascii_as_the_library(library):
+    """The plain path takes some of them; upper case, marks, signs and soft hyphens go through the whole tokenizer."""
+    rng = random.Random(6)
+    alphabet = ["ÿ", "ø", "÷", "×", "À", "É", "é", "ß", "\xad", "\xa1", "é", "ñandú", "l'été", "'s", "x", "9", "--", " "]
+    texts = ["".join(rng.choices(alphabet, k=rng.randrange(1, 12))) for _ in range(2000)]
+    got = token_file.Words(public_tokenizers.path("word_bpe_49k.json")).encode(texts)
+    assert [np.frombuffer(x, "<u4").tolist() for x in got] == [library(t) for t in texts]
+
+
+def test_another_preparation_is_refused(tmp_path):
+    import json
+
+    told = json.load(open(public_tokenizers.path("word_bpe_49k.json"), encoding="utf-8"))
+    told["normalizer"] = None
+    path = tmp_path / "other.json"
+    path.write_text(json.dumps(told), encoding="utf-8")
+    with pytest.raises(ValueError, match="another way"):
+        token_file.Words(str(path))
