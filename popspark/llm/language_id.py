@@ -4,8 +4,9 @@ A word's subwords (its byte n-grams of 1 to 4 with end marks, and the word)
 are hashed to ``BUCKETS`` embeddings. A text is the average embedding of the
 subwords of all its words, and a linear softmax over it gives the language.
 Both are trained together by stochastic gradient descent in numpy on at most
-``MAX_ROWS`` rows that are not held out, one for an id, each as a whole text and as a few
-words of it, so that short texts are known too. A temperature fitted on other
+``MAX_ROWS`` rows that are not held out, one for an id and equally many of every
+language that has as many, each as a whole text and as a few words of it, so
+that short texts are known too. A temperature fitted on other
 rows calibrates the probability, and the rejection bound is the lowest
 probability above which these rows are right in ``PRECISION`` of cases;
 ``accepted`` tells whether a row reaches it.
@@ -27,13 +28,13 @@ from dataclasses import dataclass
 from zlib import crc32
 
 import numpy as np
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from popspark.llm.common import crc_mod, one_per_id, per_text, table, words
 
-#: rows that the model learns from, at most
-MAX_ROWS = 3_000
+#: rows that the model learns from, at most; a rare language has up to ``LEAST`` rows also where there are more languages
+MAX_ROWS, LEAST = 3_000, 20
 BUCKETS, SIZE, EPOCHS, PRECISION = 1 << 15, 8, 5, 0.99
 UNKNOWN = "und"
 #: words whose vectors a worker remembers
@@ -177,30 +178,44 @@ def calibrate(z: np.ndarray, y: np.ndarray, precision: float = PRECISION) -> tup
 
 def fit(docs: DataFrame, max_rows: int = MAX_ROWS) -> Model:
     known = docs.filter(F.col("lang").isNotNull() & (crc_mod(F.col("doc_id"), 3) != 1))
-    chosen = known.select("doc_id", "lang").orderBy(F.xxhash64("doc_id"), "doc_id").limit(max_rows).groupBy("doc_id").agg(F.min("lang").alias("y"))
+    # the ids with the smallest hashes of each language, so that none is left out; a bound on the hash, by the
+    # (estimated) number of a language's ids, first leaves some times as many as wanted, and repeated rows go with it
+    sizes = known.groupBy("lang").agg(F.approx_count_distinct("doc_id").alias("ids"))
+    wanted = max(LEAST, max_rows // max(sizes.count(), 1))
+    place = F.pmod(F.xxhash64("doc_id"), F.lit(1 << 31))
+    near = known.select("doc_id", "lang", place.alias("place")).join(F.broadcast(sizes), "lang").filter(F.col("place") < 4.0 * wanted / F.col("ids") * (1 << 31))
+    rank = F.row_number().over(Window.partitionBy("lang").orderBy("place", "doc_id"))
+    first = near.select("doc_id", "lang", "place").distinct().withColumn("rank", rank).filter(F.col("rank") <= wanted)
+    chosen = first.groupBy("doc_id").agg(F.min("lang").alias("y"))
     # rows of a chosen id with another language aren't learnt
     sample = known.select("doc_id", "text", F.xxhash64("text").alias("text_hash"), F.col("lang").alias("y")).join(F.broadcast(chosen), ["doc_id", "y"])
 
     def both(texts: list[str]) -> dict[str, list]:
-        out: dict[str, list] = {"whole": [], "times": [], "few": [], "few_times": []}
+        out: dict[str, list] = {"whole": [], "few": []}
         for t in texts:
             ws = words(t)
             pick = np.random.default_rng(len(ws)).integers(0, len(ws), 5) if ws else []
-            for a, b, x in (("whole", "times", ws), ("few", "few_times", [ws[i] for i in pick])):
-                got = counts(x)
-                out[a].append(got[0])
-                out[b].append(got[1])
+            for name, x in (("whole", ws), ("few", [ws[i] for i in pick])):
+                out[name].append(np.array(counts(x), "<i4").tobytes())  # buckets, then their counts
         return out
 
-    counted = per_text(sample, ["doc_id", "y", "text_hash"], "text", both, "whole array<int>, times array<int>, few array<int>, few_times array<int>")
-    rows = one_per_id(counted, "whole", "times", "few", "few_times").orderBy("doc_id").toArrow().to_pylist()
-    langs = sorted({r["y"] for r in rows})
-    examples = [(np.array(r[a]), np.array(r[b]) / max(sum(r[b]), 1), langs.index(r["y"]), r["doc_id"]) for r in rows for a, b in (("whole", "times"), ("few", "few_times")) if r[a]]
+    counted = per_text(sample, ["doc_id", "y", "text_hash"], "text", both, "whole binary, few binary")
+    rows = one_per_id(counted, "whole", "few").orderBy("doc_id").toArrow()
+    langs = sorted(set(rows.column("y").to_pylist()))
+    examples = []
+    for doc_id, lang, *pair in zip(*(rows.column(c).to_pylist() for c in ("doc_id", "y", "whole", "few")), strict=True):
+        for x in pair:
+            buckets, times = np.frombuffer(x, "<i4").reshape(2, -1)
+            if len(buckets):
+                examples.append((buckets, times / max(times.sum(), 1), langs.index(lang), doc_id))
     if not examples:
         return Model([], np.zeros((BUCKETS, 0)), np.zeros(0), 1.0, 1.0)
     held = np.array([crc32(str(x[3]).encode()) // 3 % 5 == 0 for x in examples]) if len(examples) >= 100 else np.zeros(len(examples), bool)
     y = np.array([x[2] for x in examples])
+    many = np.bincount(y, minlength=len(langs))
+    held &= many[y] >= 10  # the few examples of a rare language are all learnt, and as often as a quarter of the commonest one's
     learn = np.flatnonzero(~held)
+    learn = np.repeat(learn, np.clip(many.max() // (4 * many), 1, 500)[y[learn]])
     logits, bias = train([examples[i][:2] for i in learn], y[learn], len(langs))
     test = np.flatnonzero(held)
     z = np.array([(logits[examples[i][0]] * examples[i][1][:, None]).sum(0) + bias for i in test]).reshape(-1, len(langs))

@@ -173,3 +173,25 @@ def test_rows_of_a_chosen_id_with_another_language_are_not_learnt(spark, monkeyp
     rows = [(i, "uno dos", "es") for i in range(20)] + [(i, f"one two {i}", lang) for i in range(20) for lang in (None, "xx")]
     language_id.fit(spark.createDataFrame(rows, "doc_id long, text string, lang string"))
     assert {b for r in learnt for b in r[0].tolist()} == {b for w in (b"uno", b"dos") for b in language_id.subwords(w)}
+
+
+def test_a_rare_language_is_learnt(spark):
+    """One row in 10,000, beside an id that holds a third of all rows."""
+    rng = np.random.default_rng(2)
+    draw = lambda letters: " ".join("".join(rng.choice(list(letters), 5)) for _ in range(8))
+    rows = [(i, draw("abcdefgh"), "en") for i in range(4000)] + [(i, draw("mnopqrst"), "de") for i in range(4000, 6500)]
+    rows += [(7, "abc", "en")] * 3400 + [(20_001, "αβγδ εζηθ αγεη βδζθ " * 20, "el")] * 2
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string").repartition(6)
+    rows = docs.filter(crc_of("doc_id") != 1)
+    assert rows.filter("lang = 'el'").count() == 2
+    model = language_id.fit(docs)
+    assert model.langs == ["de", "el", "en"]
+    texts = [("el", "αβγδ εζηθ βδζθ " * 9), ("de", draw("mnopqrst")), ("en", draw("abcdefgh"))]
+    got = language_id.identify(spark.createDataFrame(texts, "doc_id string, text string"), model).collect()
+    assert {r.doc_id: r.lang_pred for r in got} == {x: x for x, _ in texts}
+
+
+def crc_of(name):
+    from pyspark.sql import functions as F
+
+    return common.crc_mod(F.col(name), 3)
