@@ -97,6 +97,17 @@ def export_position(df: DataFrame, decade: int) -> DataFrame:
     return df.withColumn("position", F.row_number().over(w))
 
 
+def shared_rows(df: DataFrame, *keys: str) -> DataFrame:
+    """``df`` for several readers: dealt out by ``keys`` in a shuffle that all can reuse with those below it, so that the costly steps run once.
+
+    Every reader would push its own filters and columns below that shuffle, so
+    that no two were alike: a row id in the struct (a nondeterministic
+    expression) keeps filters and pruning above it.
+    """
+    row = F.struct(*df.columns, F.monotonically_increasing_id().alias("row_id"))
+    return df.repartition(*keys).select(row.alias("row")).select(*(f"row.{c}" for c in df.columns))
+
+
 def product_positions(decades: Mapping[int, DataFrame]) -> DataFrame:
     """O2 of the combined product as data: its rows with decade and a 1-based ``position`` in the whole product.
 
@@ -112,8 +123,8 @@ def product_positions(decades: Mapping[int, DataFrame]) -> DataFrame:
         keyed = canonical(df).withColumns({"decade": F.lit(d), "nation": is_us})
         run = Window.partitionBy("nation", "year", "state_fips").orderBy(*rest)
         parts.append(keyed.withColumn("place", F.row_number().over(run)))
-    rows = union_by_name(parts)
     key = ["decade", "nation", "year", "state_fips"]
+    rows = union_by_name(parts)
     runs = rows.groupBy(*key).agg(F.max("place").alias("n"))
     earlier = (Window.unboundedPreceding, -1)
     in_decade = Window.partitionBy("decade").orderBy("nation", F.col("year").asc_nulls_last(), F.col("state_fips").asc_nulls_last()).rowsBetween(*earlier)

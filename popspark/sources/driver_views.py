@@ -25,10 +25,13 @@ splits a skewed key's partition.  Only the needed columns are read.
 
 from __future__ import annotations
 
+from collections.abc import Mapping
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions import codes
+from ..operators.setops import shared_rows
 
 # ------------------------------------------- TEST DATA (invented for the views)
 # 1980 race-sex labels used to render the text layout (code 1..6).
@@ -150,14 +153,10 @@ def shared_person_records(spark: SparkSession, sf_dir: str) -> DataFrame:
     """``person_records`` for queries over several decades: the join runs once, and all read its result.
 
     The joined rows are dealt out by a shuffle that every decade reuses, so
-    none sorts and merges the tables again.  Every decade would push its own
-    filters and columns below that shuffle, so that no two were alike: a row
-    id in the struct (a nondeterministic expression) keeps filters and pruning
-    above it.  (Order, line) spreads evenly, whatever key is hot in the join.
+    none sorts and merges the tables again.  (Order, line) spreads evenly,
+    whatever key is hot in the join.
     """
-    dealt = person_records(spark, sf_dir).repartition("l_orderkey", "l_linenumber")
-    row = F.struct(*PERSON_COLUMNS, F.monotonically_increasing_id().alias("row_id"))
-    return dealt.select(row.alias("person")).select(*(f"person.{c}" for c in PERSON_COLUMNS))
+    return shared_rows(person_records(spark, sf_dir), "l_orderkey", "l_linenumber")
 
 
 def county_fips_table(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -189,12 +188,44 @@ def _one_hot(index: str, names: tuple[str, ...], value: str = "population") -> l
     return [f"CASE WHEN {index} = {i} THEN {value} ELSE 0 END AS {n}" for i, n in enumerate(names)]
 
 
+RACE_SEX = {
+    1970: "CASE WHEN unmapped THEN 7 ELSE CAST(l_suppkey % 6 + 1 AS INT) END",
+    1990: "CASE WHEN unmapped THEN 9 ELSE CAST(l_suppkey % 8 + 1 AS INT) END",
+}
+
+
+def year_sql(decade: int) -> str:
+    """The year as the layout codes it: two digits in 1990, a YEAR code from 2000 on."""
+    return f"CAST(cal_year - {1900 if decade == 1990 else WIDE_RACE_YEAR_SHIFT[decade]} AS INT)"
+
+
+def age_sql(decade: int) -> str:
+    """The layout's age code; 2000 also has total rows (99) and a code outside the domain."""
+    if decade != 2000:
+        return "age_code"
+    return (
+        "CAST(CASE WHEN l_linenumber = 6 AND l_orderkey % 3 = 0 THEN 99 "
+        "WHEN l_linenumber = 6 AND l_orderkey % 3 = 1 THEN 25 ELSE age_code END AS INT)"
+    )
+
+
+def layout_codes(spark: SparkSession, sf_dir: str, code_sql: Mapping[int, str]) -> DataFrame:
+    """(decade, code): every record once per layout, with the layout's code.
+
+    The tables are joined once for all layouts.  A union of views would sort
+    and merge them for each, and AQE would make each join's tasks larger, as
+    it deals the least number of tasks out to the union's parts.
+    """
+    entries = [f"struct({d} AS decade, {sql} AS code)" for d, sql in code_sql.items()]
+    return person_records(spark, sf_dir).selectExpr(f"inline(array({', '.join(entries)}))")
+
+
 def wide_age_1970(spark: SparkSession, sf_dir: str, base: DataFrame | None = None) -> DataFrame:
     """1970 layout (typed): year, fips, race_sex int, 18 age columns."""
     return (base or person_records(spark, sf_dir)).selectExpr(
         "cal_year AS year",
         f"{FIPS} AS fips",
-        "CASE WHEN unmapped THEN 7 ELSE CAST(l_suppkey % 6 + 1 AS INT) END AS race_sex",
+        f"{RACE_SEX[1970]} AS race_sex",
         *_one_hot("age_column", codes.WIDE_AGE_COLUMNS),
     )
 
@@ -213,10 +244,10 @@ def wide_age_1980(spark: SparkSession, sf_dir: str, base: DataFrame | None = Non
 def long_codes_1990(spark: SparkSession, sf_dir: str, base: DataFrame | None = None) -> DataFrame:
     """1990 layout (typed): two-digit year, fips, age 0..18, race_sex, origin, population."""
     return (base or person_records(spark, sf_dir)).selectExpr(
-        "CAST(cal_year - 1900 AS INT) AS year",
+        f"{year_sql(1990)} AS year",
         f"{FIPS_ONE_ZERO_STRIPPED} AS fips",
-        "age_code AS age",
-        "CASE WHEN unmapped THEN 9 ELSE CAST(l_suppkey % 8 + 1 AS INT) END AS race_sex",
+        f"{age_sql(1990)} AS age",
+        f"{RACE_SEX[1990]} AS race_sex",
         "CASE WHEN l_linenumber % 3 = 0 THEN 2 ELSE 1 END AS origin",
         "population",
     )
@@ -232,16 +263,10 @@ def wide_race(spark: SparkSession, sf_dir: str, decade: int, base: DataFrame | N
 
     2000 also carries total rows (AGEGRP 99) and an out-of-domain age code.
     """
-    agegrp = "age_code"
-    if decade == 2000:
-        agegrp = (
-            "CASE WHEN l_linenumber = 6 AND l_orderkey % 3 = 0 THEN 99 "
-            "WHEN l_linenumber = 6 AND l_orderkey % 3 = 1 THEN 25 ELSE age_code END"
-        )
     cell = "CAST((l_suppkey % 7) * 2 + (l_linenumber % 2) AS INT)"
     return (base or person_records(spark, sf_dir)).selectExpr(
-        f"CAST(cal_year - {WIDE_RACE_YEAR_SHIFT[decade]} AS INT) AS YEAR",
-        f"CAST({agegrp} AS INT) AS AGEGRP",
+        f"{year_sql(decade)} AS YEAR",
+        f"{age_sql(decade)} AS AGEGRP",
         "state_code AS STATE",
         "county_code AS COUNTY",
         *_one_hot(cell, codes.WIDE_RACE_COLUMNS),

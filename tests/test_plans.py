@@ -96,6 +96,14 @@ def test_decades_share_one_join_of_the_tables(spark, name):
     assert "PythonUDF" not in final
 
 
+@pytest.mark.parametrize("name", ["year_offset", "recode_sex", "recode_race", "age_band_collapse"])
+def test_codes_of_several_layouts_come_from_one_join(spark, name):
+    final = executed(E.queries()[name](spark, SF001)).split("== Initial Plan ==")[0]
+    joins = [ln for ln in final.split("\n") if "Join" in ln and "l_orderkey" in ln]
+    assert len(joins) == 1, joins
+    assert "Union" not in final
+
+
 def test_positions_of_the_product_need_no_large_window(spark):
     """Windows are partitioned by a run of one state and year, or hold a row per run or decade."""
     final = executed(E.queries()["product_position"](spark, SF001)).split("== Initial Plan ==")[0]
