@@ -115,7 +115,8 @@ def product_positions(decades: Mapping[int, DataFrame]) -> DataFrame:
     year, state), at most one row per band, sex and race.  Runs are counted,
     and the counts are added up in export order, first over the runs of a
     decade, then over the decades; a row's position is the sum before its run
-    plus its place in the run.
+    plus its place in the run.  The rows, as large as the product, are shuffled
+    whole, so that both readers use the same aggregates of the decades.
     """
     parts = []
     for d, df in decades.items():
@@ -124,7 +125,7 @@ def product_positions(decades: Mapping[int, DataFrame]) -> DataFrame:
         run = Window.partitionBy("nation", "year", "state_fips").orderBy(*rest)
         parts.append(keyed.withColumn("place", F.row_number().over(run)))
     key = ["decade", "nation", "year", "state_fips"]
-    rows = union_by_name(parts)
+    rows = shared_rows(union_by_name(parts), *key)
     runs = rows.groupBy(*key).agg(F.max("place").alias("n"))
     earlier = (Window.unboundedPreceding, -1)
     in_decade = Window.partitionBy("decade").orderBy("nation", F.col("year").asc_nulls_last(), F.col("state_fips").asc_nulls_last()).rowsBetween(*earlier)

@@ -104,6 +104,14 @@ def test_codes_of_several_layouts_come_from_one_join(spark, name):
     assert "Union" not in final
 
 
+def test_positions_of_the_product_aggregate_each_decade_once(spark):
+    """The runs are counted from the rows that are placed; the 1980 lines are parsed once."""
+    final = executed(E.queries()["product_position"](spark, SF001)).split("== Initial Plan ==")[0]
+    joined = [ln for ln in final.split("\n") if "ReusedExchange" in ln and "l_suppkey" in ln]
+    scans = [ln for ln in final.split("\n") if "SortMergeJoin" in ln and "l_orderkey" in ln]
+    assert len(joined) + len(scans) == 6, joined
+
+
 def test_positions_of_the_product_need_no_large_window(spark):
     """Windows are partitioned by a run of one state and year, or hold a row per run or decade."""
     final = executed(E.queries()["product_position"](spark, SF001)).split("== Initial Plan ==")[0]
