@@ -35,7 +35,7 @@ import json
 import os
 import re
 import struct
-from collections.abc import Iterable, Iterator
+from collections.abc import Callable, Iterable, Iterator
 from functools import lru_cache
 from zlib import crc32
 
@@ -70,17 +70,27 @@ _HIDDEN = [c for c in range(256) if not (0x21 <= c <= 0x7E or 0xA1 <= c <= 0xAC
 _SHOWN = {c: 256 + i for i, c in enumerate(_HIDDEN)}
 
 
+#: packs a number of ids
+_PACK = [struct.Struct(f"<{n}I").pack for n in range(65)]
+
+
 class _Stretches(dict):
-    """stretch -> number; one that isn't known gets the next number."""
+    """stretch -> ids; those of a new plain stretch are made at once, and another one is told by None until its ids are there."""
 
-    def __init__(self):
+    def __init__(self, plain: Callable[[bytes], bytes]):
         super().__init__()
+        self.plain = plain
         self.new: list[bytes] = []
+        self.other: list[bytes] = []
 
-    def __missing__(self, stretch: bytes) -> int:
-        number = self[stretch] = len(self)
+    def __missing__(self, stretch: bytes) -> bytes | None:
         self.new.append(stretch)
-        return number
+        if not stretch or _PLAIN(stretch):
+            ids = self[stretch] = self.plain(stretch)
+            return ids
+        self.other.append(stretch)
+        self[stretch] = None
+        return None
 
 
 class Words:
@@ -107,8 +117,7 @@ class Words:
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.encode_special_tokens = True
         self.model = self.tokenizer.model
-        self.numbers = _Stretches()
-        self.values: list[bytes] = []  # ids of a stretch, by its number
+        self.stretches = _Stretches(self._plain)
         self.pieces: dict[bytes, bytes] = {}
 
     def _encode_many(self, new: list[bytes]) -> dict[bytes, bytes]:
@@ -126,8 +135,9 @@ class Words:
         return got
 
     def _piece(self, piece: bytes) -> bytes:
-        ids = [t.id for t in self.model.tokenize(piece.decode("latin-1").translate(_SHOWN))]
-        got = struct.pack(f"<{len(ids)}I", *ids)
+        shown = piece.decode() if piece.isascii() else piece.decode("latin-1").translate(_SHOWN)
+        ids = [t.id for t in self.model.tokenize(shown)]
+        got = _PACK[len(ids)](*ids) if len(ids) < len(_PACK) else struct.pack(f"<{len(ids)}I", *ids)
         if len(piece) <= 64 and len(self.pieces) < PIECES:
             self.pieces[piece] = got
         return got
@@ -144,22 +154,29 @@ class Words:
         return self.encode_utf8([t.encode() for t in texts], end)
 
     def encode_utf8(self, texts: list[bytes], end: int = END_ID) -> list[bytes]:
-        look, last = self.numbers.__getitem__, struct.pack("<I", end)
-        cut = [list(map(look, t.lower().replace(b"\n", b" ").split(b" "))) for t in texts]
-        new, values = self.numbers.new, self.values
-        whole = self._encode_many([s for s in new if s and not _PLAIN(s)])
-        plain = self._plain
-        values += [plain(s) if (ids := whole.get(s)) is None else ids for s in new]
-        out = [b"".join(map(values.__getitem__, c)) + last for c in cut]
-        first = len(values) - len(new)
-        kept = [x for x in zip(new, values[first:], strict=True) if len(x[0]) <= 64][: max(0, CACHE_LIMIT - first)]
-        if len(kept) < len(new):  # the cache is full, or a long stretch isn't worth it
+        held, last = self.stretches, struct.pack("<I", end)
+        look, new, other, first = held.__getitem__, held.new, held.other, len(held)
+        out: list[bytes] = []
+        waiting = []
+        for t in texts:
+            cut = t.lower().replace(b"\n", b" ").split(b" ")
+            ids = list(map(look, cut))
+            if other and None in ids:
+                waiting.append((len(out), cut))
+                out.append(b"")
+            else:
+                out.append(b"".join(ids) + last)
+        held.update(self._encode_many(other))
+        for i, cut in waiting:
+            out[i] = b"".join(map(look, cut)) + last
+        other.clear()
+        room = max(0, CACHE_LIMIT - first)
+        if len(new) > room or any(len(s) > 64 for s in new):  # the cache is full, or a long stretch isn't worth it
             for s in new:
-                del self.numbers[s]
-            del values[first:]
-            for s, ids in kept:
-                self.numbers[s] = len(values)
-                values.append(ids)
+                if len(s) > 64 or not room:
+                    del held[s]
+                else:
+                    room -= 1
         new.clear()
         return out
 
@@ -260,9 +277,9 @@ def decode_block(payload: bytes, symbols: Symbols, first: int = 0, last: int | N
     return ids[first - begin * lanes : last - begin * lanes]
 
 
-#: the ``seq`` of a row that holds its task's histogram in place of a document's ids
+#: the ``seq`` of a row that holds its task's histogram, in a column of its own, in place of a document's ids
 COUNTS = -1
-_TOKENS = pa.schema([("part", pa.int32()), ("seq", pa.int64()), ("first", pa.int64()), ("doc_id", pa.int64()), ("ids", pa.binary())])
+_TOKENS = pa.schema([("part", pa.int32()), ("seq", pa.int64()), ("first", pa.int64()), ("doc_id", pa.int64()), ("ids", pa.binary()), ("counts", pa.binary())])
 _BLOCKS = pa.schema([("part", pa.int32()), ("first", pa.int64()), ("doc_ids", pa.list_(pa.int64())), ("lengths", pa.list_(pa.int64())), ("payload", pa.binary())])
 
 
@@ -291,12 +308,12 @@ def _tokenise(path: str | None):
                 counts = _added(counts, np.bincount(np.concatenate(ids)))
                 sizes = np.array([len(x) for x in ids])
                 firsts = first + np.cumsum(sizes) - sizes
-                cols = [[part] * len(ids), range(seq, seq + len(ids)), firsts, rb.column(0).slice(start, len(ids)), list(map(_narrow, ids))]
+                cols = [[part] * len(ids), range(seq, seq + len(ids)), firsts, rb.column(0).slice(start, len(ids)), list(map(_narrow, ids)), pa.nulls(len(ids), pa.binary())]
                 yield pa.RecordBatch.from_arrays([c if isinstance(c, pa.Array) else pa.array(c, f.type) for c, f in zip(cols, _TOKENS, strict=True)], schema=_TOKENS)
                 seq, first = seq + len(ids), first + int(sizes.sum())
                 start, size = i + 1, 0
         if seq:
-            row = (part, COUNTS, first, None, counts.astype("<i8").tobytes())
+            row = (part, COUNTS, first, None, None, counts.astype("<i8").tobytes())
             yield pa.RecordBatch.from_arrays([pa.array([x], f.type) for x, f in zip(row, _TOKENS, strict=True)], schema=_TOKENS)
 
     return run
@@ -354,11 +371,11 @@ def write(docs: DataFrame, path: str, vocabulary: str | None = None) -> None:
         .repartitionByRange(shuffle_partitions(spark), "doc_id", F.substring("text", 1, 64))  # the order of text, also where an id repeats
         .sortWithinPartitions("doc_id", "text")
     )
-    ddl = "part int, seq long, first long, doc_id long, ids binary"
+    ddl = "part int, seq long, first long, doc_id long, ids binary, counts binary"
     ordered.mapInArrow(_tokenise(vocabulary), ddl).write.option("compression", "zstd").parquet(stage)
     staged = spark.read.schema(ddl).parquet(stage)
-    tokens, counts = staged.filter(F.col("seq") != COUNTS), staged.filter(F.col("seq") == COUNTS)
-    counts = counts.select("ids").mapInArrow(_histogram, "id long, n long").groupBy("id").agg(F.sum("n").alias("n")).toArrow()  # a row per used id
+    tokens, counts = staged.filter(F.col("seq") != COUNTS).drop("counts"), staged.filter(F.col("seq") == COUNTS)
+    counts = counts.select("counts").mapInArrow(_histogram, "id long, n long").groupBy("id").agg(F.sum("n").alias("n")).toArrow()  # a row per used id
     ids, n = counts.column("id").to_numpy(), counts.column("n").to_numpy()
     symbols = Symbols.scaled(ids, n) if len(ids) else Symbols(np.array([END_ID]), np.array([1 << 12]))
     table_rows = pa.table({"id": symbols.ids.astype(np.int64), "frequency": symbols.frequency.astype(np.int64)})

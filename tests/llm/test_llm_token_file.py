@@ -107,3 +107,21 @@ def test_another_preparation_is_refused(tmp_path):
     path.write_text(json.dumps(told), encoding="utf-8")
     with pytest.raises(ValueError, match="another way"):
         token_file.Words(str(path))
+
+
+@pytest.mark.parametrize("limit", [0, 3, 1000])
+def test_stretches_hold_ids_whatever_the_room(monkeypatch, limit):
+    """Plain stretches are held as ids at once, others when their ids are there; none waits behind a batch."""
+    monkeypatch.setattr(token_file, "CACHE_LIMIT", limit)
+    own = token_file.Words(token_file.worker_file(None, token_file.VOCABULARY))
+    texts = ["plain words, 12 here", "Ünï cödé 中文 plain", "", "\n\n 中文", "y" * 90 + " Ж" * 3, "中文 here"]
+    want = [np.array([*own.tokenizer.encode(t, add_special_tokens=False).ids, token_file.END_ID], "<u4").tobytes() for t in texts]
+    assert own.encode(texts) == want
+    assert own.encode(texts[::-1]) == want[::-1]
+    assert len(own.stretches) <= limit and None not in own.stretches.values()
+    assert all(len(s) <= 64 for s in own.stretches)
+
+
+def test_counts_have_a_column_of_their_own():
+    """So that the scan for the histograms reads no ids of documents."""
+    assert token_file._TOKENS.names[-2:] == ["ids", "counts"]
