@@ -257,6 +257,11 @@ def first_parameters(v: Vocabulary) -> dict[str, np.ndarray]:
 def _sigmoid(x: np.ndarray) -> np.ndarray:
     """In place; an overflow to infinity gives 0."""
     np.negative(x, out=x)
+    return _share(x)
+
+
+def _share(x: np.ndarray) -> np.ndarray:
+    """1 / (1 + exp(x)), in place."""
     np.exp(x, out=x)
     x += 1
     return np.reciprocal(x, out=x)
@@ -264,8 +269,8 @@ def _sigmoid(x: np.ndarray) -> np.ndarray:
 
 def _tanh(x: np.ndarray) -> np.ndarray:
     """In place."""
-    x *= 2
-    _sigmoid(x)
+    x *= -2
+    _share(x)
     x *= 2
     x -= 1
     return x
@@ -273,10 +278,17 @@ def _tanh(x: np.ndarray) -> np.ndarray:
 
 def _softmax(logit: np.ndarray) -> np.ndarray:
     """Exponentials, in place, and their sums per row; no trained logit comes near the bound."""
-    np.exp(np.minimum(logit, 60, out=logit), out=logit)
+    if logit.max(initial=0) > 60:
+        np.minimum(logit, 60, out=logit)
+    np.exp(logit, out=logit)
     return logit @ np.ones(logit.shape[1], logit.dtype)
 
 
+def _by_lane(values: np.ndarray) -> np.ndarray:
+    """(steps, width, lanes) as one row per step and lane."""
+    return np.ascontiguousarray(values.transpose(0, 2, 1)).reshape(-1, values.shape[1])
+
+
 class Network:
     """The recurrent unit and the two softmaxes; ``learn`` also takes a step for every window."""
 
@@ -341,11 +353,14 @@ class Network:
             h = np.subtract(_tanh(own[2 * width :]), inner, out=after[t])
             h *= zr[:width]
             h += inner
-        logs, far = self._output(after.transpose(0, 2, 1)[valid], cls, slot, learn)
+        # the places of the window's tokens; nearly always all of them
+        own = slice(None) if valid.all() else np.flatnonzero(valid)
+        logs, far = self._output(_by_lane(after) if isinstance(own, slice) else np.take(_by_lane(after), own, axis=0), cls, slot, learn)
         if learn:
-            back = np.zeros((steps, lanes, width), kind)
-            back[valid] = far
-            self._learn(reads, keep, valid, back.transpose(0, 2, 1), before, a, u)
+            back = np.zeros((steps * lanes, width), kind)
+            back[own] = far
+            back = np.ascontiguousarray(back.reshape(steps, lanes, width).transpose(0, 2, 1))
+            self._learn(reads.ravel()[own], keep, own, back, before, a, u)
         return h, logs
 
     def _output(self, h, cls, slot, learn):
@@ -353,20 +368,21 @@ class Network:
         p, n = self.p, np.arange(len(h))
         e = h @ p["w1"]
         e += p["b1"]
-        logs = e[n, cls].astype(float)
+        cell = n * e.shape[1] + cls
+        logs = e.reshape(-1)[cell].astype(float)
         total = _softmax(e)
         logs -= np.log(total)
         far = None
         if learn:
             e /= total[:, None]
-            e[n, cls] -= 1
+            e.reshape(-1)[cell] -= 1
             far = e @ p["w1"].T
             w1, b1 = h.T @ e, e.sum(0, keepdims=True)
         order = np.argsort(cls, kind="stable")
         bounds = np.searchsorted(cls[order], np.arange(CLASSES + 1)).tolist()
         inner = order[: bounds[-1]]
-        states, slots = h[inner], slot[inner]
-        own_logs, own_far = np.empty(len(inner)), np.empty_like(states)
+        states, slots = np.take(h, inner, axis=0), slot[inner]
+        own_logs, own_far = np.empty(len(inner)), np.zeros_like(h)  # in order; the last rows, of other words, stay 0
         for k in range(CLASSES):
             low, high = bounds[k], bounds[k + 1]
             if low == high:
@@ -385,12 +401,14 @@ class Network:
                 self._step("b2", k, e.sum(0, keepdims=True), high - low)
         logs[inner] += own_logs
         if learn:
-            far[inner] += own_far
+            back = np.empty_like(order)
+            back[order] = n
+            far += np.take(own_far, back, axis=0)
             self._step("w1", slice(None), w1, len(h))
             self._step("b1", slice(None), b1, len(h))
         return logs, far
 
-    def _learn(self, reads, keep, valid, back, before, a, u) -> None:
+    def _learn(self, flat, keep, own, back, before, a, u) -> None:
         """Backpropagation through the window's steps, and no further. Writes over ``a`` and ``u``."""
         steps, width, lanes = before.shape
         z, r, c = a[:, :width], a[:, width : 2 * width], a[:, 2 * width :]
@@ -411,12 +429,12 @@ class Network:
             dh *= stay[t]
             dh += self.p["u"] @ y
             dh *= keep[t]
-        flat = reads[valid]
         self._step("u", slice(None), np.matmul(before, u.transpose(0, 2, 1)).sum(0), len(flat))
         order = np.argsort(flat, kind="stable")
         flat = flat[order].astype(np.int64)
+        at = order if isinstance(own, slice) else own[order]
         first = np.flatnonzero(np.diff(flat, prepend=-1))
-        self._step("x", flat[first], np.add.reduceat(a.transpose(0, 2, 1)[valid][order], first), np.diff(np.append(first, len(flat))))
+        self._step("x", flat[first], np.add.reduceat(np.take(_by_lane(a), at, axis=0), first), np.diff(np.append(first, len(flat))))
 
     def _step(self, k: str, rows, slope: np.ndarray, tokens) -> None:
         s = self.squares[k][rows] + slope * slope

@@ -183,3 +183,11 @@ def test_probabilities_add_up_to_one():
     for b in range(lm.REST):
         own = [counts[k] for k in order[lm.CLASSES * lm.SLOTS :] if lm.tail_hash(k) % lm.REST == b]
         assert sum((c + 1) / (rest[0, b] + rest[1, b] + 1) for c in [*own, 0]) == pytest.approx(1)
+
+
+def test_rows_by_lane_lie_behind_each_other():
+    values = np.arange(2 * 3 * 4, dtype=np.float32).reshape(2, 3, 4)
+    valid = np.array([[True, True, True, False], [True, False, True, True]])
+    rows = lm._by_lane(values)
+    assert rows.flags.c_contiguous
+    assert (np.take(rows, np.flatnonzero(valid), axis=0) == values.transpose(0, 2, 1)[valid]).all()
