@@ -20,8 +20,9 @@ checkpoints, words, crc32 of the words, crc32 of the ids (u32 each), then the
 checkpoints (u32 place, u64 state per lane) from step 0 on, then the words.
 
 The tokenizer treats white space as a mere boundary, and so texts are cut at
-blanks and line ends and the library encodes each distinct stretch, or piece of
-one, once in a worker, as long as a bounded cache has room.
+blanks and line ends, and plain stretches on into the pieces of its split
+pattern, for many texts at a time. The library encodes each distinct piece once
+in a worker, as long as a bounded cache has room.
 
 Cases: a null or empty text has only the end id; a null document id sorts
 first; rows with equal ids are ordered by text, and dealt to several tasks as
@@ -35,7 +36,7 @@ import json
 import os
 import re
 import struct
-from collections.abc import Callable, Iterable, Iterator
+from collections.abc import Iterable, Iterator
 from functools import lru_cache
 from zlib import crc32
 
@@ -50,8 +51,8 @@ VOCABULARY = "word_bpe_49k.json"
 END_ID = 1
 #: ids of a block; lanes of a full block; steps between checkpoints
 BLOCK, LANES, EVERY = 1 << 18, 1024, 64
-#: stretches, and pieces, that a worker's caches hold (about 180 bytes each)
-CACHE_LIMIT, PIECES = 900_000, 300_000
+#: pieces that a worker's cache holds (about 180 bytes each)
+CACHE_LIMIT = 900_000
 _LOW = np.uint64(1 << 31)
 _HEAD = struct.Struct("<4s7I")
 
@@ -70,36 +71,53 @@ _HIDDEN = [c for c in range(256) if not (0x21 <= c <= 0x7E or 0xA1 <= c <= 0xAC
 _SHOWN = {c: 256 + i for i, c in enumerate(_HIDDEN)}
 
 
+#: bytes -> bytes: A-Z to a-z, a line end to a blank
+_LOWER = bytes(c + 32 if 65 <= c <= 90 else 32 if c == 10 else c for c in range(256))
+#: kinds of bytes; an apostrophe counts as other, as it may begin a piece of marks or of letters
+_BLANK, _ALPHA, _DIGIT, _SIGN, _OTHER = range(5)
+_KINDS = bytes(
+    _BLANK if c == 32 else _ALPHA if 97 <= c <= 122 else _DIGIT if 48 <= c <= 57
+    else _OTHER if c == 39 or not re.fullmatch(_MARK, bytes([c])) else _SIGN
+    for c in range(256)
+)
+#: whether \xc3 and this byte are a plain letter
+_AFTER_C3 = np.array([re.fullmatch(_LETTER, bytes([0xC3, c])) is not None for c in range(256)])
+
 #: packs a number of ids
 _PACK = [struct.Struct(f"<{n}I").pack for n in range(65)]
 
 
-class _Stretches(dict):
-    """stretch -> ids; those of a new plain stretch are made at once, and another one is told by None until its ids are there."""
-
-    def __init__(self, plain: Callable[[bytes], bytes]):
-        super().__init__()
-        self.plain = plain
-        self.new: list[bytes] = []
-        self.other: list[bytes] = []
+def _cut(data: bytes) -> tuple[np.ndarray, np.ndarray]:
+    """Where pieces begin and end in lower-cased texts that have a blank before and after each.
 
-    def __missing__(self, stretch: bytes) -> bytes | None:
-        self.new.append(stretch)
-        if not stretch or _PLAIN(stretch):
-            ids = self[stretch] = self.plain(stretch)
-            return ids
-        self.other.append(stretch)
-        self[stretch] = None
-        return None
+    A plain stretch without apostrophes is cut as by the split pattern; another one stays whole.
+    """
+    kind = np.frombuffer(bytearray(data.translate(_KINDS)), np.uint8)
+    raw = np.frombuffer(data, np.uint8)
+    lead = np.flatnonzero(raw == 0xC3)
+    lead = lead[_AFTER_C3[raw[lead + 1]]]
+    kind[lead] = kind[lead + 1] = _ALPHA
+    edge = (kind[1:] != kind[:-1]) | (kind[1:] == _DIGIT)
+    shown = kind != _BLANK
+    begins, ends = np.flatnonzero(edge & shown[1:]) + 1, np.flatnonzero(edge & shown[:-1]) + 1
+    other = kind[begins] == _OTHER
+    if other.any():
+        first = kind[begins - 1] == _BLANK
+        stretch = np.cumsum(first) - 1
+        whole = np.zeros(stretch[-1] + 1, bool)
+        whole[stretch[other]] = True
+        apart = ~whole[stretch]
+        begins, ends = begins[apart | first], ends[apart | np.append(first[1:], True)]
+    return begins, ends
 
 
 class Words:
-    """The tokenizer, with bounded caches of the ids of stretches without blanks, and of their pieces.
+    """The tokenizer, with a bounded cache of the ids of pieces, and of stretches that aren't cut.
 
     The tokenizer lower-cases and takes each piece of a stretch on its own, so
-    stretches are looked up with A-Z lower-cased, and an unknown plain stretch
-    is put together from its pieces. Unknown pieces go to the library's model,
-    each distinct one of a batch once; unknown stretches with other characters
+    A-Z are lower-cased first, and the ids of a plain stretch are those of its
+    pieces. Each distinct piece of a batch is looked up once, and an unknown
+    one goes to the library's model; unknown stretches with other characters
     go through the whole tokenizer, many at a time, as words of one text. A
     file whose tokenizer prepares texts in another way is refused.
     """
@@ -117,8 +135,7 @@ class Words:
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.encode_special_tokens = True
         self.model = self.tokenizer.model
-        self.stretches = _Stretches(self._plain)
-        self.pieces: dict[bytes, bytes] = {}
+        self.stretches: dict[bytes, bytes] = {}
 
     def _encode_many(self, new: list[bytes]) -> dict[bytes, bytes]:
         """Ids of strings without blanks, as words of one text; the offsets tell whose an id is."""
@@ -137,48 +154,48 @@ class Words:
     def _piece(self, piece: bytes) -> bytes:
         shown = piece.decode() if piece.isascii() else piece.decode("latin-1").translate(_SHOWN)
         ids = [t.id for t in self.model.tokenize(shown)]
-        got = _PACK[len(ids)](*ids) if len(ids) < len(_PACK) else struct.pack(f"<{len(ids)}I", *ids)
-        if len(piece) <= 64 and len(self.pieces) < PIECES:
-            self.pieces[piece] = got
-        return got
-
-    def _plain(self, stretch: bytes) -> bytes:
-        """Ids of a plain stretch, from those of its pieces."""
-        known = self.pieces.get
-        if stretch.isalpha():
-            return known(stretch) or self._piece(stretch)
-        return b"".join([known(p) or self._piece(p) for p in _PIECES(stretch)])
+        return _PACK[len(ids)](*ids) if len(ids) < len(_PACK) else struct.pack(f"<{len(ids)}I", *ids)
+
+    def _look_up(self, distinct: list[bytes]) -> list[bytes]:
+        """Ids of each piece or whole stretch; new ones are kept while there is room."""
+        held, piece = self.stretches, self._piece
+        out = list(map(held.get, distinct))
+        new = [i for i, ids in enumerate(out) if ids is None]
+        other = []
+        for i in new:
+            s = distinct[i]
+            if s.isalpha():
+                out[i] = piece(s)
+            elif not _PLAIN(s):
+                other.append(i)
+            elif b"'" in s:
+                out[i] = b"".join([held.get(p) or piece(p) for p in _PIECES(s)])
+            else:
+                out[i] = piece(s)
+        if other:
+            got = self._encode_many([distinct[i] for i in other])
+            for i in other:
+                out[i] = got[distinct[i]]
+        room = max(0, CACHE_LIMIT - len(held))
+        held.update([(distinct[i], out[i]) for i in new if len(distinct[i]) <= 64][:room])  # a long one isn't worth it
+        return out
 
     def encode(self, texts: list[str], end: int = END_ID) -> list[bytes]:
         """Ids of each text and the end id, as little-endian unsigned 32-bit integers."""
         return self.encode_utf8([t.encode() for t in texts], end)
 
     def encode_utf8(self, texts: list[bytes], end: int = END_ID) -> list[bytes]:
-        held, last = self.stretches, struct.pack("<I", end)
-        look, new, other, first = held.__getitem__, held.new, held.other, len(held)
-        out: list[bytes] = []
-        waiting = []
-        for t in texts:
-            cut = t.lower().replace(b"\n", b" ").split(b" ")
-            ids = list(map(look, cut))
-            if other and None in ids:
-                waiting.append((len(out), cut))
-                out.append(b"")
-            else:
-                out.append(b"".join(ids) + last)
-        held.update(self._encode_many(other))
-        for i, cut in waiting:
-            out[i] = b"".join(map(look, cut)) + last
-        other.clear()
-        room = max(0, CACHE_LIMIT - first)
-        if len(new) > room or any(len(s) > 64 for s in new):  # the cache is full, or a long stretch isn't worth it
-            for s in new:
-                if len(s) > 64 or not room:
-                    del held[s]
-                else:
-                    room -= 1
-        new.clear()
-        return out
+        data = b" ".join([b"", *texts, b""]).translate(_LOWER)
+        begins, ends = _cut(data)
+        places = pa.py_buffer(np.concatenate([[0], np.cumsum(ends - begins)]))
+        pieces = pa.Array.from_buffers(pa.large_binary(), len(begins), [None, places, pa.py_buffer(data.translate(None, b" "))])
+        coded = pieces.dictionary_encode()
+        ids = pa.array(self._look_up(coded.dictionary.to_numpy(zero_copy_only=False).tolist()), pa.large_binary()).take(coded.indices)
+        flat = memoryview(ids.buffers()[2] or b"")
+        starts = np.cumsum([1, *(len(t) + 1 for t in texts)])  # of the texts in data
+        cuts = np.frombuffer(ids.buffers()[1], np.int64)[np.searchsorted(begins, starts)].tolist() if len(ids) else [0] * len(starts)
+        last = struct.pack("<I", end)
+        return [b"".join((flat[a:b], last)) for a, b in zip(cuts[:-1], cuts[1:], strict=True)]
 
 
 @lru_cache(maxsize=2)

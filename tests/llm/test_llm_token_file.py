@@ -125,3 +125,32 @@ def test_stretches_hold_ids_whatever_the_room(monkeypatch, limit):
 def test_counts_have_a_column_of_their_own():
     """So that the scan for the histograms reads no ids of documents."""
     assert token_file._TOKENS.names[-2:] == ["ids", "counts"]
+
+
+def test_a_piece_is_held_once_whatever_stands_around_it(monkeypatch):
+    """The library's model takes each distinct piece of a batch once; it used to be asked by stretches, marks and all."""
+    own = token_file.Words(token_file.worker_file(None, token_file.VOCABULARY))
+    asked, piece = [], own._piece
+    monkeypatch.setattr(own, "_piece", lambda p: asked.append(p) or piece(p))
+    own.encode(["Word, word. (word) été-word\nword 12", "WORD; don't (don't)", ""])
+    plain = {b"word", b",", b".", b"(", b")", "été".encode(), b"-", b"1", b"2", b";"}
+    assert set(own.stretches) == plain | {b"don't", b"(don't)"}
+    assert plain <= set(asked) and asked.count(b"word") == 1
+    asked.clear()
+    own.encode(["(word) ; word, 2.", "don't"])
+    assert asked == []
+
+
+@pytest.mark.parametrize("limit", [0, 20, 100_000])
+def test_cut_pieces_as_the_library(library, monkeypatch, limit):
+    """Kinds of bytes beside each other: contractions, digits, marks, letters of two bytes, and what leaves a stretch whole."""
+    monkeypatch.setattr(token_file, "CACHE_LIMIT", limit)
+    rng = random.Random(8)
+    alphabet = ["'", "''", "'re", "'ll", "'T", "a", "Re", "zz", "7", "42", ".", "--", "(", "é", "ã", "Ã", "ÿ", "×", "÷", "ß", "\u0301", "ă", "\xc2", "Ж", "中", "\t", "\r", "\x0b", "\x85", "\xa0", "\u2028", "\x00", "\x7f", " ", " ", " ", "\n", "\n\n"]
+    texts = ["".join(rng.choices(alphabet, k=rng.randrange(14))) for _ in range(4000)]
+    own = token_file.Words(public_tokenizers.path("word_bpe_49k.json"))
+    for start in range(0, len(texts), 500):
+        got = own.encode(texts[start : start + 500])
+        assert [np.frombuffer(x, "<u4").tolist() for x in got] == [library(t) for t in texts[start : start + 500]]
+    assert len(own.stretches) <= limit
+    assert own.encode([]) == [] and own.encode(["", " \n"]) == [b"\1\0\0\0"] * 2
